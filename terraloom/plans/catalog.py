@@ -1,25 +1,9 @@
-"""All registered queries and their SQL."""
+"""All registered queries of the register operators and their SQL."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from terraloom.plans import geometry_queries, incremental_queries, register_queries, source_queries
 
-from terraloom.plans.status import category_counts, status_category
-from terraloom.session import read
-
-ORDER_STATUS = {"F": "Completed", "O": "Action Required"}
-
-
-def status_category_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read(spark, sf_dir, "orders").select(status_category(F.col("o_orderstatus"), ORDER_STATUS).alias("status_category"))
-    return category_counts(orders, "status_category")
-
-
-QUERIES = {"status_category_counts": status_category_counts}
-ORACLES = {
-    "status_category_counts": """
-        SELECT CASE o_orderstatus WHEN 'F' THEN 'Completed' WHEN 'O' THEN 'Action Required' ELSE 'Unknown' END AS status_category,
-               count(*) AS features
-        FROM orders GROUP BY 1"""
-}
+_PARTS = (register_queries, geometry_queries, source_queries, incremental_queries)
+QUERIES = {k: v for part in _PARTS for k, v in part.QUERIES.items()}
+ORACLES = {k: v for part in _PARTS for k, v in part.ORACLES.items()}
