@@ -122,7 +122,8 @@ def gram_weights(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", te
     One pass counts both multinomials, with partial sums before the shuffle; what comes to the driver is one row a
     bucket, whatever the input's size. Without trusted text all weights are 0.
     """
-    good = trusted.select(id_col, F.lit(1).alias("good")).where(F.col(id_col).isNotNull()).distinct()
+    # Always a merge join: how many ids are trusted grows with the input, so a broadcast would hold at small sizes only.
+    good = trusted.select(id_col, F.lit(1).alias("good")).where(F.col(id_col).isNotNull()).distinct().hint("merge")
     counted = (
         docs.select(id_col, text_or_empty(text_col).alias("text"))
         .join(good, id_col, "left")
