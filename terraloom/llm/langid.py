@@ -114,12 +114,13 @@ class Model:
         self.letters[first + np.array(full)] = [len(words[i].replace(" ", "")) for i in full]
 
     def spans(self, s: np.ndarray) -> np.ndarray:
-        """The best language of each word, a change costing SWITCH. If no stretch of words gains more than SWITCH over
-        the best single language, no change pays and that language holds throughout."""
+        """The best language of each word, a change costing SWITCH. If no stretch of words gains more than half of
+        SWITCH over the best single language, no change pays (n stretches in other languages need n - 1 changes at
+        least) and that language holds throughout."""
         best = int(s.sum(0).argmax())
         gain = np.cumsum(s - s[:, best : best + 1], 0, dtype=np.float64)
         low = np.minimum.accumulate(np.concatenate([np.zeros((1, s.shape[1])), gain[:-1]]), 0)
-        if not (gain - low > SWITCH).any():
+        if not (gain - low > SWITCH / 2).any():
             return np.full(len(s), best)
         back = np.empty(s.shape, np.int16)
         stay = np.arange(s.shape[1])

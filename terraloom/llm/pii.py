@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -202,17 +203,13 @@ def train(docs: DataFrame, most: int = TRAIN_DOCS, id_col: str = "doc_id", text_
     chosen = docs.select(id_col).where(F.col(id_col).isNotNull()).distinct().orderBy(F.xxhash64(id_col), id_col).limit(most)
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
-        x, y = [], []
+        seen: Counter = Counter()
         for text in frame["text"]:
             base = base_spans(text)
-            for kind, s, e in base:
-                x.append(describe(text, s, e))
-                y.append(LABELS.index(kind))
-            for s, e in candidates(text, base):
-                x.append(describe(text, s, e))
-                y.append(0)
-        seen = pd.DataFrame({"k": [",".join(f"{v:g}" for v in r) for r in x], "y": y})
-        return seen.groupby(["k", "y"], as_index=False).size().rename(columns={"size": "n"}) if len(seen) else pd.DataFrame({"k": [], "y": [], "n": []})
+            tokens = [(s, e, LABELS.index(kind)) for kind, s, e in base] + [(s, e, 0) for s, e in candidates(text, base)]
+            seen.update((",".join(f"{v:g}" for v in describe(text, s, e)), y) for s, e, y in tokens)
+        rows = [(k, y, n) for (k, y), n in seen.items()]
+        return pd.DataFrame(rows, columns=["k", "y", "n"]).astype({"k": object, "y": "int32", "n": "int64"})
 
     taught = docs.select(id_col, text_or_empty(text_col).alias("text")).join(F.broadcast(chosen), id_col)
     rows = sorted(map_texts(taught, work, "k string, y int, n long").groupBy("k", "y").agg(F.sum("n").alias("n")).collect())

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 
 import pandas as pd
 import regex
@@ -14,6 +15,9 @@ from terraloom.llm.frames import map_texts, text_or_empty
 #: The splitting pattern of the byte-level vocabularies.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: White space beyond ASCII.
+OTHER_BLANKS = re.compile("[\x85\xa0\u1680\u2000-\u200f\u2028-\u202f\u205f\u3000\ufeff]")
+
 #: Distinct words, and distinct runs between blanks, whose counts a Python worker remembers; when full it starts anew.
 MEMORY = 700_000
 
@@ -101,8 +105,10 @@ class MergeCounter(dict):
         return sum(map(self.__getitem__, self.words.findall(text)))
 
     def plain(self, text: str) -> int:
-        """A text without special tokens. Where blanks and line ends stand alone, the splitting pattern gives each line
+        """A text without special tokens. Where blanks and line ends stand alone and there is no other white space, the splitting pattern gives each line
         end a token of its own and each blank to the run after it, so runs can be counted one by one."""
+        if not text.isascii() and OTHER_BLANKS.search(text) or any(c in text for c in "\r\t\x0b\x0c\x1c\x1d\x1e\x1f"):
+            return self.split_and_count(text)
         if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[:1] in ("", " ") or text[-1:] == " ":
             return self.split_and_count(text)
         n, rest, head = text.count("\n"), self.after_blank.__getitem__, self.at_start
