@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -61,11 +62,12 @@ def gram_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(owners)
 
 
+_LETTERS = re.compile(r"[^\W\d_]+")
+
+
 def letters_of(run: str) -> str:
     """The letters of a run between blanks in lower case; signs and digits inside it become blanks."""
-    if run.isalpha():
-        return run.lower()
-    return " ".join("".join(c if c.isalpha() else " " for c in run).split()).lower()
+    return run.lower() if run.isalpha() else " ".join(_LETTERS.findall(run.lower()))
 
 
 class Model:
@@ -114,33 +116,36 @@ class Model:
         self.letters[first + np.array(full)] = [len(words[i].replace(" ", "")) for i in full]
 
     def spans(self, s: np.ndarray) -> np.ndarray:
-        """The best language of each word, a change costing SWITCH. If no stretch of words gains more than half of
-        SWITCH over the best single language, no change pays (n stretches in other languages need n - 1 changes at
-        least) and that language holds throughout."""
+        """The best language of each word, a change costing SWITCH.
+
+        One language throughout is the best path if no stretch of words gains more than SWITCH in another language over
+        the best single one (so that a path with that one can't win), and the best beginning and the best end together
+        gain no more than SWITCH (so that a path without it can't either). Only other texts are searched.
+        """
         best = int(s.sum(0).argmax())
         gain = np.cumsum(s - s[:, best : best + 1], 0, dtype=np.float64)
         low = np.minimum.accumulate(np.concatenate([np.zeros((1, s.shape[1])), gain[:-1]]), 0)
-        if not (gain - low > SWITCH / 2).any():
+        if (gain - low).max() <= SWITCH and gain.max() + (gain[-1] - low).max() <= SWITCH:
             return np.full(len(s), best)
-        back = np.empty(s.shape, np.int16)
-        stay = np.arange(s.shape[1])
-        total = s[0].astype(np.float64)
-        for t in range(1, len(s)):
-            top = int(total.argmax())
-            moved = total[top] - SWITCH
-            back[t] = np.where(total >= moved, stay, top)
-            total = np.maximum(total, moved) + s[t]
-        path = np.empty(len(s), np.int64)
-        path[-1] = int(total.argmax())
-        for t in range(len(s) - 1, 0, -1):
-            path[t - 1] = back[t, path[t]]
-        return path
+        rows = s.tolist()
+        total, back = rows[0], []
+        for row in rows[1:]:
+            top = max(total)
+            moved, at = top - SWITCH, total.index(top)
+            back.append([i if v >= moved else at for i, v in enumerate(total)])
+            total = [(v if v >= moved else moved) + x for v, x in zip(total, row, strict=True)]
+        here = total.index(max(total))
+        path = [here]
+        for step in reversed(back):
+            here = step[here]
+            path.append(here)
+        return np.array(path[::-1])
 
     def predict(self, texts: list[str]) -> list[tuple[str, float]]:
         if len(self.index) >= MEMORY:
             self.reset()
         runs = [t.split() for t in texts]
-        new = list(dict.fromkeys(r for text in runs for r in text if r not in self.index))
+        new = sorted(set().union(*runs) - self.index.keys())
         if new:
             self.learn(new)
         out = []
