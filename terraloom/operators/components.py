@@ -11,10 +11,11 @@ from terraloom.session import checkpointed
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """(node, component) for every node of `edges`; component is the smallest node that can be reached.
 
-    Contraction: in a round every node takes its smallest neighbour (or itself) as parent, two pointer jumps shorten
-    the parent chains, and the edges are rewritten to the parents, without loops and repeats. A round at least halves
-    the nodes that still have edges, so there are about log2(n) rounds; the minimum of a component never has a smaller
-    neighbour, so it survives as the component's name. Each round is written to the checkpoint folder.
+    Contraction: in a round every node takes its smallest neighbour (or itself) as parent, pointer jumps take it to the
+    end of its chain of parents (their number is the logarithm of the longest chain), and the edges are rewritten to
+    these ends, without loops and repeats. A round at least halves the nodes that still have edges; the minimum of a
+    component never has a smaller neighbour, so it survives as the component's name. Each round is written to the
+    checkpoint folder.
     An edge with a null end is dropped. No edges: no rows.
     """
     e = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u IS NOT NULL AND v IS NOT NULL")
@@ -24,10 +25,12 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     while not e.isEmpty():
         both = e.union(e.select("v", "u"))
         parent = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("p"))
-        for _ in range(2):
-            up = parent.select(F.col("k").alias("p"), F.col("p").alias("pp"))
-            parent = parent.join(up, "p", "left").select("k", F.coalesce("pp", "p").alias("p"))
-        parent = checkpointed(parent)
+        while True:
+            up = parent.select(F.col("k").alias("p"), F.col("p").alias("q"))
+            jumped = checkpointed(parent.join(up, "p").select("k", "p", "q"))
+            parent = jumped.select("k", F.col("q").alias("p"))
+            if jumped.where("p <> q").isEmpty():
+                break
         labels = (
             labels.join(parent.withColumnRenamed("k", "component"), "component", "left")
             .select("node", F.coalesce("p", "component").alias("component"))
