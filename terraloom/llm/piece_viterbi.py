@@ -1,7 +1,8 @@
-"""SentencePiece encoding and decoding by a batched Viterbi over the pieces of a model file."""
+"""SentencePiece encoding and decoding: batched merges by score for a byte-pair model, a batched Viterbi for others."""
 
 from __future__ import annotations
 
+import heapq
 import zlib
 from array import array
 from collections import defaultdict
@@ -18,6 +19,8 @@ from terraloom.llm.frames import map_texts, text_or_empty
 MEMORY = 600_000
 #: Words of one length that advance together.
 TOGETHER = 20_000
+#: Words longer than this are merged one by one with a heap: a search of the whole word at each merge is quadratic.
+LONG = 256
 BLANK = "▁"
 _UNITS = regex.compile(r" *[^ \n]+| +|\n")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -28,7 +31,12 @@ class PieceModel:
 
     def __init__(self, path: str) -> None:
         import sentencepiece
+        from sentencepiece import sentencepiece_model_pb2
 
+        spec = sentencepiece_model_pb2.ModelProto()
+        with open(path, "rb") as f:
+            spec.ParseFromString(f.read())
+        self.by_merges = spec.trainer_spec.model_type == spec.trainer_spec.BPE
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         self.pieces = [sp.id_to_piece(i) for i in range(sp.get_piece_size())]
         self.bytes = {int(p[3:5], 16): i for i, p in enumerate(self.pieces) if sp.is_byte(i)}
@@ -41,8 +49,12 @@ class PieceModel:
         self.ids = np.array(usable)[order]
         # Scores as the file has them; each piece also costs a step, so that fewer pieces win over better ranks.
         scores = np.array([sp.get_score(i) for i in usable])[order]
+        # The place of each score among all, best first; equal scores share a place.
+        self.places = np.unique(-scores, return_inverse=True)[1].astype(np.int32)
+        self.never = np.int32(len(scores))
         self.scores = scores / (1 + abs(scores).max()) - 1.0
         self.fallback = -10.0
+        self.known = {self.pieces[i]: i for i in usable}
         self.index: dict[str, int] = {}
         self.flat, self.ends = array("i"), array("q", [0])
 
@@ -92,6 +104,82 @@ class PieceModel:
             out.append(path[::-1])
         return out
 
+    def merged(self, words: list[str]) -> list[list[int]]:
+        """Pieces of words of one length as the library merges them: of all neighbours whose join is a piece, the pair
+        with the best score first, the leftmost of equal ones. The places of all substrings' scores are looked up once;
+        then one merge a step is made in all words together."""
+        m, n = len(words), len(words[0])
+        points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(m, n).astype(np.uint64) + np.uint64(1)
+        longest = min(self.longest, n)
+        place = np.full((m, n + 1, longest + 1), self.never, np.int32)  # by first character and length
+        single = np.full((m, n), -1, np.int32)
+        h = np.zeros((m, n), np.uint64)
+        for k in range(1, longest + 1):
+            h = h[:, : n - k + 1] * _STEP + points[:, k - 1 :]
+            at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
+            found = self.keys[at] == h
+            place[:, : n - k + 1, k] = np.where(found, self.places[at], self.never)
+            if k == 1:
+                single[:] = np.where(found, self.ids[at], -1)
+        after = np.broadcast_to(np.minimum(np.arange(1, n + 2), n), (m, n + 1)).copy()
+        before = np.broadcast_to(np.arange(-1, n), (m, n + 1)).copy()
+        if n > LONG:
+            for i in range(m):
+                self._merge_long(place[i], after[i], before[i])
+        elif n > 1:
+            pair = place[:, :n, 2].copy()
+            live = np.arange(m)
+            while len(live):
+                left = pair[live].argmin(1)
+                some = pair[live, left] < self.never
+                live, left = live[some], left[some]
+                mid = after[live, left]
+                end = after[live, mid]
+                after[live, left] = end
+                before[live, end] = left
+                pair[live, mid] = self.never
+                size = after[live, end] - left
+                pair[live, left] = np.where((end < n) & (size <= longest), place[live, left, np.minimum(size, longest)], self.never)
+                first = before[live, left]
+                size = end - first
+                was = np.maximum(first, 0)
+                joined = np.where(size <= longest, place[live, was, np.minimum(size, longest)], self.never)
+                pair[live, was] = np.where(first >= 0, joined, pair[live, was])
+        out = []
+        for i, word in enumerate(words):
+            path: list[int] = []
+            at, ends = 0, after[i].tolist()
+            while at < n:
+                end = ends[at]
+                if end - at > 1:
+                    path.append(self.known[word[at:end]])
+                elif single[i, at] >= 0:
+                    path.append(int(single[i, at]))
+                else:
+                    raw = word[at].encode("utf-8", "replace")
+                    path += [self.bytes[b] for b in raw] if self.bytes else [self.unknown]
+                at = end
+            out.append(path)
+        return out
+
+    def _merge_long(self, place: np.ndarray, after: np.ndarray, before: np.ndarray) -> None:
+        """The same merges of one long word; `after` and `before` are changed in place."""
+        n, longest, never = len(after) - 1, place.shape[1] - 1, int(self.never)
+        follow, lead = after.tolist(), before.tolist()
+        heap = [(int(p), i, i + 2) for i, p in enumerate(place[:n, 2].tolist()) if p < never]
+        heapq.heapify(heap)
+        gone = bytearray(n + 1)
+        while heap:
+            _, left, end = heapq.heappop(heap)
+            if gone[left] or follow[left] == n or follow[follow[left]] != end:
+                continue
+            gone[follow[left]] = 1
+            follow[left], lead[end] = end, left
+            for a, b in ((left, follow[end] if end < n else n + longest), (lead[left], end)):
+                if a >= 0 and b - a <= longest and (p := int(place[a, b - a])) < never:
+                    heapq.heappush(heap, (p, a, b))
+        after[:] = follow
+
     def learn(self, words: list[str]) -> None:
         by_length = defaultdict(list)
         for w in words:
@@ -100,7 +188,7 @@ class PieceModel:
             size = max(1, TOGETHER // max(1, n // 16))
             for at in range(0, len(group), size):
                 part = group[at : at + size]
-                for w, path in zip(part, self.best_paths(part), strict=True):
+                for w, path in zip(part, self.merged(part) if self.by_merges else self.best_paths(part), strict=True):
                     self.flat.extend(path)
                     self.index[w] = len(self.ends) - 1
                     self.ends.append(len(self.flat))

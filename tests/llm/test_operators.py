@@ -456,3 +456,18 @@ def test_wrapper_finds_template_and_slots():
     assert any("div.x" in s for s in w["slot"])
     copies = html_extract.induce([page.format("same", "same")] * 3)
     assert copies["constant"] == []
+
+
+def test_pieces_equal_the_library(rows, text_of):
+    import random
+
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    m = piece_viterbi.PieceModel(PIECES)
+    rng = random.Random(5)
+    parts = ["a", "the ", " ", "  ", "\n", "\t", "unbelievably", "é", "日本", "x" * 40, "1234", "'s", "ing", "🙂", "▁", "\r\n"]
+    texts = [*text_of.values(), "", " ", "newest lowers", "internationalisation", *("".join(rng.choices(parts, k=rng.randint(1, 30))) for _ in range(500))]
+    texts += ["".join(rng.choices("abcdeinrst", k=n)) for n in (255, 256, 257, 3000)] + ["z" * 1000, " " * 300, " " * 300 + "end"]
+    for t, ids in zip(texts, m.encode(texts), strict=True):
+        assert ids.tolist() == library.encode(t), repr(t[:80])
