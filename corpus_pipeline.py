@@ -25,7 +25,7 @@ def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the smallest id."""
+    """One row of each group of near copies stays, the one with the smallest id; null ids come last, none is lost for it."""
     return simhash.keep_one(docs).select(*docs.columns)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terraloom.llm.frames import map_texts, text_or_empty
@@ -47,15 +47,22 @@ def fingerprint(text: str) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp): fp is the fingerprint's bits as a long. Null text counts as empty."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", also: tuple[str, ...] = ()) -> DataFrame:
+    """(id, also, fp): fp is the fingerprint's bits as a long. Null text counts as empty."""
+    columns = [id_col, *also]
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
         fp = np.array([fingerprint(t) for t in frame["text"]], np.uint64).view(np.int64)
-        return pd.DataFrame({id_col: frame[id_col], "fp": fp})
+        return pd.DataFrame({**{c: frame[c] for c in columns}, "fp": fp})
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return map_texts(docs.select(id_col, text_or_empty(text_col).alias("text")), work, f"{id_col} {kind}, fp long")
+    kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in columns)
+    return map_texts(docs.select(*columns, text_or_empty(text_col).alias("text")), work, f"{kinds}, fp long")
+
+
+def classes_of(distinct: DataFrame, distance: int) -> DataFrame:
+    """`distinct` (one row a fingerprint) with its class's smallest fingerprint as `component`."""
+    classes = connected_components(link_fingerprints(distinct, distance)).select(F.col("node").alias("fp"), "component")
+    return distinct.join(classes, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
 
 
 def _syndrome(x: np.ndarray) -> np.ndarray:
@@ -188,15 +195,27 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, id_col: str = "do
     """
     each = checkpointed(fingerprints(docs, id_col, text_col))
     distinct = each.groupBy("fp").agg(F.min(id_col).alias("first"))
-    classes = connected_components(link_fingerprints(distinct, distance)).select(F.col("node").alias("fp"), "component")
-    named = distinct.join(classes, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    named = classes_of(distinct, distance)
     smallest = named.groupBy("component").agg(F.min("first").alias("component_id"))
     by_fp = named.select("fp", "component").join(smallest, "component").select("fp", "component_id")
     return each.join(by_fp, "fp").select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, distance: int = DISTANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without near copies: of each class the one with the smallest id stays, of repeated rows with that
-    id all stay. All columns are kept."""
-    keep = near_duplicates(docs, distance, id_col, text_col).where(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
-    return docs.join(keep, id_col, "left_semi")
+    """The documents without near copies: exactly one row of each class stays, with all columns. It is the one with the
+    smallest id (a null id comes last), of rows with that id the one whose key is smallest, of rows with that key one.
+
+    A row's key is a digest of its id and text, so a null or repeated id neither loses a document nor keeps two. Rows
+    with one key are reduced before the shuffle (window group limit), and the rows are shuffled once, by the key.
+    """
+    part = lambda c: F.coalesce(F.concat(F.lit("="), c), F.lit("null"))
+    key = F.sha2(F.concat(part(F.col(id_col).cast("string")), F.lit("\n"), part(F.col(text_col))), 256)
+    others = [c for c in docs.columns if c not in (id_col, text_col)]
+    order = Window.partitionBy("_key").orderBy(F.xxhash64(*others) if others else F.lit(0))
+    keyed = docs.withColumn("_key", key)
+    each = checkpointed(fingerprints(keyed.withColumn("_id", F.col(id_col).cast("string")), "_key", text_col, ("_id",)))
+    first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").cast(docs.schema[id_col].dataType).alias("id"), F.col("_key").alias("key")))
+    named = classes_of(each.groupBy("fp").agg(first.alias("first")), distance)
+    keep = named.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.key").alias("_key"))
+    single = keyed.withColumn("_k", F.row_number().over(order)).where("_k = 1").drop("_k")
+    return single.join(keep, "_key", "left_semi").select(*docs.columns)

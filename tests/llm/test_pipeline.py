@@ -51,3 +51,12 @@ def test_clean_documents_stay(spark, stages):
 def test_run_equals_its_stages(spark, stages):
     a = corpus_pipeline.run(spark, SF_DIR).select("doc_id", "start", "length", "ids_crc32").collect()
     assert sorted({r.doc_id for r in a}) == sorted({r.doc_id for r in stages[5].collect()})
+
+
+def test_near_duplicates_with_null_and_repeated_ids(spark):
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(30))
+    rows = [(None, text(1), "a"), (None, text(2), "a"), (None, text(2), "b"), (5, text(3), "a"), (5, text(3), "a"), (5, text(4), "a"), (None, text(4), "a"), (9, text(5), "a"), (2**60 + 1, text(5), "b")]
+    docs = spark.createDataFrame([(i, t, "en", s, len(t)) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars int")
+    got = corpus_pipeline.near_duplicates(spark, docs, SF_DIR)
+    assert got.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text) for r in got.collect()) == sorted([(0, text(1)), (0, text(2)), (5, text(3)), (5, text(4)), (9, text(5))])
