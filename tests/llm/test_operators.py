@@ -471,3 +471,11 @@ def test_pieces_equal_the_library(rows, text_of):
     texts += ["".join(rng.choices("abcdeinrst", k=n)) for n in (255, 256, 257, 3000)] + ["z" * 1000, " " * 300, " " * 300 + "end"]
     for t, ids in zip(texts, m.encode(texts), strict=True):
         assert ids.tolist() == library.encode(t), repr(t[:80])
+
+
+def test_aligned_trees_choose_the_content_not_article(spark):
+    page = "<body><article><a>Teaser {k}</a></article><div class=head><h1>Title {k}</h1></div><div class=text><p>Main {k}</p><ul><li>point {k}</ul></div><div class=end><p>Always here</p></div></body>"
+    rows = [(k, "http://a.example.com/", page.format(k=k)) for k in range(4)] + [(9, "http://b.example.com/", page.format(k=9))]
+    got = {r.page_id: r.text for r in html_extract.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[k] == f"Teaser {k}\nTitle {k}\nMain {k}\npoint {k}" for k in range(4))
+    assert got[9] == "Teaser 9"
