@@ -479,3 +479,35 @@ def test_aligned_trees_choose_the_content_not_article(spark):
     got = {r.page_id: r.text for r in html_extract.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert all(got[k] == f"Teaser {k}\nTitle {k}\nMain {k}\npoint {k}" for k in range(4))
     assert got[9] == "Teaser 9"
+
+
+def test_wide_nodes_are_aligned_exactly():
+    import random
+
+    def weight(p, q) -> int:
+        if isinstance(p, str) or isinstance(q, str):
+            return (2 if p == q else 1) if isinstance(p, str) and isinstance(q, str) else 0
+        x, y = html_extract._inner(p), html_extract._inner(q)
+        above = [0] * (len(y) + 1)
+        for c in x if p.name == q.name else []:
+            row = [0]
+            for j, d in enumerate(y):
+                row.append(max(above[j + 1], row[j], above[j] + weight(c, d)))
+            above = row
+        return 1 + above[-1] if p.name == q.name else 0
+
+    rng = random.Random(3)
+    for n in (5, 30, html_extract.WIDE + 20):
+        make = lambda n=n: html_extract.parse("".join(rng.choice(["<p>a</p>", "<p>b</p>", "<i>a</i>", "text", "<p></p>", "<div><p>a</p>b</div>", "<div><p>b</p></div>"]) for _ in range(n)))
+        x, y = make().children, make().children
+        best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+        for i, p in enumerate(x):
+            for j, q in enumerate(y):
+                best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + weight(p, q))
+        total, hit = html_extract.wide_pairs(x, y, weight)
+        assert total == best[-1][-1]
+        assert all(a < c and b < d for (a, b), (c, d) in zip(hit, hit[1:], strict=False))
+    page = "<body>{}<p>Foot of the site</p></body>"
+    pages = [page.format("".join(f"<p>{k} {i}</p>" for i in range(500 + k))) for k in range(4)]
+    w = html_extract.induce(pages)
+    assert html_extract.extract(pages[1], frozenset(w["constant"]), w["slot"]).endswith("1 500")
