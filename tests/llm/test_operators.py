@@ -481,6 +481,15 @@ def test_aligned_trees_choose_the_content_not_article(spark):
     assert got[9] == "Teaser 9"
 
 
+def test_copies_and_other_layouts_leave_the_template(spark):
+    page = "<body><div class=text><p>Main {k}</p></div><div class=end><p>Always here, and more of it than the rest</p></div></body>"
+    copies = [(100 + k, "http://a.example.com/", page.format(k="copied")) for k in range(20)]
+    odd = [(200, "http://a.example.com/", ""), (201, "http://a.example.com/", None), (202, "http://a.example.com/", "<body><table><tr><td>404</table>")]
+    rows = [(k, "http://a.example.com/", page.format(k=k)) for k in range(3)] + copies + odd
+    got = {r.page_id: r.text for r in html_extract.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[k] for k in (0, 1, 2, 100, 200, 201, 202)] == ["Main 0", "Main 1", "Main 2", "Main copied", "", "", "404"]
+
+
 def test_wide_nodes_are_aligned_exactly():
     import random
 
@@ -511,3 +520,10 @@ def test_wide_nodes_are_aligned_exactly():
     pages = [page.format("".join(f"<p>{k} {i}</p>" for i in range(500 + k))) for k in range(4)]
     w = html_extract.induce(pages)
     assert html_extract.extract(pages[1], frozenset(w["constant"]), w["slot"]).endswith("1 500")
+
+
+def test_templates_of_all_sections_of_a_host(spark):
+    page = "<body><div class=s{s}><div><p>Main {k} of {s}</p></div></div><div class=end{s}><p>Foot of section {s}</p></div></body>"
+    rows = [(10 * s + k, "http://a.example.com/", page.format(k=k, s=s)) for s in range(12) for k in range(4)] * 2
+    got = {r.page_id: r.text for r in html_extract.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {10 * s + k: f"Main {k} of {s}" for s in range(12) for k in range(4)}
