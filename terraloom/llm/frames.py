@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -12,6 +16,30 @@ from pyspark.sql import functions as F
 BATCH_CHARS = 2_000_000
 
 
+#: What a Python worker keeps between tasks: the state of one operator at a time.
+_kept: dict[tuple, Any] = {}
+
+
+def kept(key: tuple, make: Callable[[], Any]) -> Any:
+    """The state named `key`, made once a worker. Another operator's state (another first part of the key) is dropped
+    first and its memory given back, as Spark uses a worker again for whatever task comes next."""
+    if key not in _kept:
+        if _kept and next(iter(_kept))[0] != key[0]:
+            _kept.clear()
+            give_back()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def give_back() -> None:
+    """Freed memory goes back to the system, where its library can do that."""
+    gc.collect()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
-from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -12,83 +14,130 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from terraloom.llm.frames import by_characters, text_or_empty
+from terraloom.llm.frames import by_characters, kept, text_or_empty
 
 WINDOW = 4096
 OPEN_WINDOWS = 8
 
-#: How the vocabulary's own splitter cuts text that is in lower case.
-SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+#: How the vocabulary's own splitter cuts text that is in lower case; line ends stand between runs.
+SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+|\n")
+#: The same for text of ASCII alone, for which the plain module is faster.
+SPLIT_ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+|\n")
+#: The end of a vocabulary entry that ends a word.
+WORD_END = "</w>"
 
-#: Distinct words, and distinct runs between blanks, that a Python worker remembers; when full it starts anew.
-MEMORY = 600_000
+#: Bytes that a Python worker's table of distinct runs may take; when it is full it starts anew.
+MEMORY = 48 << 20
+#: What an entry of the table takes besides its characters and identifiers.
+ENTRY = 150
+#: New words that go to the tokenizer in one piece.
+PIECE_WORDS = 4096
 
 
 class RunIds:
     """Token identifiers of whole texts, by way of the runs between blanks.
 
-    The vocabulary drops white space, so the identifiers of a text are those of its runs, one after the other. A run
-    that is not known is cut into the splitter's words, and words that are not known go to the tokenizer in one batch.
+    The vocabulary drops white space, so the identifiers of a text are those of its runs, one after the other. All runs
+    of a batch that are not known are cut into the splitter's words in one pass; distinct words go to the vocabulary's
+    merges together, as byte symbols with blanks between them, and the word ends among the identifiers tell them apart.
     Runs with special tokens or with characters beyond Latin-1, which the tokenizer may normalise, go to it whole.
     """
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task a core
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends_word[[i for s, i in self.merges.get_vocab(with_added_tokens=False).items() if s.endswith(WORD_END)]] = True
+        self.symbols = byte_symbols()
         self.reset()
 
     def reset(self) -> None:
         self.index: dict[bytes, int] = {}
-        self.ids, self.ends = array("I"), array("q", [0])
-
-    def encoded(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.size = 0
+        self.flat: tuple[np.ndarray, np.ndarray] = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def ids_of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(all identifiers, the end of each word among them)."""
+        shown = words
+        if not all(map(str.isascii, words)):
+            shown = [w if w.isascii() else w.encode("utf-8").decode("latin-1").translate(self.symbols) for w in words]
+        parts = [np.array(self.merges.encode(" ".join(shown[i : i + PIECE_WORDS]), add_special_tokens=False).ids, np.uint32) for i in range(0, len(shown), PIECE_WORDS)]
+        ids = np.concatenate([np.zeros(0, np.uint32), *parts])
+        return ids, np.flatnonzero(self.ends_word[ids]) + 1
+
+    def plain_runs(self, runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(all identifiers, the end of each run) of runs of Latin-1 characters."""
+        text = b"\n".join(runs).decode("utf-8").lower()
+        tokens = (SPLIT_ASCII if text.isascii() else SPLIT).findall(text)
+        words = dict.fromkeys(tokens)
+        words.pop("\n", None)
+        ids, ends = self.ids_of_words(list(words))
+        words = dict(zip(words, range(len(words)), strict=True))
+        at = np.fromiter((words.get(t, -1) for t in tokens), np.int64, len(tokens))
+        stops = np.flatnonzero(at < 0)
+        first, length = np.concatenate([[0], ends])[at], np.where(at < 0, 0, np.diff(ends, prepend=0)[at] if len(ends) else 0)
+        to = np.cumsum(length)
+        return gather(ids, first, length, to), np.concatenate([to[stops], [len_of(to)]])
 
     def learn(self, runs: list[bytes]) -> None:
-        cut: list[list[str]] = []
-        for run in runs:
-            s = run.decode("utf-8")
-            cut.append(SPLIT.findall(s.lower()) if "<|" not in s and (s.isascii() or max(s) <= "\xff") else [s])
-        if len(self.words) >= MEMORY:
-            self.words.clear()
-        new = [w for w in dict.fromkeys(w for words in cut for w in words) if w not in self.words]
-        self.words.update(zip(new, self.encoded(new), strict=True))
-        for run, words in zip(runs, cut, strict=True):
-            for w in words:
-                self.ids.frombytes(self.words[w])
-            self.index[run] = len(self.ends) - 1
-            self.ends.append(len(self.ids))
+        plain = [r for r in runs if r.isascii() and b"<|" not in r]
+        whole = []
+        for run in runs if len(plain) < len(runs) else []:
+            if not run.isascii() or b"<|" in run:
+                (whole if b"<|" in run or max(run.decode("utf-8")) > "\xff" else plain).append(run)
+        if plain:
+            self.add(plain, *self.plain_runs(plain))
+        if whole:
+            found = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast([r.decode("utf-8") for r in whole], add_special_tokens=False)]
+            self.add(whole, np.concatenate(found), np.cumsum([len(f) for f in found]))
+
+    def add(self, runs: list[bytes], ids: np.ndarray, ends: np.ndarray) -> None:
+        first = len(self.index)
+        self.index.update(zip(runs, range(first, first + len(runs)), strict=True))
+        flat, was = self.flat
+        self.flat = np.concatenate([flat, ids]), np.concatenate([was, ends + len(flat)])
+        self.size += sum(map(len, runs)) + len(runs) * ENTRY + 4 * len(ids)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(all identifiers, the end of each text among them)."""
-        if len(self.index) >= MEMORY:
+        if self.size > MEMORY:
             self.reset()
         runs = [t.encode("utf-8", "replace").split() for t in texts]
-        known = self.index
-        new = list(dict.fromkeys(r for text in runs for r in text if r not in known))
+        new = set().union(*runs).difference(self.index)
         if new:
-            self.learn(new)
+            self.learn(list(new))
         counts = np.fromiter(map(len, runs), np.int64, len(runs))
-        at = np.fromiter((i for text in runs for i in map(known.__getitem__, text)), np.int64, int(counts.sum()))
-        ends = np.frombuffer(self.ends, np.int64)
+        at = np.fromiter(map(self.index.__getitem__, chain.from_iterable(runs)), np.int64, int(counts.sum()))
+        flat, ends = self.flat
         first, length = ends[at], ends[at + 1] - ends[at]
         to = np.cumsum(length)
-        total = int(to[-1]) if len(to) else 0
-        pick = np.arange(total) + np.repeat(first - (to - length), length)
-        out = np.frombuffer(self.ids, np.uint32)[pick] if total else np.zeros(0, np.uint32)
         last = np.cumsum(counts)
-        return out, np.where(last > 0, np.concatenate([[0], to])[last], 0)
+        return gather(flat, first, length, to), np.where(last > 0, np.concatenate([[0], to])[last], 0)
+
+
+def len_of(to: np.ndarray) -> int:
+    return int(to[-1]) if len(to) else 0
+
+
+def gather(flat: np.ndarray, first: np.ndarray, length: np.ndarray, to: np.ndarray) -> np.ndarray:
+    """The stretches of `flat` that start at `first`, one after the other; `to` is the running sum of their lengths."""
+    total = len_of(to)
+    return flat[np.arange(total) + np.repeat(first - (to - length), length)] if total else np.zeros(0, np.uint32)
 
 
-_encoders: dict[str, RunIds] = {}
+def byte_symbols() -> dict[int, str]:
+    """The printable stand-in of each byte: printable Latin-1 stands for itself, the rest follow from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    spare = iter(range(256, 512))
+    return {b: chr(b if b in shown else next(spare)) for b in range(256)}
 
 
 def encoder(path: str) -> RunIds:
-    if path not in _encoders:
-        _encoders[path] = RunIds(path)
-    return _encoders[path]
+    return kept(("packing", path), lambda: RunIds(path))
 
 
 class Packer:
