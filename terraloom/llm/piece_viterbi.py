@@ -13,10 +13,12 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
-from terraloom.llm.frames import map_texts, text_or_empty
+from terraloom.llm.frames import kept, map_texts, text_or_empty
 
-#: Distinct words that a Python worker remembers; when full it starts anew.
-MEMORY = 600_000
+#: Bytes that a Python worker's table of distinct words may take; when it is full it starts anew. And what an entry takes
+#: besides its characters and pieces.
+MEMORY = 64 << 20
+ENTRY = 190
 #: Words of one length that advance together.
 TOGETHER = 20_000
 #: Words longer than this are merged one by one with a heap: a search of the whole word at each merge is quadratic.
@@ -55,8 +57,12 @@ class PieceModel:
         self.scores = scores / (1 + abs(scores).max()) - 1.0
         self.fallback = -10.0
         self.known = {self.pieces[i]: i for i in usable}
+        self.place_of = {self.pieces[i]: int(p) for i, p in zip(self.ids.tolist(), self.places.tolist(), strict=True)}
+        self.reset()
+
+    def reset(self) -> None:
         self.index: dict[str, int] = {}
-        self.flat, self.ends = array("i"), array("q", [0])
+        self.flat, self.ends, self.size = array("i"), array("q", [0]), 0
 
     @staticmethod
     def hash_of(s: str) -> int:
@@ -75,14 +81,14 @@ class PieceModel:
         step = np.zeros((m, n + 1), np.int32)
         piece = np.full((m, n + 1), -1, np.int32)
         longest = min(self.longest, n)
-        hashes = np.zeros((longest + 1, m, n + 1), np.uint64)  # by length of the substring and its end, rolled forward
+        hashes = np.zeros((longest + 1, m), np.uint64)  # of the substrings that end here, by their length
         for end in range(1, n + 1):
             c = points[:, end - 1] + np.uint64(1)
             best[:, end] = best[:, end - 1] + self.fallback
             step[:, end] = 1
+            hashes[1:] = hashes[:-1] * _STEP + c
             for k in range(1, min(longest, end) + 1):
-                h = hashes[k - 1, :, end - 1] * _STEP + c
-                hashes[k, :, end] = h
+                h = hashes[k]
                 at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
                 found = self.keys[at] == h
                 total = np.where(found, best[:, end - k] + self.scores[at], -np.inf)
@@ -109,24 +115,20 @@ class PieceModel:
         with the best score first, the leftmost of equal ones. The places of all substrings' scores are looked up once;
         then one merge a step is made in all words together."""
         m, n = len(words), len(words[0])
+        if n > LONG:
+            return [self.path_of(w, self.ends_of_long(w)) for w in words]
         points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(m, n).astype(np.uint64) + np.uint64(1)
         longest = min(self.longest, n)
         place = np.full((m, n + 1, longest + 1), self.never, np.int32)  # by first character and length
-        single = np.full((m, n), -1, np.int32)
         h = np.zeros((m, n), np.uint64)
         for k in range(1, longest + 1):
             h = h[:, : n - k + 1] * _STEP + points[:, k - 1 :]
             at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
             found = self.keys[at] == h
             place[:, : n - k + 1, k] = np.where(found, self.places[at], self.never)
-            if k == 1:
-                single[:] = np.where(found, self.ids[at], -1)
         after = np.broadcast_to(np.minimum(np.arange(1, n + 2), n), (m, n + 1)).copy()
         before = np.broadcast_to(np.arange(-1, n), (m, n + 1)).copy()
-        if n > LONG:
-            for i in range(m):
-                self._merge_long(place[i], after[i], before[i])
-        elif n > 1:
+        if n > 1:
             pair = place[:, :n, 2].copy()
             live = np.arange(m)
             while len(live):
@@ -145,28 +147,28 @@ class PieceModel:
                 was = np.maximum(first, 0)
                 joined = np.where(size <= longest, place[live, was, np.minimum(size, longest)], self.never)
                 pair[live, was] = np.where(first >= 0, joined, pair[live, was])
-        out = []
-        for i, word in enumerate(words):
-            path: list[int] = []
-            at, ends = 0, after[i].tolist()
-            while at < n:
-                end = ends[at]
-                if end - at > 1:
-                    path.append(self.known[word[at:end]])
-                elif single[i, at] >= 0:
-                    path.append(int(single[i, at]))
-                else:
-                    raw = word[at].encode("utf-8", "replace")
-                    path += [self.bytes[b] for b in raw] if self.bytes else [self.unknown]
-                at = end
-            out.append(path)
-        return out
-
-    def _merge_long(self, place: np.ndarray, after: np.ndarray, before: np.ndarray) -> None:
-        """The same merges of one long word; `after` and `before` are changed in place."""
-        n, longest, never = len(after) - 1, place.shape[1] - 1, int(self.never)
-        follow, lead = after.tolist(), before.tolist()
-        heap = [(int(p), i, i + 2) for i, p in enumerate(place[:n, 2].tolist()) if p < never]
+        return [self.path_of(word, after[i].tolist()) for i, word in enumerate(words)]
+
+    def path_of(self, word: str, ends: list[int]) -> list[int]:
+        """The pieces of a word whose piece at place i ends before ends[i]; a character that is no piece goes as its bytes."""
+        path: list[int] = []
+        at, n = 0, len(word)
+        while at < n:
+            end = ends[at]
+            i = self.known.get(word[at:end], -1)
+            if i >= 0:
+                path.append(i)
+            else:
+                raw = word[at].encode("utf-8", "replace")
+                path += [self.bytes[b] for b in raw] if self.bytes else [self.unknown]
+            at = end
+        return path
+
+    def ends_of_long(self, word: str) -> list[int]:
+        """The same merges of one long word, with a heap over a linked list: memory is linear in its length."""
+        n, longest, place = len(word), self.longest, self.place_of.get
+        follow, lead = [*range(1, n + 1)], [*range(-1, n)]
+        heap = [(p, i, i + 2) for i in range(n - 1) if (p := place(word[i : i + 2])) is not None]
         heapq.heapify(heap)
         gone = bytearray(n + 1)
         while heap:
@@ -176,9 +178,9 @@ class PieceModel:
             gone[follow[left]] = 1
             follow[left], lead[end] = end, left
             for a, b in ((left, follow[end] if end < n else n + longest), (lead[left], end)):
-                if a >= 0 and b - a <= longest and (p := int(place[a, b - a])) < never:
+                if a >= 0 and b - a <= longest and (p := place(word[a:b])) is not None:
                     heapq.heappush(heap, (p, a, b))
-        after[:] = follow
+        return follow
 
     def learn(self, words: list[str]) -> None:
         by_length = defaultdict(list)
@@ -192,11 +194,12 @@ class PieceModel:
                     self.flat.extend(path)
                     self.index[w] = len(self.ends) - 1
                     self.ends.append(len(self.flat))
+                    self.size += ENTRY + len(w) + 4 * len(path)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Identifiers of each text: a blank goes before it, and blanks are part of the word after them."""
-        if len(self.index) >= MEMORY:
-            self.index, self.flat, self.ends = {}, array("i"), array("q", [0])
+        if self.size > MEMORY:
+            self.reset()
         units = [_UNITS.findall(" " + t.replace(BLANK, " ")) if t else [] for t in texts]
         units = [[u.replace(" ", BLANK) for u in unit] for unit in units]
         new = list(dict.fromkeys(u for unit in units for u in unit if u not in self.index))
@@ -230,13 +233,8 @@ class PieceModel:
         return text[1:] if text.startswith(" ") else text
 
 
-_models: dict[str, PieceModel] = {}
-
-
 def model(path: str) -> PieceModel:
-    if path not in _models:
-        _models[path] = PieceModel(path)
-    return _models[path]
+    return kept(("piece_viterbi", path), lambda: PieceModel(path))
 
 
 def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -8,64 +8,74 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terraloom.llm.frames import crc32_mod, map_texts, text_or_empty
+from terraloom.llm.frames import crc32_mod, kept, map_texts, text_or_empty
 
 #: Labelled rows that training takes at most: those with the smallest id hashes.
 TRAIN_ROWS = 4000
 WORDS, SHAPES, BINS = 1 << 13, 1 << 10, 8
 RANK, EPOCHS, BATCH, RATE, DECAY = 8, 12, 64, 0.08, 1e-5
 STATS = ("words", "distinct", "most_common", "word_length", "dup_lines", "line_words", "upper", "signs")
-SIZE = WORDS + SHAPES + len(STATS) * BINS
-
-#: Distinct words that a Python worker remembers.
-MEMORY = 400_000
+#: Columns of metadata that there is room for, and the bins of each.
+NUMBERS, NUMBER_BINS = 4, 24
+SIZE = WORDS + SHAPES + len(STATS) * BINS + NUMBERS * NUMBER_BINS
+#: Columns that are read as metadata where `docs` has them. Languages, sources, identifiers and labels never are.
+METADATA = ("n_chars",)
+
+#: Bytes that a Python worker's table of distinct words may take; when it is full it starts anew. And what an entry takes
+#: besides its characters.
+MEMORY = 40 << 20
+ENTRY = 270
 _KINDS = [(re.compile(r"[^\W\d_]+"), "a"), (re.compile(r"\d+"), "0")]
-_known: dict[str, tuple[int, int, bool, bool]] = {}
 
 
 def _hash(s: str, size: int) -> int:
     return zlib.crc32(s.encode("utf-8", "replace")) % size
 
 
-def word_facts(word: str) -> tuple[int, int, bool, bool]:
-    """(word bucket, shape bucket, all capitals, has signs). A shape keeps signs and puts one letter for a run of letters."""
-    if len(_known) >= MEMORY:
-        _known.clear()
-    core = word.strip(".,;:?")
-    upper = len(core) > 1 and core.isupper()
-    shape = core if len(core) < 200 else core[:100] + core[-100:]
-    for pattern, kind in _KINDS:
-        shape = pattern.sub(kind, shape)
-    facts = (_hash(core.lower(), WORDS), WORDS + _hash(("A" if upper else "a") + shape, SHAPES), upper, not shape.isalnum() and shape != "")
-    _known[word] = facts
-    return facts
+class Words(dict):
+    """Word -> (word bucket, shape bucket, all capitals, has signs). A shape keeps signs and puts one letter for a run of letters."""
+
+    size = 0
+
+    def __missing__(self, word: str) -> tuple[int, int, bool, bool]:
+        core = word.strip(".,;:?")
+        upper = len(core) > 1 and core.isupper()
+        shape = core
+        for pattern, kind in _KINDS:
+            shape = pattern.sub(kind, shape)
+        facts = (_hash(core.lower(), WORDS), WORDS + _hash(("A" if upper else "a") + shape, SHAPES), upper, not shape.isalnum() and shape != "")
+        self.size += ENTRY + len(word)
+        if self.size > MEMORY:
+            self.clear()
+            self.size = ENTRY + len(word)
+        self[word] = facts
+        return facts
 
 
 def _bin(x: float, step: float) -> int:
     return min(BINS - 1, int(x / step))
 
 
-def features(text: str) -> tuple[list[int], list[float]]:
-    """Feature numbers and values of a whole text; an empty one has its structure statistics only."""
+def features(text: str, numbers: tuple = ()) -> tuple[list[int], list[float]]:
+    """Feature numbers, each once, and values of a whole text; an empty one has its structure statistics only. `numbers`
+    are the document's metadata, in bins of their logarithms; a missing one has a bin of its own."""
+    known = kept(("quality_fm", "words"), Words)
     counts = Counter(text.split())
     n = sum(counts.values())
-    index, value = [], []
     total = max(n, 1)
-    shapes: Counter = Counter()
+    sums: dict[int, int] = {}
     upper = signs = letters = 0
     for word, k in counts.items():
-        facts = _known.get(word) or word_facts(word)
-        index.append(facts[0])
-        value.append(k / total)
-        shapes[facts[1]] += k
-        upper += k * facts[2]
-        signs += k * facts[3]
+        bucket, shape, is_upper, has_signs = known[word]
+        sums[bucket] = sums.get(bucket, 0) + k
+        sums[shape] = sums.get(shape, 0) + k
+        upper += k * is_upper
+        signs += k * has_signs
         letters += k * len(word)
-    index.extend(shapes)
-    value.extend(k / total for k in shapes.values())
+    index, value = list(sums), [k / total for k in sums.values()]
     lines = [x for x in text.split("\n") if x.strip()]
     stats = (
         _bin(np.log2(n + 1), 2),
@@ -79,7 +89,11 @@ def features(text: str) -> tuple[list[int], list[float]]:
     )
     base = WORDS + SHAPES
     index.extend(base + i * BINS + b for i, b in enumerate(stats))
-    value.extend([0.5] * len(stats))
+    base += len(STATS) * BINS
+    for i, x in enumerate(numbers[:NUMBERS]):
+        missing = x is None or x != x
+        index.append(base + i * NUMBER_BINS + (0 if missing else 1 + min(NUMBER_BINS - 2, int(np.log2(max(float(x), 0) + 1)))))
+    value.extend([0.5] * (len(index) - len(value)))
     return index, value
 
 
@@ -97,8 +111,8 @@ class Machine:
         total, squares = np.add.reduceat(vx, starts), np.add.reduceat(vx * vx, starts)
         return self.bias + np.add.reduceat(self.linear[index] * value, starts) + 0.5 * (total * total - squares).sum(1)
 
-    def scores(self, texts: list[str]) -> np.ndarray:
-        rows = [features(t) for t in texts]
+    def scores(self, texts: list[str], numbers: list[tuple] | None = None) -> np.ndarray:
+        rows = [features(t, m) for t, m in zip(texts, numbers or [()] * len(texts), strict=True)]
         sizes = np.array([len(r[0]) for r in rows], np.int64)
         index = np.fromiter((i for r in rows for i in r[0]), np.int64, int(sizes.sum()))
         value = np.fromiter((v for r in rows for v in r[1]), np.float32, int(sizes.sum()))
@@ -138,8 +152,15 @@ def fit(rows: list[tuple[list[int], list[float], int]], rank: int = RANK, epochs
     return machine
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text") -> Machine:
-    """A machine fitted on at most `most` labelled documents; their features, never their texts, come to the driver.
+def _metadata(docs: DataFrame, metadata: tuple[str, ...]) -> Column:
+    """One column with the numbers that are there, null where `docs` hasn't the column or it isn't a number."""
+    there = dict(docs.dtypes)
+    return F.array(*(F.expr(f"try_cast(`{c}` AS double)") if c in there and not there[c].startswith(("array", "map", "struct", "binary")) else F.lit(None).cast("double") for c in metadata)).alias("numbers__")
+
+
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text", metadata: tuple[str, ...] = METADATA) -> Machine:
+    """A machine fitted on at most `most` labelled documents; their features, at most SIZE a document and never their
+    texts, come to the driver.
 
     Rows with a null id or label are left out; an id with several labels takes the largest.
     """
@@ -153,33 +174,36 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int
     )
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
-        rows = [features(t) for t in frame["text"]]
+        rows = [features(t, tuple(m)) for t, m in zip(frame["text"], frame["numbers__"], strict=True)]
         return pd.DataFrame({"id": frame[id_col].astype(str), "y": frame["y"], "i": [r[0] for r in rows], "v": [r[1] for r in rows]})
 
     # `most` rows at most, whatever the input's size.
-    taught = docs.select(id_col, text_or_empty(text_col).alias("text")).join(F.broadcast(chosen), id_col)
+    taught = docs.select(id_col, text_or_empty(text_col).alias("text"), _metadata(docs, metadata)).join(F.broadcast(chosen), id_col)
     rows = map_texts(taught, work, "id string, y int, i array<int>, v array<float>").collect()
     return fit([(r.i, r.v, r.y) for r in sorted(rows, key=lambda r: (zlib.crc32(r.id.encode()), r.id, r.i))])
 
 
-def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(all columns of `docs`, score, predicted) of every whole text. Null text counts as empty. Nothing is shuffled."""
+def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text", metadata: tuple[str, ...] = METADATA) -> DataFrame:
+    """(all columns of `docs`, score, predicted) of every whole text. Null text counts as empty. Nothing is shuffled.
+    Columns of `docs` with the names of the result's give way to them."""
     names = [c for c in docs.columns if c not in ("score", "predicted")]
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
-        s = machine.scores(list(frame["_text"])).astype(float)
+        s = machine.scores(list(frame["text__"]), [tuple(m) for m in frame["numbers__"]]).astype(float)
         return frame[names].assign(score=s, predicted=(s >= 0.5).astype("int32"))
 
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names) + ", score double, predicted int"
-    return map_texts(docs.select(*names, text_or_empty(text_col).alias("_text")), work, schema, "_text")
+    return map_texts(docs.select(*names, text_or_empty(text_col).alias("text__"), _metadata(docs, metadata)), work, schema, "text__")
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, held_out, score, predicted): learns only from labels whose id's crc32 modulo 3 is not 1; the others are held out.
 
-    A text's score depends on the text alone. Empty or null texts get the score of their structure statistics; without
-    labels every score is 0.5. Repeated rows stay repeated; extra columns are not read.
+    A score depends on the text and on the metadata (n_chars, where there is such a column) alone. Empty or null texts get
+    the score of their structure statistics; without labels every score is 0.5. Very long texts have at most SIZE
+    features. Equal scores mean equal predictions. Repeated rows stay repeated; other columns are not read.
     """
     machine = train(docs, labels.where(crc32_mod(id_col, 3) != 1), id_col=id_col, text_col=text_col)
-    out = score(docs.select(id_col, text_col), machine, id_col, text_col)
+    there = [c for c in METADATA if c in docs.columns and c not in (id_col, text_col)]
+    out = score(docs.select(id_col, text_col, *there), machine, id_col, text_col)
     return out.select(id_col, (crc32_mod(id_col, 3) == 1).alias("held_out"), "score", "predicted")

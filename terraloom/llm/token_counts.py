@@ -10,7 +10,7 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
-from terraloom.llm.frames import map_texts, text_or_empty
+from terraloom.llm.frames import kept, map_texts, text_or_empty
 
 #: The splitting pattern of the byte-level vocabularies.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -18,8 +18,10 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 #: White space beyond ASCII.
 OTHER_BLANKS = re.compile("[\x85\xa0\u1680\u2000-\u200f\u2028-\u202f\u205f\u3000\ufeff]")
 
-#: Distinct words, and distinct runs between blanks, whose counts a Python worker remembers; when full it starts anew.
-MEMORY = 700_000
+#: Bytes that a Python worker's tables of distinct words and of runs between blanks may take together; when they are full they
+#: start anew. And what an entry takes besides its characters.
+MEMORY = 64 << 20
+ENTRY = 170
 
 
 class Runs(dict):
@@ -30,9 +32,9 @@ class Runs(dict):
         self.owner, self.before = owner, before
 
     def __missing__(self, run: str) -> int:
-        if len(self) >= MEMORY:
-            self.clear()
-        n = self[run] = self.owner.split_and_count(self.before + run)
+        n = self.owner.split_and_count(self.before + run)
+        self.owner.hold(run)
+        self[run] = n
         return n
 
 
@@ -60,11 +62,19 @@ class MergeCounter(dict):
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.words = regex.compile(SPLIT)
         self.after_blank, self.at_start = Runs(self, " "), Runs(self, "")
+        self.size = 0
+
+    def hold(self, key: str) -> None:
+        """Room for one more entry; when there is none, all tables start anew."""
+        self.size += ENTRY + len(key)
+        if self.size > MEMORY:
+            for table in (self, self.after_blank, self.at_start):
+                table.clear()
+            self.size = ENTRY + len(key)
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= MEMORY:
-            self.clear()
         n = self.merged(word.encode("utf-8", "surrogatepass"))
+        self.hold(word)
         self[word] = n
         return n
 
@@ -128,14 +138,9 @@ class MergeCounter(dict):
         return self.plain(text)
 
 
-_counters: dict[str, MergeCounter] = {}
-
-
 def counter(path: str) -> MergeCounter:
     """One counter a Python worker and vocabulary, kept over tasks."""
-    if path not in _counters:
-        _counters[path] = MergeCounter(path)
-    return _counters[path]
+    return kept(("token_counts", path), lambda: MergeCounter(path))
 
 
 def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 512, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -154,5 +159,3 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 512, id_col:
 
     kind = docs.schema[id_col].dataType.simpleString()
     return map_texts(docs.select(id_col, text_or_empty(text_col).alias("text")), work, f"{id_col} {kind}, n_bytes long, n_tokens long, over_limit boolean")
-
-
