@@ -401,13 +401,32 @@ def test_languages(docs, none, rows, spark):
 
 def test_language_spans_and_scripts():
     rows = [("en", "the cat sat on the mat with that hat"), ("de", "der hund und die katze sind nicht schön"), ("ru", "кошка и собака это хорошо")] * 5
-    m = langid.fit(rows)
+    m = langid.fit({lang: langid.gram_counts([t for k, t in rows if k == lang]) for lang, _ in rows})
     en, de = "the cat sat on that mat with the hat ", "die katze und der hund sind nicht schön "
     assert m.predict([en * 3 + de * 10])[0][0] == "de"
     s = m.predict([en * 10 + de * 3])[0]
     assert s[0] == "en" and 0.6 < s[1] < 0.95
     assert m.predict(["собака и кошка"])[0] == ("ru", 1.0)
     assert m.predict(["123 !!", ""]) == [("und", 0.0), ("und", 0.0)]
+    # Letters of a script that nobody learned are in no span.
+    assert m.predict(["สวัสดีครับ ผมชื่อ", "γάτα και σκύλος"]) == [("de", 0.0), ("de", 0.0)]
+    lang, share = m.predict(["the cat sat on the mat γάτα"])[0]
+    assert lang == "en" and share == pytest.approx(17 / 21)
+    # A run is cut where its script changes, and no first letter decides for what follows it.
+    assert m.predict(["xкошка" + "исобакаэтохорошо" * 3])[0][0] == "ru"
+    assert langid.units_of(["latin漢字", "漢字漢字漢字漢字", "don't", "12", "aя-я"])[0] == ["latin", "漢字", "漢字漢字漢字", "漢字", "don t", "a", "я я"]
+    # The scores of units are the sums of their grams' scores, gram by gram.
+    counted = {lang: Counter() for lang in m.languages}
+    grams = lambda w: [f" {w} "[i : i + k] for k in range(1, 5) for i in range(len(w) + 3 - k) if k > 1 or f" {w} "[i] != " "]
+    for lang, t in rows:
+        counted[lang].update(g for w in t.split() for g in grams(w))
+    total = {lang: sum(c.values()) + 0.5 * langid.BUCKETS for lang, c in counted.items()}
+    m.predict(["katze"])
+    i = int(m.ends[m.index["katze"]])
+    want = np.array([sum(np.log((counted[lang][g] + 0.5) / total[lang]) for g in grams("katze")) for lang in m.languages])
+    got = m.scores[i]
+    latin = [m.languages.index(x) for x in ("de", "en")]
+    assert got[latin[0]] - got[latin[1]] == pytest.approx(langid.WEIGHT * (want[latin[0]] - want[latin[1]]), abs=0.02)
     # The shortcut for texts of one language gives the path that the full search gives.
     rng = np.random.default_rng(1)
     for _ in range(200):
