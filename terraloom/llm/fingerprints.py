@@ -12,9 +12,7 @@ from pyspark.sql import functions as F
 from terraloom.llm.frames import text_or_empty
 
 #: Words in a term, bins of a fingerprint, and hexadecimal digits of a bin's sample.
-TERM_WORDS, BINS, DIGITS = 5, 128, 4
-#: A term's weight above this goes to further terms of its own, so that no bin holds more than this part of the mass.
-LAYER = 4
+TERM_WORDS, BINS, DIGITS = 5, 256, 4
 BLANKS = r"[\x20\x09-\x0D]+"
 
 
@@ -38,9 +36,10 @@ def gamma_quantiles() -> tuple[str, str]:
 
 
 def weighted_terms(text: Column, n: int = TERM_WORDS) -> Column:
-    """struct<single, heavy>: hashes of the distinct terms of weight 1, and (h, w) of the heavier ones. A term is n words on end, in lower case;
-    a text with fewer words is one term, a text without words has none. Equal terms are neighbours once sorted, and a
-    term's weight is its number of occurrences, in layers of LAYER."""
+    """array<bigint>: hashes of the units of weight of the distinct terms. A term is n words on end, in lower case; a text
+    with fewer words is one term, a text without words has none. A term's weight is its number of occurrences, and a term
+    of weight w is w units: (term), (term, 1) .. (term, w - 1). Two texts share min(w, v) of a term's units and have
+    max(w, v) of them together, so the Jaccard similarity of the units is the generalised one of the weights."""
     words = F.array_remove(F.split(F.lower(text), BLANKS), "")
 
     def terms(w: Column) -> Column:
@@ -48,66 +47,44 @@ def weighted_terms(text: Column, n: int = TERM_WORDS) -> Column:
         several = let(hashes, lambda h: F.slice(F.transform(h, lambda x, i: F.xxhash64(x, *(F.get(h, i + k) for k in range(1, n)))), 1, F.greatest(F.size(h) - (n - 1), F.lit(1))))
         return F.when(F.size(w) > 0, several).otherwise(F.array().cast("array<bigint>"))
 
-    def layers(s: Column) -> Column:
-        # The first of each run of equal hashes, and every LAYER-th after it, starts a layer: (hash, number of the layer, weight).
+    def units(s: Column) -> Column:
+        # Equal terms are neighbours once sorted: where each run starts, and how long it is.
         first = F.filter(F.transform(s, lambda x, i: F.when(F.coalesce(F.get(s, i - 1) != x, F.lit(True)), i)), lambda i: i.isNotNull())
+        more = lambda h, w: F.transform(F.sequence(F.lit(1), w - 1), lambda k: F.xxhash64(h, k))
 
         def runs(f: Column) -> Column:
             length = F.zip_with(f, F.slice(f, 2, F.greatest(F.size(f), F.lit(1))), lambda a, b: F.struct(F.get(s, a).alias("h"), (F.coalesce(b, F.size(s)) - a).alias("w")))
-            single = F.transform(F.filter(length, lambda t: t["w"] == 1), lambda t: t["h"])
-            whole = F.filter(length, lambda t: t["w"].between(2, LAYER))
-            heavy = F.flatten(
-                F.transform(
-                    F.filter(length, lambda t: t["w"] > LAYER),
-                    lambda t: F.transform(
-                        F.sequence(F.lit(0), F.floor((t["w"] - 1) / LAYER).cast("int")),
-                        lambda k: F.struct(F.when(k == 0, t["h"]).otherwise(F.xxhash64(t["h"], k)).alias("h"), F.least(F.lit(LAYER), t["w"] - k * LAYER).alias("w")),
-                    ),
-                )
-            )
-            return F.struct(single.alias("single"), F.concat(whole, heavy).alias("heavy"))
+            heavy = F.filter(length, lambda t: t["w"] > 1)
+            return F.concat(F.transform(length, lambda t: t["h"]), F.flatten(F.transform(heavy, lambda t: more(t["h"], t["w"]))))
 
         return let(first, runs)
 
-    def weighed(t: Column) -> Column:
-        none = F.array().cast("array<struct<h:bigint,w:int>>")
-        return F.when(F.size(F.array_distinct(t)) == F.size(t), F.struct(t.alias("single"), none.alias("heavy"))).otherwise(let(F.sort_array(t), layers))
+    return let(words, lambda w: let(terms(w), lambda t: F.when(F.size(F.array_distinct(t)) == F.size(t), t).otherwise(let(F.sort_array(t), units))))
 
-    return let(words, lambda w: let(terms(w), weighed))
 
+def sketch(text: Column, bins: int = BINS) -> Column:
+    """array<int>: the digest of the sample of each bin of units, -1 for a bin without one.
 
-def samples(terms: Column, bins: int = BINS) -> Column:
-    """array<bigint>: one sample of each bin that has a term. Of term k with weight w, with r and c from Gamma(2, 1) and
-    b uniform, all drawn from the term's hash alone: t = floor(ln w / r + b), ln a = ln c - r (t - b + 1); of weight 1,
-    t is 0. The term with the smallest a is its bin's sample (k, t). A sample is packed as bin, order of ln a, digest of
-    (k, t), so that sorting puts a bin's smallest first."""
+    Of each unit, r and c from Gamma(2, 1) and b uniform are drawn from its hash alone. It has weight 1, so its quantised
+    weight is t = floor(ln 1 / r + b) = 0, and ln a = ln c - r (1 - b). The unit with the smallest a is its bin's
+    sample. The units of two texts together are dealt to bins by their hashes, each is as likely to be the smallest of
+    its bin as any other there, and bins have equal shares of units on average: the expected rate of equal samples among the bins in use is
+    the Jaccard similarity of the units, for texts with few units as for those with many."""
     gamma, log_gamma = (F.from_json(F.lit(x), "array<double>") for x in gamma_quantiles())
-    r_of = lambda h: F.get(gamma, bits(h, 24, 16).cast("int"))
-    b_of = lambda h: bits(h, 40, 20) / float(1 << 20)
+    low = F.lit((1 << 4 * DIGITS) - 1).cast("long")
+    none = F.array(*(F.lit((b << 45) | ((1 << 45) - 1)) for b in range(bins)))  # comes last in its bin
 
-    def packed(h: Column, t: Column) -> Column:
-        ln_a = F.get(log_gamma, bits(h, 8, 16).cast("int")) - r_of(h) * (t - b_of(h) + 1)
+    def packed(h: Column) -> Column:
+        """Bin, order of ln a, digest: sorting puts a bin's smallest first."""
+        ln_a = F.get(log_gamma, bits(h, 8, 16).cast("int")) - F.get(gamma, bits(h, 24, 16).cast("int")) * (F.lit(1.0) - bits(h, 40, 20) / float(1 << 20))
         order = F.greatest((ln_a + 128) * 2097152.0, F.lit(0.0)).cast("long")
-        return F.pmod(h, F.lit(bins)) * (1 << 45) + order * (1 << 16) + F.xxhash64(h, t).bitwiseAND(F.lit((1 << 4 * DIGITS) - 1).cast("long"))
-
-    def heavy(x: Column) -> Column:
-        t = F.floor(F.ln(x["w"].cast("double")) / r_of(x["h"]) + b_of(x["h"]))
-        return let(F.struct(x["h"].alias("h"), t.alias("t")), lambda y: packed(y["h"], y["t"]))
+        return F.pmod(h, F.lit(bins)) * (1 << 45) + order * (1 << 16) + F.xxhash64(h).bitwiseAND(low)
 
-    each = F.concat(F.transform(terms["single"], lambda h: packed(h, F.lit(0).cast("bigint"))), F.transform(terms["heavy"], heavy))
-    keys = F.sort_array(each)
     bin_of = lambda x: F.call_function("shiftright", x, F.lit(45))
-    return let(keys, lambda k: F.filter(k, lambda x, i: F.coalesce(bin_of(F.get(k, i - 1)) != bin_of(x), F.lit(True))))
-
-
-def sketch(text: Column, bins: int = BINS) -> Column:
-    """array<int>: the digest of each bin's sample, -1 for a bin without a term."""
-
-    def dense(s: Column) -> Column:
-        place = F.map_from_entries(F.transform(s, lambda x: F.struct(F.call_function("shiftright", x, F.lit(45)).cast("int"), x.bitwiseAND((1 << 4 * DIGITS) - 1).cast("int"))))
-        return let(place, lambda m: F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), lambda b: F.coalesce(F.element_at(m, b), F.lit(-1))))
-
-    return let(let(weighted_terms(text), lambda t: samples(t, bins)), dense)
+    place = F.lit((1 << 45) - 1)
+    firsts = lambda k: F.filter(k, lambda x, i: F.coalesce(bin_of(F.get(k, i - 1)) != bin_of(x), F.lit(True)))
+    keys = let(weighted_terms(text), lambda t: F.sort_array(F.concat(F.transform(t, packed), none)))
+    return F.transform(let(keys, firsts), lambda x: F.when(x.bitwiseAND(place) == place, F.lit(-1)).otherwise(x.bitwiseAND(low).cast("int")))
 
 
 def fingerprint(sketched: Column) -> Column:
@@ -130,12 +107,13 @@ def with_next(docs: DataFrame, columns: list[str], id_col: str = "doc_id", parts
     The ids are cut into as many ranges as there are shuffle partitions, at quantiles, and each range is ordered for
     itself. A range also gets, as a guest, the row that follows its last one: the largest of the next lower range, and
     in the lowest range the largest of all. So every row is shuffled once, and no task holds more than a range.
-    Rows with equal ids are ordered by `columns`. Rows with a null id come last, in a range of their own values' hashes'
-    order; a table of one row is its own next.
+    Rows with equal ids are ordered by `columns` and are in one range. Rows with a null id come last, by the hashes of their
+    columns, which are spread over ranges like ids; ids must be above -2^61. A table of one row is its own next.
     """
     spark = docs.sparkSession
     n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ids = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 62))).alias("id"))
+    key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 62)) - F.pmod(F.xxhash64(*columns), F.lit(1 << 61)))
+    ids = docs.select(key.alias("id"))
     cuts = ids.agg(F.percentile_approx("id", F.array(*(F.lit((i + 1) / n) for i in range(n))), F.lit(100 * n)).alias("q")).head().q or []
     cuts = sorted(set(cuts[:-1]))
     bounds = F.array(*(F.lit(c) for c in cuts)) if cuts else F.array().cast("array<bigint>")
@@ -151,7 +129,7 @@ def with_next(docs: DataFrame, columns: list[str], id_col: str = "doc_id", parts
         to = F.when(F.element_at(marks, F.col("_id")).isNotNull(), F.concat(to, F.array(F.struct(F.element_at(marks, F.col("_id")).alias("part"), F.lit(1).alias("guest"))))).otherwise(to)
     if there:
         to = F.when(F.col("_id") == guests_first, F.concat(to, F.array(F.struct(F.lit(there[0]).alias("part"), F.lit(2).alias("guest"))))).otherwise(to)
-    spread = docs.withColumn("_id", F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 62)))).withColumn("_to", F.explode(to)).select("*", "_to.part", "_to.guest").drop("_to")
+    spread = docs.withColumn("_id", key).withColumn("_to", F.explode(to)).select("*", "_to.part", "_to.guest").drop("_to")
     order = Window.partitionBy("part").orderBy("guest", F.desc("_id"), *columns)
     out = spread.withColumns({f"next_{c}": F.lead(c).over(order) for c in columns})
     return out.where("guest = 0").drop("part", "guest", "_id")
