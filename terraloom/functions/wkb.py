@@ -5,11 +5,12 @@ from __future__ import annotations
 import struct
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from terraloom.functions import geometry as G
+from terraloom.functions.shapes import column_of, shapes_of
 
 
 def encode_one(geometry) -> bytes | None:
@@ -20,7 +21,7 @@ def encode_one(geometry) -> bytes | None:
     def polygon(p) -> bytes:
         out = [struct.pack("<BII", 1, 3, len(p))]
         for ring in p:
-            xy = np.array([(q["x"], q["y"]) for q in ring], "<f8")
+            xy = np.asarray(ring, "<f8")
             out += [struct.pack("<I", len(xy)), xy.tobytes()]
         return b"".join(out)
 
@@ -45,7 +46,7 @@ def decode_one(data) -> list | None:
             for _ in range(n):
                 (k,) = struct.unpack_from(f"{end}I", data, at)
                 xy = np.frombuffer(data, f"{end}f8", 2 * k, at + 4).reshape(k, 2)
-                rings.append([{"x": float(x), "y": float(y)} for x, y in xy])
+                rings.append(xy.astype(float))
                 at += 4 + 16 * k
             return rings, at
 
@@ -67,16 +68,14 @@ def decode_one(data) -> list | None:
 
 
 def to_wkb(geometry: Column) -> Column:
-    @F.pandas_udf("binary")
-    def encode(rows: pd.DataFrame) -> pd.Series:
-        return rows["g"].map(encode_one)
+    def encode(column: pa.Array) -> pa.Array:
+        return pa.array([encode_one(s) for s in shapes_of(column)], pa.binary())
 
-    return encode.asNondeterministic()(F.struct(geometry.alias("g")))
+    return F.arrow_udf(encode, "binary").asNondeterministic()(geometry)
 
 
 def from_wkb(data: Column) -> Column:
-    @F.pandas_udf(f"struct<g:{G.GEOMETRY}>")
-    def decode(rows: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame({"g": [decode_one(b) for b in rows]})
+    def decode(column: pa.Array) -> pa.Array:
+        return column_of([decode_one(b) for b in column.to_pylist()])
 
-    return decode.asNondeterministic()(data)["g"]
+    return F.arrow_udf(decode, G.GEOMETRY).asNondeterministic()(data)

@@ -6,13 +6,15 @@ The Python steps are marked as not deterministic, so that the optimizer leaves e
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terraloom.functions import crs
 from terraloom.functions import geometry as G
+from terraloom.functions.shapes import by_row, column_of, holds_by_row, shapes_of
 from terraloom.functions.wkb import decode_one
+from terraloom.session import unused
 
 #: Coordinates are snapped to this grid before rings are cut and joined.
 SNAP = 1e-3
@@ -22,7 +24,7 @@ def _segments(geometry) -> np.ndarray:
     parts = []
     for polygon in geometry:
         for ring in polygon:
-            p = np.array([(q["x"], q["y"]) for q in ring])
+            p = np.asarray(ring, float)
             if len(p) > 1:
                 parts.append(np.hstack([p[:-1], p[1:]]))
     return np.concatenate(parts) if parts else np.zeros((0, 4))
@@ -61,19 +63,19 @@ def crosses_itself(geometry) -> bool:
     return False
 
 
-def overlay(layers: list, keep) -> list:
+def overlay(layers: list, keep, snap_to: float = SNAP) -> list:
     """Polygons of the plane's part where `keep(inside)` holds, inside being a layer's even-odd coverage at a point.
 
     A slab decomposition: all ends and crossings cut the plane into horizontal slabs; in a slab the edges are ordered,
     and between two neighbours the layers' coverage is constant. The trapezoids that are kept are joined again.
     """
-    o = next((np.array([g[0][0][0]["x"], g[0][0][0]["y"]]) for g in layers if len(g) and len(g[0]) and len(g[0][0])), None)
+    o = next((np.array(r[0], float) for g in layers for p in g for r in p if len(r)), None)
     if o is None:
         return []
     rows, owner = [], []
     for k, g in enumerate(layers):
         s = _segments(g)
-        s = np.round((s - np.tile(o, 2)) / SNAP) * SNAP
+        s = np.round((s - np.tile(o, 2)) / snap_to) * snap_to
         s = s[s[:, 1] != s[:, 3]]
         rows.append(np.where((s[:, 1] < s[:, 3])[:, None], s, s[:, [2, 3, 0, 1]]))
         owner.append(np.full(len(s), k))
@@ -93,10 +95,10 @@ def overlay(layers: list, keep) -> list:
         hit = (u > 0) & (u < 1) & (v >= 0) & (v <= 1)
         ys |= set(s[i, 1] + u[hit] * d1[1])
     ys = np.array(sorted(ys))
-    ys = ys[np.concatenate([[True], np.diff(ys) > SNAP / 1000])]
+    ys = ys[np.concatenate([[True], np.diff(ys) > snap_to / 1000])]
     pieces = []  # (lower line, left and right below, left and right above)
     for k, (lo, hi) in enumerate(zip(ys, ys[1:], strict=False)):
-        on = np.flatnonzero((s[:, 1] <= lo + SNAP / 2000) & (s[:, 3] >= hi - SNAP / 2000))
+        on = np.flatnonzero((s[:, 1] <= lo + snap_to / 2000) & (s[:, 3] >= hi - snap_to / 2000))
         e = s[on]
         slope = (e[:, 2] - e[:, 0]) / (e[:, 3] - e[:, 1])
         low, high = e[:, 0] + (lo - e[:, 1]) * slope, e[:, 0] + (hi - e[:, 1]) * slope
@@ -107,13 +109,13 @@ def overlay(layers: list, keep) -> list:
             if begun is None and keep(inside):
                 begun = j
             elif begun is not None and not keep(inside):
-                if mid[j] - mid[begun] > SNAP / 1000:
+                if mid[j] - mid[begun] > snap_to / 1000:
                     pieces.append((k, low[begun], low[j], high[begun], high[j]))
                 begun = None
-    return _joined(pieces, ys, o)
+    return _joined(pieces, ys, o, snap_to)
 
 
-def _joined(pieces: list[tuple], ys: np.ndarray, origin: np.ndarray) -> list:
+def _joined(pieces: list[tuple], ys: np.ndarray, origin: np.ndarray, snap_to: float) -> list:
     """Polygons of trapezoids between lines: sides stay, and on each line what only one neighbour covers. Edges have the
     covered ground to their right, so shells run clockwise; where several go on, the sharpest right turn is taken."""
     lines: dict[int, list[float]] = {}
@@ -123,8 +125,8 @@ def _joined(pieces: list[tuple], ys: np.ndarray, origin: np.ndarray) -> list:
     at: dict[int, np.ndarray] = {}
     for k, xs in lines.items():
         x = np.sort(xs)
-        at[k] = x[np.concatenate([[True], np.diff(x) > SNAP / 100])]
-    snap = lambda k, x: int(np.searchsorted(at[k], x + SNAP / 200, "right") - 1)
+        at[k] = x[np.concatenate([[True], np.diff(x) > snap_to / 100])]
+    snap = lambda k, x: int(np.searchsorted(at[k], x + snap_to / 200, "right") - 1)
     above = {k: np.zeros(len(x), int) for k, x in at.items()}
     below = {k: np.zeros(len(x), int) for k, x in at.items()}
     out: dict[tuple, list] = {}
@@ -182,45 +184,33 @@ def _joined(pieces: list[tuple], ys: np.ndarray, origin: np.ndarray) -> list:
         if size(r) > 0:
             a, b = r[0], r[1]
             n = np.hypot(b[0] - a[0], b[1] - a[1])
-            probe = ((a[0] + b[0]) / 2 + (b[1] - a[1]) / n * SNAP / 10, (a[1] + b[1]) / 2 - (b[0] - a[0]) / n * SNAP / 10)  # just outside the hole
+            probe = ((a[0] + b[0]) / 2 + (b[1] - a[1]) / n * snap_to / 10, (a[1] + b[1]) / 2 - (b[0] - a[0]) / n * snap_to / 10)  # just outside the hole
             owner = min((s for s in shells if holds(s[0], probe)), key=lambda s: -size(s[0]), default=None)
             if owner is not None:
                 owner.append(r)
-    return [[[{"x": x, "y": y} for x, y in r] for r in s] for s in shells]
-
-
-def _by_row(work, geometry: Column) -> Column:
-    @F.pandas_udf(f"struct<g:{G.GEOMETRY}>")
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"g": [work(g) if g is not None else None for g in rows["g"]]})
-
-    return run.asNondeterministic()(F.struct(geometry.alias("g")))["g"]
+    return [[np.array(r) for r in s] for s in shells]
 
 
 def is_simple(geometry: Column) -> Column:
     """False for a geometry whose edges cross or overlap; cheap checks of its rings come first. Null for null."""
-
-    @F.pandas_udf("boolean")
-    def run(rows: pd.DataFrame) -> pd.Series:
-        return pd.Series([None if g is None else not crosses_itself(g) for g in rows["g"]], dtype=object)
-
-    return F.when(G.ring_problems(geometry), F.lit(False)).otherwise(run.asNondeterministic()(F.struct(geometry.alias("g"))))
+    return F.when(G.ring_problems(geometry), F.lit(False)).otherwise(holds_by_row(lambda g: not crosses_itself(g), geometry))
 
 
 def tidied(polygon) -> list:
     """Rings without repeated points, closed; those with fewer than four points are left out."""
     out = []
     for ring in polygon:
-        kept = [q for i, q in enumerate(ring) if i == 0 or (q["x"], q["y"]) != (ring[i - 1]["x"], ring[i - 1]["y"])]
-        if kept and (kept[0]["x"], kept[0]["y"]) != (kept[-1]["x"], kept[-1]["y"]):
-            kept.append(kept[0])
-        if len(kept) >= 4:
-            out.append(kept)
+        r = np.asarray(ring, float)
+        r = r[np.concatenate([[True], (r[1:] != r[:-1]).any(1)])] if len(r) else r
+        if len(r) and (r[0] != r[-1]).any():
+            r = np.concatenate([r, r[:1]])
+        if len(r) >= 4:
+            out.append(r)
     return out
 
 
-def thin(ring, tolerance: float) -> list:
-    p = np.array([(q["x"], q["y"]) for q in ring])
+def thin(ring, tolerance: float) -> np.ndarray:
+    p = np.asarray(ring, float)
     keep = np.zeros(len(p), bool)
     far = int(np.hypot(*(p - p[0]).T).argmax())
     keep[[0, far, len(p) - 1]] = True
@@ -237,7 +227,7 @@ def thin(ring, tolerance: float) -> list:
         if dist[k] > tolerance:
             keep[a + 1 + k] = True
             todo += [(a, a + 1 + k), (a + 1 + k, b)]
-    return [ring[i] for i in np.flatnonzero(keep)] if keep.sum() >= 4 else list(ring)
+    return p[keep] if keep.sum() >= 4 else p
 
 
 def thinned(geometry, tolerance: float = 1e-6) -> list:
@@ -246,34 +236,32 @@ def thinned(geometry, tolerance: float = 1e-6) -> list:
     return geometry if crosses_itself(new) else new
 
 
-def repaired(geometry: Column) -> Column:
+def repaired(geometry: Column, snap_to: float = SNAP) -> Column:
     """Repeated points and short rings dropped, rings closed; what still crosses itself is cut and rebuilt by even-odd
     coverage. Null if nothing is left."""
 
     def work(g):
         polygons = [rings for p in g if (rings := tidied(p))]
         if crosses_itself(polygons):
-            polygons = overlay([polygons], lambda inside: inside[0])
+            polygons = overlay([polygons], lambda inside: inside[0], snap_to)
         return polygons or None
 
-    return _by_row(work, geometry)
+    return by_row(work, geometry)
 
 
 def simplified(geometry: Column, tolerance: float = 1e-6) -> Column:
     """Points within `tolerance` of the line between those kept are dropped; a ring that would become too short, or a
     geometry that would cross itself, stays as it is."""
-
-    return _by_row(lambda g: thinned(g, tolerance), geometry)
+    return by_row(lambda g: thinned(g, tolerance), geometry)
 
 
-def difference(a: Column, b: Column) -> Column:
-    """What is in `a` and not in `b`, of one row's geometries."""
+def _empty_for_null(geometry: Column) -> Column:
+    return F.coalesce(geometry, F.array().cast(G.GEOMETRY))
 
-    @F.pandas_udf(f"struct<g:{G.GEOMETRY}>")
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"g": [overlay([list(x) if x is not None else [], list(y) if y is not None else []], lambda i: i[0] and not i[1]) for x, y in zip(rows["a"], rows["b"], strict=True)]})
 
-    return run.asNondeterministic()(F.struct(a.alias("a"), b.alias("b")))["g"]
+def difference(a: Column, b: Column) -> Column:
+    """What is in `a` and not in `b`, of one row's geometries; a null one is empty."""
+    return by_row(lambda x, y: overlay([x, y], lambda i: i[0] and not i[1]), _empty_for_null(a), _empty_for_null(b))
 
 
 def union_in_tiles(df: DataFrame, size: float, by: list[str], geometry: str = "geometry") -> DataFrame:
@@ -284,28 +272,30 @@ def union_in_tiles(df: DataFrame, size: float, by: list[str], geometry: str = "g
     """
     from terraloom.operators.spatial import assign_tiles
 
-    def work(frame: pd.DataFrame) -> pd.DataFrame:
-        x, y = frame["tx"].iloc[0] * size, frame["ty"].iloc[0] * size
-        tile = [[[{"x": x + a * size, "y": y + b * size} for a, b in ((0, 0), (0, 1), (1, 1), (1, 0), (0, 0))]]]
-        shapes = [list(g) for g in frame["g"]]
+    def work(rows: pa.Table) -> pa.Table:
+        key = rows.select([*by, "tx", "ty"]).slice(0, 1)
+        x, y = key["tx"][0].as_py() * size, key["ty"][0].as_py() * size
+        tile = [[np.array([(x + a * size, y + b * size) for a, b in ((0, 0), (0, 1), (1, 1), (1, 0), (0, 0))])]]
+        shapes = shapes_of(rows["g"])
         while len(shapes) > 1:
             shapes = [overlay(shapes[i : i + 2], any) if i + 1 < len(shapes) else shapes[i] for i in range(0, len(shapes), 2)]
-        clipped = overlay([shapes[0], tile], all)
-        return pd.DataFrame({**{c: frame[c].iloc[:1] for c in [*by, "tx", "ty"]}, "geometry": [clipped]})
+        return key.append_column("geometry", column_of([overlay([shapes[0], tile], all)]))
 
-    rows = assign_tiles(df.select(*by, F.col(geometry).alias("g")), size, "g").select(*by, "tile.tx", "tile.ty", "g")
-    schema = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in by) + f", tx long, ty long, geometry {G.GEOMETRY}"
-    return rows.groupBy(*by, "tx", "ty").applyInPandas(work, schema).where("size(geometry) > 0")
+    rows = assign_tiles(df.select(*by, F.col(geometry).alias("g")).where(F.size("g") > 0), size, "g").select(*by, "tile.tx", "tile.ty", "g")
+    schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in by) + f", tx long, ty long, geometry {G.GEOMETRY}"
+    return rows.groupBy(*by, "tx", "ty").applyInArrow(work, schema).where("size(geometry) > 0")
 
 
 def standard_pipeline(df: DataFrame, geometry: str = "geometry", srid: int = 25832) -> DataFrame:
-    """The gate for whole batches: repair, to degrees, repair; any geometry that isn't simple then is an error, null and
-    empty ones are dropped."""
+    """The gate for whole batches: repair, to degrees, repair again; any geometry that isn't simple then is an error, null
+    and empty ones are dropped. The second repair snaps to 1e-9 degrees, a tenth of a millimetre."""
     g = F.col(geometry) if srid == 25832 else crs.transformed(F.col(geometry), crs.to_utm32)
     out = df.withColumn(geometry, repaired(g)).where(F.col(geometry).isNotNull())
-    out = out.withColumn("_ok", is_simple(F.col(geometry)))
-    checked = F.when(F.col("_ok"), crs.transformed(F.col(geometry), crs.to_wgs84)).otherwise(F.raise_error(F.lit("a geometry is not valid after repair")))
-    return out.withColumn(geometry, checked).drop("_ok").withColumn("srid", F.lit(4326))
+    out = out.withColumn(geometry, repaired(crs.transformed(F.col(geometry), crs.to_wgs84), 1e-9))
+    ok = unused(out, "ok")
+    out = out.withColumn(ok, is_simple(F.col(geometry)))
+    checked = F.when(F.col(ok), F.col(geometry)).otherwise(F.raise_error(F.lit("a geometry is not valid after repair")))
+    return out.withColumn(geometry, checked).drop(ok).withColumn("srid", F.lit(4326))
 
 
 def filtering_pipeline(df: DataFrame, wkb: str = "geometry", min_points: int = 4, min_area: float = 1.0, max_area: float = 1e8) -> DataFrame:
@@ -315,15 +305,17 @@ def filtering_pipeline(df: DataFrame, wkb: str = "geometry", min_points: int = 4
     """
     names = [c for c in df.columns if c != wkb]
 
-    def run(frames):
-        for frame in frames:
-            found = [decode_one(b) for b in frame[wkb]]
+    def run(batches):
+        for batch in batches:
+            found = [decode_one(b) for b in batch.column(wkb).to_pylist()]
             found = [thinned([tidied(p) for p in g]) if g is not None else None for g in found]
-            good = [g is not None and all(map(len, g)) and all(len(r) >= 4 for p in g for r in p) and not crosses_itself(g) for g in found]
-            yield frame[names].assign(geometry=pd.Series(found, index=frame.index, dtype=object))[good]
+            good = [g is not None and len(g) > 0 and all(map(len, g)) and all(len(r) >= 4 for p in g for r in p) and not crosses_itself(g) for g in found]
+            kept = batch.select(names).filter(pa.array(good, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([*kept.columns, column_of([g for g, ok in zip(found, good, strict=True) if ok])], names=[*names, "geometry"])
 
     schema = "".join(f"`{c}` {df.schema[c].dataType.simpleString()}, " for c in names) + f"geometry {G.GEOMETRY}"
     g = F.col("geometry")
-    out = df.mapInPandas(run, schema).withColumns({"num_points": G.n_points(g), "area_m2": G.area(crs.transformed(g, crs.to_utm32)), "bbox": G.bbox(g), "_c": G.centroid(g)})
+    centre = unused(df, "centre")
+    out = df.mapInArrow(run, schema).withColumns({"num_points": G.n_points(g), "area_m2": G.area(crs.transformed(g, crs.to_utm32)), "bbox": G.bbox(g), centre: G.centroid(g)})
     out = out.where((F.col("num_points") >= min_points) & F.col("area_m2").between(min_area, max_area))
-    return out.select(*names, "geometry", "bbox", F.col("_c.x").alias("center_x"), F.col("_c.y").alias("center_y"), "num_points", "area_m2")
+    return out.select(*names, "geometry", "bbox", F.col(f"{centre}.x").alias("center_x"), F.col(f"{centre}.y").alias("center_y"), "num_points", "area_m2")

@@ -33,18 +33,31 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; one of our own only where the cluster names none."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    return named or os.path.join(os.environ.get("TMPDIR", "/tmp"), "terraloom-shared")
+    """The folder that the driver and all executors share: what spark.checkpoint.dir names, or the application's own
+    checkpoint folder. On one machine a temporary folder will do; on a cluster it would be scattered, so that is an error."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return os.path.join(os.environ.get("TMPDIR", "/tmp"), "terraloom-shared")
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """`df`, computed once and kept in the shared folder: its lineage is cut and losing an executor loses nothing."""
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(os.path.join(shared_dir(spark), f"checkpoints-{uuid.uuid4().hex[:8]}"))
+        spark.sparkContext.setCheckpointDir(f"{shared_dir(spark)}/checkpoints-{uuid.uuid4().hex[:8]}")
     return df.checkpoint(eager=True)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like `name` that `df` hasn't, for a helper column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

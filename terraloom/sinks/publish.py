@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-
 def _path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -23,16 +22,34 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def replace_dir(spark: SparkSession, new: str, target: str) -> None:
-    """`new` takes the place of `target`, by renames, on whatever file system they are."""
+    """`new` takes the place of `target`, by renames, on whatever file system they are.
+
+    The last good table is kept beside it (.old) until the new one stands; if that fails, it is put back. Between the two
+    renames readers find no table. A table that an interrupted run has left as .old only is put back first.
+    """
     p, fs = _path(spark, target)
-    old, _ = _path(spark, f"{target}.old")
-    fs.delete(old, True)
+    old, source = _path(spark, f"{target}.old")[0], _path(spark, new)[0]
+    if not fs.exists(source):
+        raise FileNotFoundError(new)
+    if fs.exists(old) and not fs.exists(p):
+        _rename(fs, old, p)
     if fs.exists(p):
-        fs.rename(p, old)
-    fs.rename(_path(spark, new)[0], p)
+        fs.delete(old, True)
+        _rename(fs, p, old)
+    try:
+        _rename(fs, source, p)
+    except Exception:
+        if fs.exists(old) and not fs.exists(p):
+            _rename(fs, old, p)
+        raise
     fs.delete(old, True)
 
 
+def _rename(fs, a, b) -> None:
+    if not fs.rename(a, b):
+        raise OSError(f"could not rename {a} to {b}")
+
+
 def publish(df: DataFrame, root: str, dataset: str, name: str = "current") -> bool:
     """Write to <root>/raw/<dataset>/<name>.parquet whole, or not at all; an empty dataset is not published."""
     target = f"{root}/raw/{dataset}/{name}.parquet"
@@ -99,5 +116,3 @@ def export_records(df: DataFrame, path: str, updated: datetime) -> None:
     df.write.mode("overwrite").json(f"{path}/records")
     row = df.sparkSession.createDataFrame([(updated,)], "last_updated timestamp").withColumn("next_update", F.expr("last_updated + interval 7 days"))
     row.coalesce(1).write.mode("overwrite").json(f"{path}/metadata")
-
-

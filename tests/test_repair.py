@@ -2,17 +2,26 @@
 
 import random
 import struct
+import subprocess
+import sys
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from terraloom.functions import geometry as G
 from terraloom.functions import wkb
 from terraloom.operators import repair
+from terraloom.session import ROOT
 
 
 def ring(*points):
-    return [{"x": float(x), "y": float(y)} for x, y in [*points, points[0]]]
+    return np.array([*points, points[0]], float)
+
+
+def rows_of(g):
+    """A geometry as Spark takes it."""
+    return g if g is None else [[[{"x": float(x), "y": float(y)} for x, y in r] for r in p] for p in g]
 
 
 def box(x0, y0, x1, y1):
@@ -23,7 +32,7 @@ def area(g):
     total = 0.0
     for p in g:
         for i, r in enumerate(p):
-            a = abs(sum(u["x"] * v["y"] - v["x"] * u["y"] for u, v in zip(r, r[1:], strict=False)) / 2)
+            a = abs(sum(u[0] * v[1] - v[0] * u[1] for u, v in zip(r, r[1:], strict=False)) / 2)
             total += a if i == 0 else -a
     return total
 
@@ -60,13 +69,13 @@ def test_overlay_areas_add_up(seed):
 
 def test_validity_and_repair(spark):
     bow = [[ring((0, 0), (4, 4), (4, 0), (0, 4))]]
-    short = [[[{"x": 0.0, "y": 0.0}, {"x": 1.0, "y": 0.0}, {"x": 0.0, "y": 0.0}]]]
-    twice = [[[p for q in ring((0, 0), (0, 2), (2, 2), (2, 0)) for p in (q, q)]]]
+    short = [[ring((0, 0), (1, 0))]]
+    twice = [[np.repeat(ring((0, 0), (0, 2), (2, 2), (2, 0)), 2, 0)]]
     assert repair.crosses_itself(bow)
     assert not repair.crosses_itself(box(0, 0, 1, 1))
     assert repair.crosses_itself([[ring((0, 0), (0, 4), (4, 4), (4, 0)), ring((2, 2), (2, 6), (3, 6))]])
     rows = [(0, box(0, 0, 2, 2)), (1, bow), (2, short), (3, twice), (4, None), (5, [])]
-    df = spark.createDataFrame(rows, f"id int, g {G.GEOMETRY}")
+    df = spark.createDataFrame([(i, rows_of(g)) for i, g in rows], f"id int, g {G.GEOMETRY}")
     df = df.withColumn("r", repair.repaired(F.col("g"))).withColumns({"simple": repair.is_simple(F.col("g")), "fixed": repair.is_simple(F.col("r")), "a": G.area(F.col("r"))})
     got = {r.id: r for r in df.collect()}
     assert [got[i].simple for i in range(5)] == [True, False, False, False, None]
@@ -77,7 +86,7 @@ def test_validity_and_repair(spark):
 
 def test_simplify(spark):
     line = [[ring((0, 0), (0, 2), (0, 4), (4, 4), (4, 0))]]
-    df = spark.createDataFrame([(line,)], f"g {G.GEOMETRY}")
+    df = spark.createDataFrame([(rows_of(line),)], f"g {G.GEOMETRY}")
     assert df.select(G.n_points(repair.simplified(F.col("g"))).alias("n")).head().n == 5
 
 
@@ -85,20 +94,20 @@ def test_wkb_round_trip(spark):
     many = [*box(0, 0, 1, 1), *box(5, 5, 7, 7)]
     big_endian = struct.pack(">BIII", 0, 3, 1, 4) + struct.pack(">8d", 0, 0, 0, 1, 1, 1, 0, 0)
     rows = [(0, box(0, 0, 1, 2)), (1, many), (2, None), (3, [])]
-    df = spark.createDataFrame(rows, f"id int, g {G.GEOMETRY}").withColumn("b", wkb.to_wkb(F.col("g"))).withColumn("back", wkb.from_wkb(F.col("b")))
+    df = spark.createDataFrame([(i, rows_of(g)) for i, g in rows], f"id int, g {G.GEOMETRY}").withColumn("b", wkb.to_wkb(F.col("g"))).withColumn("back", wkb.from_wkb(F.col("b")))
     got = {r.id: r for r in df.collect()}
     assert got[0].back == got[0].g and got[1].back == got[1].g
     assert got[2].b is None and got[3].b is None and got[2].back is None
-    assert wkb.decode_one(big_endian)[0][0][2] == {"x": 1.0, "y": 1.0}
+    assert wkb.decode_one(big_endian)[0][0][2].tolist() == [1.0, 1.0]
     for bad in (b"", b"\x01", b"garbage", struct.pack("<BIdd", 1, 1, 0, 0), wkb.encode_one(many)[:-3]):
         assert wkb.decode_one(bad) is None
     spark.conf.set("spark.sql.geospatial.enabled", "true")
 
 
 def test_difference_and_tiled_union(spark):
-    df = spark.createDataFrame([(box(0, 0, 4, 4), box(2, 2, 6, 6))], f"a {G.GEOMETRY}, b {G.GEOMETRY}")
+    df = spark.createDataFrame([(rows_of(box(0, 0, 4, 4)), rows_of(box(2, 2, 6, 6)))], f"a {G.GEOMETRY}, b {G.GEOMETRY}")
     assert df.select(G.area(repair.difference(F.col("a"), F.col("b"))).alias("x")).head().x == pytest.approx(12)
-    layer = spark.createDataFrame([("k", box(0, 0, 4, 4)), ("k", box(2, 2, 6, 6)), ("k", box(1, 1, 3, 3))], f"c string, geometry {G.GEOMETRY}")
+    layer = spark.createDataFrame([("k", rows_of(box(*b))) for b in ((0, 0, 4, 4), (2, 2, 6, 6), (1, 1, 3, 3))], f"c string, geometry {G.GEOMETRY}")
     for size in (3.0, 100.0):
         tiles = repair.union_in_tiles(layer, size, ["c"])
         assert tiles.agg(F.sum(G.area(F.col("geometry"))).alias("a")).head().a == pytest.approx(28)
@@ -106,13 +115,33 @@ def test_difference_and_tiled_union(spark):
 
 def test_pipelines(spark):
     utm = [[ring((595970, 6401230), (595960, 6401230), (595960, 6401240), (595970, 6401240))]]
-    df = spark.createDataFrame([(1, utm), (2, None)], f"id int, geometry {G.GEOMETRY}")
+    df = spark.createDataFrame([(1, rows_of(utm)), (2, None)], f"id int, geometry {G.GEOMETRY}")
     out = repair.standard_pipeline(df).collect()
     assert [r.id for r in out] == [1] and out[0].srid == 4326
     p = out[0].geometry[0][0][0]
     assert (p.x, p.y) == pytest.approx((10.6121587, 57.74290978), abs=1e-7)
-    degrees = [(1, wkb.encode_one([[[{"x": q.x, "y": q.y} for q in r] for r in q] for q in out[0].geometry])), (2, b"junk"), (3, None)]
+    degrees = [(1, wkb.encode_one([[[(q.x, q.y) for q in r] for r in p] for p in out[0].geometry])), (2, b"junk"), (3, None)]
     kept = repair.filtering_pipeline(spark.createDataFrame(degrees, "id int, geometry binary")).collect()
     assert [r.id for r in kept] == [1]
     assert kept[0].area_m2 == pytest.approx(100, abs=0.01)
     assert repair.filtering_pipeline(spark.createDataFrame(degrees, "id int, geometry binary"), max_area=50).count() == 0
+
+
+@pytest.mark.parametrize("value", ["None", "[]"])
+def test_batches_without_a_polygon_in_a_fresh_session(value):
+    """A partition of nothing but null or nothing but empty geometries goes through every Python step."""
+    code = f"""
+from pyspark.sql import functions as F
+from terraloom.functions import geometry as G, wkb
+from terraloom.operators import repair
+from terraloom.session import local_session, prepare
+s = prepare(local_session(2, "fresh"))
+df = s.createDataFrame([(i, {value}) for i in range(500)], f"id int, geometry {{G.GEOMETRY}}").repartition(2)
+g = F.col("geometry")
+out = df.select("id", repair.repaired(g).alias("r"), repair.simplified(g).alias("s"), repair.is_simple(g).alias("ok"), repair.difference(g, g).alias("d"), wkb.to_wkb(g).alias("b"), wkb.from_wkb(wkb.to_wkb(g)).alias("w")).collect()
+assert len(out) == 500 and all(r.r is None and r.b is None and r.w is None for r in out)
+assert repair.standard_pipeline(df).count() == 0 and repair.union_in_tiles(df.withColumn("k", F.lit(1)), 10.0, ["k"]).count() == 0
+print("whole")
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, cwd=ROOT)
+    assert done.stdout.strip().endswith("whole"), done.stderr[-3000:]

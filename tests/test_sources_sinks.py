@@ -147,3 +147,35 @@ def test_incremental_runs(spark, tmp_path):
     ingest.log_run(spark, str(tmp_path / "runs"), "b", "failed", 1)
     got = {r.source: (r.rows, r.success) for r in ingest.run_totals(spark.read.parquet(str(tmp_path / "runs"))).collect()}
     assert got == {"a": (3, True), "b": (1, False), None: (4, False)}
+
+
+def test_replacing_a_table_never_loses_the_last_good_one(spark, tmp_path, monkeypatch):
+    from terraloom.sinks import publish as P
+
+    target = f"{tmp_path}/t.parquet"
+    spark.range(3).write.parquet(target)
+    spark.range(5).write.parquet(f"{tmp_path}/new")
+    with pytest.raises(FileNotFoundError):
+        P.replace_dir(spark, f"{tmp_path}/none", target)
+    real = P._rename
+    monkeypatch.setattr(P, "_rename", lambda fs, a, b: real(fs, a, b) if "new" not in str(a) else (_ for _ in ()).throw(OSError("refused")))
+    with pytest.raises(OSError):
+        P.replace_dir(spark, f"{tmp_path}/new", target)
+    assert spark.read.parquet(target).count() == 3
+    monkeypatch.undo()
+    P.replace_dir(spark, f"{tmp_path}/new", target)
+    assert spark.read.parquet(target).count() == 5 and not P.exists(spark, f"{target}.old")
+
+
+def test_no_machine_local_folder_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    from terraloom.session import shared_dir
+
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    context = lambda master, folder: SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: folder))
+    with pytest.raises(ValueError):
+        shared_dir(context("spark://host:7077", None))
+    with pytest.raises(ValueError):
+        shared_dir(context("local-cluster[2,1,1024]", None))
+    assert shared_dir(context("spark://host:7077", "hdfs://own/folder")) == "hdfs://own/folder"
