@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terraloom.llm.frames import crc32_mod, kept, map_texts, text_or_empty
+from terraloom.session import unused
 
 #: Labelled rows that training takes at most: those with the smallest id hashes.
 TRAIN_ROWS = 4000
@@ -155,7 +156,7 @@ def fit(rows: list[tuple[list[int], list[float], int]], rank: int = RANK, epochs
 def _metadata(docs: DataFrame, metadata: tuple[str, ...]) -> Column:
     """One column with the numbers that are there, null where `docs` hasn't the column or it isn't a number."""
     there = dict(docs.dtypes)
-    return F.array(*(F.expr(f"try_cast(`{c}` AS double)") if c in there and not there[c].startswith(("array", "map", "struct", "binary")) else F.lit(None).cast("double") for c in metadata)).alias("numbers__")
+    return F.array(*(F.expr(f"try_cast(`{c}` AS double)") if c in there and not there[c].startswith(("array", "map", "struct", "binary")) else F.lit(None).cast("double") for c in metadata))
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text", metadata: tuple[str, ...] = METADATA) -> Machine:
@@ -174,11 +175,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int
     )
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
-        rows = [features(t, tuple(m)) for t, m in zip(frame["text"], frame["numbers__"], strict=True)]
+        rows = [features(t, tuple(m)) for t, m in zip(frame["text"], frame["numbers"], strict=True)]
         return pd.DataFrame({"id": frame[id_col].astype(str), "y": frame["y"], "i": [r[0] for r in rows], "v": [r[1] for r in rows]})
 
     # `most` rows at most, whatever the input's size.
-    taught = docs.select(id_col, text_or_empty(text_col).alias("text"), _metadata(docs, metadata)).join(F.broadcast(chosen), id_col)
+    taught = docs.select(id_col, text_or_empty(text_col).alias("text"), _metadata(docs, metadata).alias("numbers")).join(F.broadcast(chosen), id_col)
     rows = map_texts(taught, work, "id string, y int, i array<int>, v array<float>").collect()
     return fit([(r.i, r.v, r.y) for r in sorted(rows, key=lambda r: (zlib.crc32(r.id.encode()), r.id, r.i))])
 
@@ -187,13 +188,14 @@ def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
     """(all columns of `docs`, score, predicted) of every whole text. Null text counts as empty. Nothing is shuffled.
     Columns of `docs` with the names of the result's give way to them."""
     names = [c for c in docs.columns if c not in ("score", "predicted")]
+    given, numbers = unused(docs, "given"), unused(docs, "numbers")
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
-        s = machine.scores(list(frame["text__"]), [tuple(m) for m in frame["numbers__"]]).astype(float)
+        s = machine.scores(list(frame[given]), [tuple(m) for m in frame[numbers]]).astype(float)
         return frame[names].assign(score=s, predicted=(s >= 0.5).astype("int32"))
 
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names) + ", score double, predicted int"
-    return map_texts(docs.select(*names, text_or_empty(text_col).alias("text__"), _metadata(docs, metadata)), work, schema, "text__")
+    return map_texts(docs.select(*names, text_or_empty(text_col).alias(given), _metadata(docs, metadata).alias(numbers)), work, schema, given)
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terraloom.llm.frames import text_or_empty
+from terraloom.session import unused
 
 #: Buckets that one- and two-token grams are hashed to.
 BUCKETS = 1 << 15
@@ -63,8 +64,8 @@ def repeated_words(windows: Column) -> Column:
     return F.when(F.size(F.array_distinct(windows)) == n, F.lit(0).cast("long")).otherwise(let(mask, measure))
 
 
-def base_counts(text: Column) -> dict[str, Column]:
-    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of a text that is not null."""
+def base_counts(text: Column, words: str) -> dict[str, Column]:
+    """n_symbols, n_dup_lines, and under the name `words` struct<n, chars, repeat>, of a text that is not null."""
 
     def of_words(w: Column) -> Column:
         def windows(h: Column) -> Column:
@@ -80,7 +81,7 @@ def base_counts(text: Column) -> dict[str, Column]:
 
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     return {
-        "_words": let(words_of(text), of_words),
+        words: let(words_of(text), of_words),
         "n_symbols": F.regexp_count(text, F.lit(SYMBOLS)).cast("long"),
         "n_dup_lines": let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")),
     }
@@ -153,7 +154,8 @@ def apply_rules(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOL
     weights = F.from_json(F.lit(json.dumps([round(w, 5) for w in gram_weights(docs, trusted, id_col, text_col, buckets)])), "array<double>")
     text = text_or_empty(text_col)
     named = {"n_words": "n", "word_chars": "chars", "n_repeat_words": "repeat"}
-    out = docs.withColumns(base_counts(text) | {"llr": mean_weight(text, weights, buckets)})
-    out = out.withColumns({k: F.col(f"_words.{v}") for k, v in named.items()}).drop("_words")
+    words = unused(docs, "words")
+    out = docs.withColumns(base_counts(text, words) | {"llr": mean_weight(text, weights, buckets)})
+    out = out.withColumns({k: F.col(f"`{words}`.{v}") for k, v in named.items()}).drop(words)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return out.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
