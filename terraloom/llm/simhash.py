@@ -12,12 +12,17 @@ from pyspark.sql import functions as F
 
 from terraloom.llm.frames import map_texts, text_or_empty
 from terraloom.operators.components import connected_components
-from terraloom.session import checkpointed
+from terraloom.session import checkpointed, unused
 
 SHINGLE, SEED, DISTANCE = 4, 42, 4
 
-#: Three bands of bits: (first bit, bits). Of four differing bits, one band at least has no more than one.
-BANDS = ((0, 21), (21, 21), (42, 22))
+#: Three bands of bits, each of stretches (first bit, bits): of four differing bits, one band at least has no more than one.
+BANDS = (((0, 21),), ((21, 21),), ((42, 22),))
+#: Ten bands, the pairs of five stretches: of four differing bits, two stretches at least have no more than one together.
+#: Four times as many rows, but sixteen to thirty-two times as many anchors: for more than some 10^8 different fingerprints,
+#: where BANDS' anchors, whose number does not grow, would be crowded. The links are the same.
+_STRETCHES = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
+FINE_BANDS = tuple((a, b) for i, a in enumerate(_STRETCHES) for b in _STRETCHES[i + 1 :])
 #: In a band the low 15 bits are covered by the Hamming code of length 15, of radius 1; the others stand as they are.
 COVERED = 15
 #: An anchor with more rows is dealt out in pairs of parts of about this many rows.
@@ -59,10 +64,14 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return map_texts(docs.select(*columns, text_or_empty(text_col).alias("text")), work, f"{kinds}, fp long")
 
 
-def classes_of(distinct: DataFrame, distance: int) -> DataFrame:
-    """`distinct` (one row a fingerprint) with its class's smallest fingerprint as `component`."""
-    classes = connected_components(link_fingerprints(distinct, distance)).select(F.col("node").alias("fp"), "component")
-    return distinct.join(classes, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+#: Parts that a class is dealt to where its name is joined to its fingerprints.
+SPREAD = 16
+
+
+def classes_of(distinct: DataFrame, distance: int, bands: tuple = BANDS) -> DataFrame:
+    """(fp, first, component): the rows of `distinct` (one a fingerprint) that are linked to others, with the smallest
+    fingerprint of their class."""
+    return distinct.join(connected_components(link_fingerprints(distinct, distance, bands)).select(F.col("node").alias("fp"), "component"), "fp")
 
 
 def _syndrome(x: np.ndarray) -> np.ndarray:
@@ -84,14 +93,17 @@ def _errors() -> tuple[np.ndarray, np.ndarray]:
     return np.array([f + f[:1] * (width - len(f)) for f in found]), real
 
 
-def anchor_rows(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def anchor_rows(fp: np.ndarray, bands: tuple = BANDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(anchor, fp, home) for every anchor that a fingerprint goes to. Its home is the codeword that covers it; it is
     replicated to every anchor within the covering radius plus one, counted on the covered bits and the others apart:
     two fingerprints that differ in one bit of a band meet at the home of either."""
     errors, real = _errors()
     keys, fps, homes = [], [], []
-    for band, (shift, bits) in enumerate(BANDS):
-        x = (fp.view(np.uint64) >> np.uint64(shift)).astype(np.int64) & ((1 << bits) - 1)
+    for band, stretches in enumerate(bands):
+        x, bits = np.zeros(len(fp), np.int64), 0
+        for shift, n in stretches:
+            x |= ((fp.view(np.uint64) >> np.uint64(shift)).astype(np.int64) & ((1 << n) - 1)) << bits
+            bits += n
         low, high = x & ((1 << COVERED) - 1), x >> COVERED
         s = _syndrome(low)
         near = (high[:, None] << COVERED) | (low[:, None] ^ errors[s])
@@ -149,12 +161,12 @@ def links_of_sorted(group: np.ndarray, fp: np.ndarray, home: np.ndarray, distanc
     return fp[linked], fp[forest.label[linked]]
 
 
-def link_fingerprints(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
+def link_fingerprints(distinct: DataFrame, distance: int = DISTANCE, bands: tuple = BANDS) -> DataFrame:
     """(src, dst): links that join the same classes as all pairs of different `fp` at `distance` or fewer bits."""
 
     def spread(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            key, fp, home = anchor_rows(frame["fp"].to_numpy())
+            key, fp, home = anchor_rows(frame["fp"].to_numpy(), bands)
             yield pd.DataFrame({"anchor": key, "fp": fp, "home": home})
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -172,11 +184,12 @@ def link_fingerprints(distinct: DataFrame, distance: int = DISTANCE) -> DataFram
             yield pd.DataFrame({"src": src, "dst": dst})
 
     rows = distinct.select("fp").mapInPandas(spread, "anchor long, fp long, home boolean")
-    # At most PART_ROWS-th of the rows, and never more than the code has anchors (3 * 2^18): a bounded broadcast.
+    # Never more than a PART_ROWS-th of the rows; with BANDS never more than the code has anchors (3 * 2^18), and the planner
+    # broadcasts it where it is small.
     parts = rows.groupBy("anchor").count().where(F.col("count") > PART_ROWS).select("anchor", F.ceil(F.col("count") / PART_ROWS).cast("int").alias("parts"))
     mine = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
     dealt = (
-        rows.join(F.broadcast(parts), "anchor", "left")
+        rows.join(F.broadcast(parts) if bands is BANDS else parts, "anchor", "left")
         .withColumn("mine", F.when(F.col("parts").isNull(), F.lit(0)).otherwise(mine))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("parts"), F.lit(1)) - 1)))
         .select("anchor", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"), "fp", "home")
@@ -184,7 +197,7 @@ def link_fingerprints(distinct: DataFrame, distance: int = DISTANCE) -> DataFram
     return dealt.repartition("anchor", "a", "b").sortWithinPartitions("anchor", "a", "b").mapInPandas(compare, "src long, dst long")
 
 
-def near_duplicates(docs: DataFrame, distance: int = DISTANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, distance: int = DISTANCE, id_col: str = "doc_id", text_col: str = "text", bands: tuple = BANDS) -> DataFrame:
     """(id, fingerprint, component_id) of every document; component_id is the smallest id reachable over links.
 
     Bands: 64 bits cannot be covered whole at a bearable cost, so three bands share the threshold and each has a
@@ -195,9 +208,10 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, id_col: str = "do
     """
     each = checkpointed(fingerprints(docs, id_col, text_col))
     distinct = each.groupBy("fp").agg(F.min(id_col).alias("first"))
-    named = classes_of(distinct, distance)
-    smallest = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    by_fp = named.select("fp", "component").join(smallest, "component").select("fp", "component_id")
+    linked = checkpointed(classes_of(distinct, distance, bands).withColumn("salt", F.pmod("fp", F.lit(SPREAD))))
+    smallest = linked.groupBy("component").agg(F.min("first").alias("component_id")).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long"))))
+    named = linked.join(smallest, ["component", "salt"]).select("fp", "component_id")
+    by_fp = distinct.join(named, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
     return each.join(by_fp, "fp").select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -211,11 +225,16 @@ def keep_one(docs: DataFrame, distance: int = DISTANCE, id_col: str = "doc_id",
     part = lambda c: F.coalesce(F.concat(F.lit("="), c), F.lit("null"))
     key = F.sha2(F.concat(part(F.col(id_col).cast("string")), F.lit("\n"), part(F.col(text_col))), 256)
     others = [c for c in docs.columns if c not in (id_col, text_col)]
-    order = Window.partitionBy("_key").orderBy(F.xxhash64(*others) if others else F.lit(0))
-    keyed = docs.withColumn("_key", key)
-    each = checkpointed(fingerprints(keyed.withColumn("_id", F.col(id_col).cast("string")), "_key", text_col, ("_id",)))
-    first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").cast(docs.schema[id_col].dataType).alias("id"), F.col("_key").alias("key")))
-    named = classes_of(each.groupBy("fp").agg(first.alias("first")), distance)
-    keep = named.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.key").alias("_key"))
-    single = keyed.withColumn("_k", F.row_number().over(order)).where("_k = 1").drop("_k")
-    return single.join(keep, "_key", "left_semi").select(*docs.columns)
+    by, rank = unused(docs, "key"), unused(docs, "rank")
+    order = Window.partitionBy(by).orderBy(F.xxhash64(*others) if others else F.lit(0))
+    keyed = docs.withColumn(by, key)
+    given = docs.select(key.alias("key"), F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
+    each = checkpointed(fingerprints(given, "key", "text", ("id",)))
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").cast(docs.schema[id_col].dataType).alias("id"), F.col("key").alias("key")))
+    distinct = each.groupBy("fp").agg(first.alias("first"))
+    linked = checkpointed(classes_of(distinct, distance).select("fp", "first", "component"))
+    smallest = linked.groupBy("component").agg(F.min("first").alias("first"))
+    alone = distinct.join(linked.select("fp"), "fp", "left_anti")
+    keep = smallest.select("first").union(alone.select("first")).select(F.col("first.key").alias(by))
+    single = keyed.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).drop(rank)
+    return single.join(keep, by, "left_semi").select(*docs.columns)

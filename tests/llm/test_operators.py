@@ -156,8 +156,9 @@ def test_simhash_links_equal_brute_force(docs, none, rows, text_of):
         assert r.component_id == find(r.doc_id)
 
 
+@pytest.mark.parametrize("bands", [simhash.BANDS, simhash.FINE_BANDS])
 @pytest.mark.parametrize("seed", range(4))
-def test_every_close_pair_meets(seed, monkeypatch):
+def test_every_close_pair_meets(seed, bands, monkeypatch):
     """All pairs at up to four bits of random fingerprints and their perturbations meet at an anchor, also in parts."""
     rng = np.random.default_rng(seed)
     base = rng.integers(0, 1 << 63, 60, dtype=np.int64)
@@ -169,7 +170,7 @@ def test_every_close_pair_meets(seed, monkeypatch):
                 flip[i] ^= np.int64(np.uint64(1 << int(b)).astype(np.int64))
         fp.append(base ^ flip)
     fp = np.unique(np.concatenate(fp))
-    key, value, home = simhash.anchor_rows(fp)
+    key, value, home = simhash.anchor_rows(fp, bands)
     order = np.lexsort((value, key))
     if seed % 2:
         monkeypatch.setattr(simhash, "STEP_PAIRS", 7)
