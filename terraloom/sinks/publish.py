@@ -21,6 +21,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    p, fs = _path(spark, path)
+    fs.delete(p, True)
+
+
 def replace_dir(spark: SparkSession, new: str, target: str) -> None:
     """`new` takes the place of `target`, by renames, on whatever file system they are.
 
