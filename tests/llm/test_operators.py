@@ -234,6 +234,64 @@ def test_packing_is_whole_and_tight(docs, none, rows, text_of):
         assert n == 256 or n & (n - 1) == 0
 
 
+@pytest.mark.parametrize("seed", range(5))
+def test_packing_equals_a_plain_packer(seed):
+    """Best fit among the open windows, the fullest cut when none fits, leftovers poured together: step by step."""
+    rng = random.Random(seed)
+    size, most = 64, 4
+    docs = [rng.choice([1, 3, 10, 40, 63, 64, 65, 200]) for _ in range(200)]
+    windows, want, emitted = [], [], 0
+
+    def out(pieces):
+        nonlocal emitted
+        at = 0
+        for doc, start, n in pieces:
+            want.append((doc, start, n, emitted, at))
+            at += n
+        emitted += 1
+
+    for doc, n in enumerate(docs):
+        start = 0
+        while n - start >= size:
+            out([(doc, start, size)])
+            start += size
+        while start < n:
+            room = [size - sum(p[2] for p in w) for w in windows]
+            fitting = [(r, i) for i, r in enumerate(room) if r >= n - start]
+            if fitting:
+                i = min(fitting)[1]
+            elif len(windows) < most:
+                windows.append([])
+                room.append(size)
+                i = len(windows) - 1
+            else:
+                i = min((r, k) for k, r in enumerate(room))[1]
+            take = min(room[i], n - start)
+            windows[i].append((doc, start, take))
+            start += take
+            if take == room[i]:
+                out(windows.pop(i))
+    windows.sort(key=lambda w: -sum(p[2] for p in w))
+    units = [(doc, start + k) for w in windows for doc, start, n in w for k in range(n)]
+    while units:
+        n = size if len(units) >= size else 1 << (len(units).bit_length() - 1)
+        row, units = units[:n], units[n:]
+        pieces = []
+        for doc, at in row:
+            if pieces and pieces[-1][0] == doc and pieces[-1][1] + pieces[-1][2] == at:
+                pieces[-1] = (doc, pieces[-1][1], pieces[-1][2] + 1)
+            else:
+                pieces.append((doc, at, 1))
+        out(pieces)
+    packer = packing.Packer(0, size, most)
+    for doc, n in enumerate(docs):
+        packer.add(doc, np.arange(n, dtype=np.uint32))
+    packer.finish()
+    got = [(r[0], r[1], r[2], r[5], r[6]) for r in packer.rows]
+    whole = lambda rows: sorted((d, s + k, q, o + k) for d, s, n, q, o in rows for k in range(n))
+    assert whole(got) == whole(want)
+
+
 def test_token_counts_equal_the_library(docs, none, rows, text_of):
     from tokenizers import Tokenizer
 
@@ -456,9 +514,29 @@ def test_quality_rules_equal_brute_force(docs, none, labels, rows, text_of):
         covered = {i + k for i in range(len(w) - 2) if seen[tuple(w[i : i + 3])] > 1 for k in range(3)}
         return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(covered)
 
+    def grams(t):
+        import regex
+
+        tokens = regex.split(r"(?<=[\p{L}\p{N}])(?=[^\p{L}\p{N} \t\n\x0b\f\r])|[ \t\n\x0b\f\r]+", t, flags=regex.V1)
+        one = [xxhash.xxh64_intdigest(x.encode(), 42) for x in tokens]
+        two = [xxhash.xxh64_intdigest(y.encode(), h) for h, y in zip(one, tokens[1:], strict=False)] + one[-1:]
+        signed = [h - (1 << 64) if h >> 63 else h for h in one + two]
+        return [h % quality_rules.BUCKETS for h in signed]
+
     trusted = labels.where("quality = 1").select("doc_id")
+    good = {r.doc_id for r in trusted.collect()}
+    raw, target = Counter(), Counter()
+    for i, t, *_ in rows:
+        raw.update(grams(t or ""))
+        target.update(grams(t or "") if i in good else [])
+    n, m = sum(raw.values()), sum(target.values())
+    prior = quality_rules.SMOOTHING * m
+    weight = {g: np.log((target[g] + prior * c / n) / (m + prior) / (c / n)) for g, c in raw.items()}
     got = quality_rules.apply_rules(docs, trusted).toPandas()
     assert len(got) == len(rows)
+    for r in got.itertuples():
+        g = grams(text_of[r.doc_id])
+        assert r.llr == pytest.approx(sum(weight[x] for x in g) / len(g), abs=1e-4), r.doc_id
     for r in got.itertuples():
         want = slow(text_of[r.doc_id])
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want, r.doc_id

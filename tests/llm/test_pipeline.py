@@ -60,3 +60,23 @@ def test_near_duplicates_with_null_and_repeated_ids(spark):
     got = corpus_pipeline.near_duplicates(spark, docs, SF_DIR)
     assert got.columns == docs.columns
     assert sorted((r.doc_id or 0, r.text) for r in got.collect()) == sorted([(0, text(1)), (0, text(2)), (5, text(3)), (5, text(4)), (9, text(5))])
+
+
+def test_stages_on_nulls_repeats_empty_texts_and_clashing_names(spark):
+    good = spark.read.parquet(f"{SF_DIR}/documents.parquet").join(spark.read.parquet(f"{SF_DIR}/labels.parquet").where("quality = 1").select("doc_id"), "doc_id").orderBy("doc_id").limit(20).collect()
+    long = max((r.text for r in good), key=len)
+    rows = [(r.doc_id, r.text, r.lang, r.source, len(r.text)) for r in good]
+    rows += [(None, rows[0][1] + " tail", None, None, None), (None, None, "en", "s", None), (7_000_001, "", "en", "s", 0), rows[3], rows[3], (7_000_002, (long + " ") * 50, "en", "s", 1)]
+    extra = "key string, rank int, given string, words int, score double, text__ string"
+    docs = spark.createDataFrame([(*r, "k", 1, "g", 2, 0.5, "t") for r in rows], f"doc_id long, text string, lang string, source string, n_chars int, {extra}")
+    counts = {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF_DIR)
+        counts[name] = out.count()
+        if name != "packing":
+            assert out.columns == docs.columns, name
+        assert stage(spark, docs.limit(0), SF_DIR).count() == 0, name
+    assert counts["pii"] == len(rows)
+    assert counts["quality_rules"] <= len(rows) - 2
+    assert counts["packing"] >= len(rows)
+    assert counts["simhash_near_dedup"] < len(rows)
