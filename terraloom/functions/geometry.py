@@ -147,18 +147,17 @@ def edges_of(geometry: Column) -> Column:
 
 
 def rings_by_turn(rings: Column) -> Column:
-    """Polygons of rings whose turn tells shells (clockwise) from holes (counter-clockwise). A hole goes to the first
-    shell whose box holds its first point; a hole without a shell becomes a shell."""
+    """Polygons of rings whose turn tells shells (clockwise) from holes (counter-clockwise). A hole goes to the smallest
+    shell that contains the middle of its first edge; a hole without a shell becomes a shell."""
     shells = F.filter(rings, lambda r: ~is_ccw(r))
     holes = F.filter(rings, lambda r: is_ccw(r))
 
     def inside(h: Column, s: Column) -> Column:
-        q = F.get(h, F.lit(0))
-        xs, ys = F.transform(s, lambda p: p["x"]), F.transform(s, lambda p: p["y"])
-        return q["x"].between(F.array_min(xs), F.array_max(xs)) & q["y"].between(F.array_min(ys), F.array_max(ys))
+        a, b = F.get(h, F.lit(0)), F.get(h, F.lit(1))
+        return contains(s, F.struct(((a["x"] + b["x"]) / 2).alias("x"), ((a["y"] + b["y"]) / 2).alias("y")))
 
     def built(s: Column) -> Column:
-        owner = lambda h: F.array_min(F.transform(s, lambda r, i: F.when(inside(h, r), i)))
+        owner = lambda h: F.array_min(F.filter(F.transform(s, lambda r, i: F.when(inside(h, r), F.struct(F.abs(signed_area(r)).alias("a"), i.alias("i")))), lambda x: x.isNotNull()))["i"]
         with_holes = F.transform(s, lambda r, i: F.concat(F.array(r), F.filter(holes, lambda h: owner(h) == i)))
         lone = F.transform(F.filter(holes, lambda h: owner(h).isNull()), lambda h: F.array(h))
         return F.concat(with_holes, lone)
@@ -166,6 +165,27 @@ def rings_by_turn(rings: Column) -> Column:
     return let(shells, built)
 
 
+def contains(ring: Column, p: Column) -> Column:
+    """Whether a point is inside a ring, by the edges that a line to its right crosses."""
+    crosses = lambda a, b: ((a["y"] > p["y"]) != (b["y"] > p["y"])) & (p["x"] < (b["x"] - a["x"]) * (p["y"] - a["y"]) / F.nullif(b["y"] - a["y"], F.lit(0.0)) + a["x"])
+    return F.size(F.filter(_edges(ring, crosses), lambda c: c)) % 2 == 1
+
+
+def parts(geometry: Column) -> Column:
+    """A multipolygon's polygons, each a geometry of its own."""
+    return F.transform(geometry, lambda p: F.array(p))
+
+
+def from_wkt(text: Column) -> Column:
+    """Polygons of well-known text of a polygon or multipolygon; null for anything else and for unreadable numbers."""
+    kind = F.upper(F.regexp_extract(text, r"^\s*([A-Za-z]+)", 1))
+    body = F.regexp_replace(F.regexp_replace(text, r"^[^(]*\(+\s*", ""), r"\s*\)+\s*$", "")
+    one = lambda r: F.transform(F.split(F.trim(r), r"\s*,\s*"), lambda p: F.struct(F.get(F.split(p, r"\s+"), F.lit(0)).try_cast("double").alias("x"), F.get(F.split(p, r"\s+"), F.lit(1)).try_cast("double").alias("y")))
+    built = F.transform(F.split(body, r"\)\s*\)\s*,\s*\(\s*\("), lambda p: F.transform(F.split(p, r"\)\s*,\s*\("), one))
+    good = lambda g: F.forall(points(g), lambda q: q["x"].isNotNull() & q["y"].isNotNull())
+    return F.when(kind.isin("POLYGON", "MULTIPOLYGON"), let(built, lambda g: F.when(good(g), g)))
+
+
 def wkt(geometry: Column) -> Column:
     """Well-known text of a multipolygon."""
     ring = lambda r: F.concat(F.lit("("), F.array_join(F.transform(r, lambda p: F.concat_ws(" ", p["x"].cast("string"), p["y"].cast("string"))), ", "), F.lit(")"))

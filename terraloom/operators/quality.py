@@ -70,3 +70,23 @@ def check_table(df: DataFrame, checks: Mapping[str, tuple[str, Column]]) -> Data
 def structure_profile(df: DataFrame, json_column: str) -> DataFrame:
     """(key, records): how many records have each top-level key."""
     return df.select(F.explode(F.array_distinct(F.json_object_keys(json_column))).alias("key")).groupBy("key").agg(F.count("*").alias("records"))
+
+
+def has_rows() -> Column:
+    return F.count("*") > 0
+
+
+def has_columns(df: DataFrame, names: Sequence[str]) -> Column:
+    """A constant: the columns are known before a row is read."""
+    return F.max(F.lit(not missing_columns(df, names)))
+
+
+def all_rows(ok: Column) -> Column:
+    """Whether a condition holds in every row; null counts as broken."""
+    return F.coalesce(F.bool_and(F.coalesce(ok, F.lit(False))), F.lit(True))
+
+
+def contracts(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
+    """(check, ok) of a step's output, from one pass."""
+    held = df.agg(*(c.alias(k) for k, c in checks.items()))
+    return held.select(F.explode(F.array(*(F.struct(F.lit(k).alias("check"), F.coalesce(F.col(k), F.lit(False)).alias("ok")) for k in checks))).alias("r")).select("r.*")

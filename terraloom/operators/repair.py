@@ -7,14 +7,15 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terraloom.functions import crs
 from terraloom.functions import geometry as G
 from terraloom.functions.shapes import by_row, column_of, holds_by_row, shapes_of
 from terraloom.functions.wkb import decode_one
-from terraloom.session import unused
+from terraloom.operators.components import connected_components
+from terraloom.session import checkpointed, unused
 
 #: Coordinates are snapped to this grid before rings are cut and joined.
 SNAP = 1e-3
@@ -264,26 +265,129 @@ def difference(a: Column, b: Column) -> Column:
     return by_row(lambda x, y: overlay([x, y], lambda i: i[0] and not i[1]), _empty_for_null(a), _empty_for_null(b))
 
 
-def union_in_tiles(df: DataFrame, size: float, by: list[str], geometry: str = "geometry") -> DataFrame:
+def intersection(a: Column, b: Column) -> Column:
+    """What is in both of one row's geometries; null if one is null."""
+    return by_row(lambda x, y: overlay([x, y], all), a, b)
+
+
+def union_in_tiles(df: DataFrame, size: float, by: list[str], geometry: str = "geometry", rank: str | None = None) -> DataFrame:
     """Union of a layer's features by tile: (by, tile, geometry), the pieces of each tile clipped to it.
 
     A feature goes to each tile that it touches; a tile's pieces are united two by two, so a task holds one tile's
     features. Tiles of `size` must be small enough for that. Pieces of neighbouring tiles share the tile's edge.
+    With `rank`, one of the columns `by`, layers that differ in it alone take ground from each other: each gets its union
+    without the unions of those with a smaller rank.
     """
     from terraloom.operators.spatial import assign_tiles
 
+    group = [c for c in by if c != rank]
+    union = lambda shapes: shapes[0] if len(shapes) == 1 else overlay([union(shapes[: len(shapes) // 2]), union(shapes[len(shapes) // 2 :])], any)
+
     def work(rows: pa.Table) -> pa.Table:
-        key = rows.select([*by, "tx", "ty"]).slice(0, 1)
-        x, y = key["tx"][0].as_py() * size, key["ty"][0].as_py() * size
+        x, y = rows["tx"][0].as_py() * size, rows["ty"][0].as_py() * size
         tile = [[np.array([(x + a * size, y + b * size) for a, b in ((0, 0), (0, 1), (1, 1), (1, 0), (0, 0))])]]
-        shapes = shapes_of(rows["g"])
-        while len(shapes) > 1:
-            shapes = [overlay(shapes[i : i + 2], any) if i + 1 < len(shapes) else shapes[i] for i in range(0, len(shapes), 2)]
-        return key.append_column("geometry", column_of([overlay([shapes[0], tile], all)]))
+        ranks = rows[rank].to_pylist() if rank else [0] * len(rows)
+        shapes, taken, out, first = shapes_of(rows["g"]), [], [], []
+        for r in sorted(set(ranks)):
+            mine = [i for i, k in enumerate(ranks) if k == r]
+            whole = overlay([union([shapes[i] for i in mine]), tile], all)
+            out.append(overlay([whole, taken], lambda i: i[0] and not i[1]) if taken else whole)
+            taken = overlay([taken, whole], any) if taken else whole
+            first.append(mine[0])
+        return rows.select([*by, "tx", "ty"]).take(first).append_column("geometry", column_of(out))
 
     rows = assign_tiles(df.select(*by, F.col(geometry).alias("g")).where(F.size("g") > 0), size, "g").select(*by, "tile.tx", "tile.ty", "g")
     schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in by) + f", tx long, ty long, geometry {G.GEOMETRY}"
-    return rows.groupBy(*by, "tx", "ty").applyInArrow(work, schema).where("size(geometry) > 0")
+    return rows.where(F.col(rank).isNotNull() if rank else F.lit(True)).groupBy(*group, "tx", "ty").applyInArrow(work, schema).where("size(geometry) > 0")
+
+
+def _open_edges(pieces: DataFrame, size: float, by: list[str]) -> DataFrame:
+    """(by, ax, ay, bx, by_) in millimetres: directed edges of the pieces, covered ground to the right, without the seams
+    between tiles. What lies on a tile's line is summed up along it; where both sides are covered nothing is left."""
+    side = round(size * 1000)
+    mm = lambda c: F.round(F.col(f"e.{c}") * 1000).cast("long")
+    e = pieces.select(*by, F.explode(G.edges_of(F.col("geometry"))).alias("e")).select(*by, mm("x1").alias("ax"), mm("y1").alias("ay"), mm("x2").alias("bx"), mm("y2").alias("by_")).where("ax <> bx OR ay <> by_")
+    upright, level = (F.col("ax") == F.col("bx")) & (F.col("ax") % side == 0), (F.col("ay") == F.col("by_")) & (F.col("ay") % side == 0)
+    start, stop = F.when(upright, F.col("ay")).otherwise(F.col("ax")), F.when(upright, F.col("by_")).otherwise(F.col("bx"))
+    way = F.when(stop > start, 1).otherwise(-1)
+    seam = e.where(upright | level).select(*by, upright.alias("upright"), F.when(upright, F.col("ax")).otherwise(F.col("ay")).alias("line"), F.floor(F.least(start, stop) / side).alias("cell"), F.array(F.struct(F.least(start, stop).alias("at"), way.alias("d")), F.struct(F.greatest(start, stop).alias("at"), (-way).alias("d"))).alias("ends"))
+    key = [*by, "upright", "line", "cell"]
+    sums = seam.select(*key, F.explode("ends").alias("p")).groupBy(*key, "p.at").agg(F.sum("p.d").alias("d"))
+    w = Window.partitionBy(*key).orderBy("at")
+    left = sums.select(*key, "at", F.sum("d").over(w).alias("net"), F.lead("at").over(w).alias("to")).where("net <> 0 AND to IS NOT NULL")
+    first, last = F.when(F.col("net") > 0, F.col("at")).otherwise(F.col("to")), F.when(F.col("net") > 0, F.col("to")).otherwise(F.col("at"))
+    x = lambda v: F.when(F.col("upright"), F.col("line")).otherwise(v)
+    y = lambda v: F.when(F.col("upright"), v).otherwise(F.col("line"))
+    border = left.select(*by, x(first).alias("ax"), y(first).alias("ay"), x(last).alias("bx"), y(last).alias("by_"))
+    return e.where(~(upright | level)).unionByName(border)
+
+
+def _walk(edges: np.ndarray) -> list[np.ndarray]:
+    """Closed rings of directed edges; where several go on, the sharpest right turn is taken. Points between two edges of
+    one direction are left out."""
+    out: dict[tuple, list] = {}
+    for ax, ay, bx, by in edges.tolist():
+        out.setdefault((ax, ay), []).append((bx, by))
+    rings = []
+    for start in sorted(out):
+        while out[start]:
+            ring, here, came = [start], start, None
+            while True:
+                options = out.get(here)
+                if not options:
+                    ring = []
+                    break
+                if came is None or len(options) == 1:
+                    to = options[0]
+                else:
+                    u, v = here[0] - came[0], here[1] - came[1]
+                    to = min(options, key=lambda p: np.arctan2(u * (p[1] - here[1]) - v * (p[0] - here[0]), u * (p[0] - here[0]) + v * (p[1] - here[1])))  # noqa: B023
+                options.remove(to)
+                came, here = here, to
+                if here == start:
+                    break
+                ring.append(here)
+            p = [v for u, v, w in zip([*ring[-1:], *ring[:-1]], ring, [*ring[1:], *ring[:1]], strict=True) if (v[0] - u[0]) * (w[1] - v[1]) != (v[1] - u[1]) * (w[0] - v[0])]
+            if len(p) >= 3:
+                rings.append(np.array([*p, p[0]], float) / 1000)
+    return rings
+
+
+def dissolved_parts(df: DataFrame, size: float, by: list[str], geometry: str = "geometry", rank: str | None = None) -> DataFrame:
+    """(by, geometry): the union of each layer as single polygons, without seams; layers with a `rank` as in
+    `union_in_tiles`. Repeated and overlapping features count once. `size` is in whole millimetres.
+
+    Tiles are united by themselves, seams cancel by sums along the tiles' lines, and the edges that stay are grouped to
+    connected chains by joins: a task holds one tile, or the chains of one ring and those that touch it. Holes go to the
+    smallest ring around them among those whose box touches their tile.
+    """
+    from terraloom.operators.spatial import tiles_of
+
+    pieces = union_in_tiles(df, size, by, geometry, rank)
+    node = lambda x, y: F.xxhash64(*by, F.col(x), F.col(y))
+    edges = checkpointed(_open_edges(pieces, size, by).withColumns({"src": node("ax", "ay"), "dst": node("bx", "by_")}))
+    chains = connected_components(edges.select("src", "dst")).select(F.col("node").alias("src"), "component")
+
+    def rings(rows: pa.Table) -> pa.Table:
+        found = _walk(np.stack([rows[c].to_numpy() for c in ("ax", "ay", "bx", "by_")], 1))
+        return rows.select(by).take([0] * len(found)).append_column("ring", column_of([[[r]] for r in found]))
+
+    kinds = "".join(f"`{c}` {df.schema[c].dataType.simpleString()}, " for c in by)
+    found = edges.join(chains, "src").groupBy(*by, "component").applyInArrow(rings, f"{kinds}ring {G.GEOMETRY}")
+    found = checkpointed(found.withColumn("ring", F.get(F.get("ring", F.lit(0)), F.lit(0))).withColumns({"area": G.signed_area(F.col("ring")), "ring_id": F.xxhash64(*by, "ring")}))
+    shells, holes = found.where("area < 0"), found.where("area > 0")
+    tiles = tiles_of(G.bbox(F.array(F.array("ring"))), size)
+    a, b = F.get("ring", F.lit(0)), F.get("ring", F.lit(1))
+    # A point on the covered side of the hole's first edge.
+    far = F.sqrt((b["x"] - a["x"]) * (b["x"] - a["x"]) + (b["y"] - a["y"]) * (b["y"] - a["y"])) * 10000
+    probe = F.struct(((a["x"] + b["x"]) / 2 + (b["y"] - a["y"]) / far).alias("x"), ((a["y"] + b["y"]) / 2 - (b["x"] - a["x"]) / far).alias("y"))
+    asked = holes.select(*by, F.col("ring").alias("hole"), "ring_id", probe.alias("p")).withColumn("tile", F.struct(F.floor(F.col("p.x") / size).alias("tx"), F.floor(F.col("p.y") / size).alias("ty")))
+    near = shells.select(*by, F.col("ring").alias("shell"), F.col("ring_id").alias("owner"), (-F.col("area")).alias("area"), F.explode(tiles).alias("tile"))
+    inside = G.contains(F.col("shell"), F.col("p"))
+    owned = asked.join(near, [*by, "tile"]).where(inside).groupBy("ring_id").agg(F.min_by("owner", "area").alias("owner"), F.first("hole").alias("hole"))
+    by_shell = owned.groupBy("owner").agg(F.array_sort(F.collect_list("hole")).alias("holes"))
+    parts = shells.join(by_shell, shells["ring_id"] == by_shell["owner"], "left")
+    return parts.select(*by, F.array(F.concat(F.array("ring"), F.coalesce("holes", F.array()))).alias("geometry"))
 
 
 def standard_pipeline(df: DataFrame, geometry: str = "geometry", srid: int = 25832) -> DataFrame:

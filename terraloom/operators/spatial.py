@@ -66,9 +66,11 @@ def components(df: DataFrame, links: DataFrame, id_col: str) -> DataFrame:
 
 
 def boundary(df: DataFrame, by: list[str], grid: float = 10.0, geometry: str = "geometry") -> DataFrame:
-    """The unit edges that remain when features of a group are dissolved: those seen an odd number of times."""
+    """The unit edges that remain when features of a group are dissolved: those seen an odd number of times. Repeated
+    features count once; features that overlap without being equal are for `repair.dissolved_parts`."""
     key = [*by, "x1", "y1", "x2", "y2"]
-    return unit_edges(df, by, grid, geometry).groupBy(*key).count().where("count % 2 = 1").drop("count")
+    once = df.select(*by, F.col(geometry).alias("geometry")).dropDuplicates()
+    return unit_edges(once, by, grid).groupBy(*key).count().where("count % 2 = 1").drop("count")
 
 
 def stitch(edges: DataFrame, by: list[str], grid: float = 10.0) -> DataFrame:
@@ -124,3 +126,42 @@ def merge_efficiency(merged: DataFrame, by: str, count: str = "merged_count") ->
             "compression": F.when(F.col("merged") > 0, F.round(F.col("original") / F.col("merged"), 1)).otherwise(F.lit(1.0)),
         }
     )
+
+
+def overlap_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str, size: float) -> DataFrame:
+    """(left id, right id, common): pairs of features that share ground, with its area; each pair once.
+
+    Both sides go to the tiles that their boxes touch; a pair is kept in the tile that holds the lower left corner of the
+    boxes' intersection alone, so nothing is made distinct afterwards. Then the exact overlay decides.
+    """
+    from terraloom.operators import repair
+
+    a = assign_tiles(left.select(left_id, F.col("geometry").alias("a")), size, "a").withColumn("abox", G.bbox(F.col("a")))
+    b = assign_tiles(right.select(right_id, F.col("geometry").alias("b")), size, "b").withColumn("bbox", G.bbox(F.col("b")))
+    x, y = F.greatest("abox.minx", "bbox.minx"), F.greatest("abox.miny", "bbox.miny")
+    meet = (x <= F.least("abox.maxx", "bbox.maxx")) & (y <= F.least("abox.maxy", "bbox.maxy"))
+    here = (F.floor(x / size) == F.col("tile.tx")) & (F.floor(y / size) == F.col("tile.ty"))
+    pairs = a.join(b, "tile").where(meet & here).select(left_id, right_id, repair.intersection(F.col("a"), F.col("b")).alias("both"))
+    return pairs.select(left_id, right_id, G.area(F.col("both")).alias("common")).where("common > 0")
+
+
+def border_links(df: DataFrame, id_col: str, least: float, size: float, geometry: str = "geometry") -> DataFrame:
+    """(src, dst, length): features that share `least` or more of border, on edges that lie on one line and run against each
+    other, wherever their corners are. Edges meet by their line (its direction and distance, in parts of 1e-6 and 1e-3) and
+    by the stretches of `size` along it that they touch; a pair's overlap is counted in the stretch where it begins."""
+    e = df.select(id_col, F.explode(G.edges_of(F.col(geometry))).alias("e")).select(id_col, "e.*").where("x1 <> x2 OR y1 <> y2")
+    long = F.sqrt((F.col("x2") - F.col("x1")) * (F.col("x2") - F.col("x1")) + (F.col("y2") - F.col("y1")) * (F.col("y2") - F.col("y1")))
+    ux, uy = (F.col("x2") - F.col("x1")) / long, (F.col("y2") - F.col("y1")) / long
+    flip = F.when((F.round(ux, 6) < 0) | ((F.round(ux, 6) == 0) & (uy < 0)), -1.0).otherwise(1.0)
+    e = e.withColumns({"ux": ux * flip, "uy": uy * flip, "way": flip})
+    along = lambda i: F.col(f"x{i}") * F.col("ux") + F.col(f"y{i}") * F.col("uy")
+    e = e.select(
+        id_col, "way", F.round("ux", 6).alias("dx"), F.round("uy", 6).alias("dy"), F.round(F.col("y1") * F.col("ux") - F.col("x1") * F.col("uy"), 3).alias("off"),
+        F.least(along(1), along(2)).alias("low"), F.greatest(along(1), along(2)).alias("high"),
+    ).withColumn("cell", F.explode(F.sequence(F.floor(F.col("low") / size), F.floor(F.col("high") / size))))
+    key = ["dx", "dy", "off", "cell"]
+    a = e.where("way > 0").select(*key, F.col(id_col).alias("p"), F.col("low").alias("l1"), F.col("high").alias("h1"))
+    b = e.where("way < 0").select(*key, F.col(id_col).alias("q"), F.col("low").alias("l2"), F.col("high").alias("h2"))
+    start, stop = F.greatest("l1", "l2"), F.least("h1", "h2")
+    pairs = a.join(b, key).where((F.col("p") != F.col("q")) & (stop > start) & (F.floor(start / size) == F.col("cell")))
+    return pairs.groupBy(F.least("p", "q").alias("src"), F.greatest("p", "q").alias("dst")).agg(F.sum(stop - start).alias("length")).where(F.col("length") >= least - 1e-6)

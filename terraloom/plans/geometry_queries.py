@@ -181,17 +181,3 @@ def boundary_length(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tile_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells to the tiles of 35 m that they touch."""
     return spatial.assign_tiles(cells(spark, sf_dir), 35.0).groupBy("tile.tx", "tile.ty").agg(F.count("*").alias("cells"))
-
-
-@query("""
-    WITH p AS (SELECT p_partkey AS id, CASE WHEN p_size % 3 = 0 THEN 'Action Required' WHEN p_size % 3 = 1 THEN 'Completed' ELSE 'Unknown' END AS status_category FROM part)
-    SELECT status_category, count(*) * 100.0::DOUBLE AS area FROM p WHERE status_category <> 'Unknown' GROUP BY 1""")
-def status_dissolve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Layers of one category each, dissolved; what is in both belongs to the first. Cells of the second layer also claim
-    their neighbours' ground where the first layer holds it, and give it up again."""
-    df = cells(spark, sf_dir).where("gridcode IN (12, 60)").withColumn("status_category", F.when(F.col("gridcode") == 12, "Action Required").otherwise("Completed"))
-    claimed = df.where("gridcode = 12").withColumn("status_category", F.lit("Completed"))
-    ranked = df.unionByName(claimed).groupBy("id").agg(F.min_by("status_category", F.when(F.col("status_category") == "Action Required", 0).otherwise(1)).alias("status_category"), F.first("geometry").alias("geometry"))
-    parts = spatial.components(ranked, spatial.edge_links(ranked, "id", "status_category"), "id")
-    shapes = spatial.stitch(spatial.boundary(parts, ["status_category", "component_id"]), ["status_category", "component_id"])
-    return shapes.groupBy("status_category").agg(F.round(F.sum(G.area(F.col("geometry"))), 3).alias("area"))

@@ -38,6 +38,11 @@ def agricultural_fields(spark: SparkSession, path: str) -> DataFrame:
     return sanitise_columns(out.withColumn("area_ha", F.col("area_ha").try_cast("double")))
 
 
+def endpoint(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """The pages of one endpoint (`fields`, `blocks` or a year's), with its name; each is stored as agricultural_<name>."""
+    return agricultural_fields(spark, path).withColumn("dataset", F.lit(name))
+
+
 def water_features(spark: SparkSession, path: str, layer: str) -> DataFrame:
     schema = "projektnavn:string, enhedskontakt:string, projektstart:long, projektslut:long, status:string, OBJECTID:long, GlobalID:string"
     out = service_features(spark, path, schema)

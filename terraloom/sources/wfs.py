@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from terraloom.functions import geometry as G
 from terraloom.functions.clean import clean_text, digits_to_float, is_true, to_int
 from terraloom.functions.dates import day_first, iso_timestamp
+from terraloom.plans.status import status_category
 
 #: The cadastral register's fields.
 CADASTRAL_FIELDS = (
@@ -31,6 +32,17 @@ CADASTRAL_FIELDS = (
 WATER_FIELDS = {"area": digits_to_float, "budget": digits_to_float, "startaar": to_int, "tilsagnsaa": to_int, "slutaar": to_int, "startdato": day_first, "slutdato": day_first}
 
 
+#: What the states of protected areas come to.
+PROTECTION_STATUS = {
+    "Frivillig aftale tilbudt (UDGÅET)": "Action Required",
+    "Gennemgået, indsats nødvendig": "Action Required",
+    "Ikke gennemgået (default værdi)": "Action Required",
+    "Gennemgået, indsats ikke nødvendig": "Completed",
+    "Indsats gennemført": "Completed",
+    "Ingen erhvervsmæssig anvendelse af pesticider": "Completed",
+}
+
+
 def landed_pages(spark: SparkSession, path: str) -> DataFrame:
     """(path, page_xml): each page whole, for page-level attributes and open schemas."""
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("page_xml"))
@@ -100,6 +112,16 @@ def water_projects(pages: DataFrame, layer: str) -> DataFrame:
     return rows.where("geometry IS NOT NULL").select(F.lit(layer).alias("layer_name"), "path", "pos", *typed, G.hectares(F.col("geometry")).alias("area_ha"), "fields", "geometry")
 
 
+def protected_areas(pages: DataFrame, layer: str) -> DataFrame:
+    """Protected areas around wells: area in hectares, status and its category, the other fields in a map. A feature without
+    a geometry is no row; one without a status has no category."""
+    rows = open_features(pages, layer).select("path", "pos", open_fields(F.col("feature_xml"), "Shape").alias("fields"), surface_geometry(F.col("feature_xml")).alias("geometry"))
+    status = F.try_element_at("fields", F.lit("status_bnbo"))
+    return rows.where("geometry IS NOT NULL").select(
+        "path", "pos", G.hectares(F.col("geometry")).alias("area_ha"), status.alias("status_bnbo"), status_category(status, PROTECTION_STATUS).alias("status_category"), "fields", "geometry"
+    )
+
+
 def wetland_cells(pages: DataFrame, row: str = "kulstof2022") -> DataFrame:
     rows = open_features(pages, row)
     value = lambda name: F.nullif(F.xpath_string("feature_xml", F.lit(f"//{name}")), F.lit(""))
