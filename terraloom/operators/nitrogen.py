@@ -33,3 +33,17 @@ def field_accounts(accounts: DataFrame, fields: DataFrame, key: str = "CVR") ->
 def support_amounts(areas: DataFrame, scheme: str, rate: str, eligible: str) -> DataFrame:
     """Rate times eligible area, before reductions, by scheme."""
     return areas.groupBy(scheme).agg(F.sum(F.col(rate) * F.col(eligible)).alias("amount"), F.count("*").alias("areas"))
+
+
+def checks() -> dict[str, tuple[str, Column]]:
+    """Checks of farm accounts with their fields: (severity, what fails). Missing fields mean a number without a match."""
+    shares = sum((F.col(f"share_{c}") for c in SHARES), F.lit(0.0))
+    no = lambda c: F.coalesce(c, F.lit(False))
+    return {
+        "shares": ("error", F.abs(shares - 1) > 1e-9),
+        "quota": ("error", F.col("original_quota") == 0),
+        "high": ("warning", no(F.col("performance") > 0.9)),
+        "negative": ("warning", no(F.col("transfer") < 0)),
+        "matched": ("error", F.col("area").isNull()),
+        "harmonised": ("error", no(F.col("harmonised_area") > F.col("area"))),
+    }

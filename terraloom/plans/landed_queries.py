@@ -239,7 +239,7 @@ def staged_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed files to a working table by a stream, twice with nothing new, then promoted."""
     base = folder(spark, "staged")
     schema = read(spark, sf_dir, "events").schema
-    run = lambda: ingest.ingest(spark, f"{sf_dir}/[e]vents.parquet", schema, f"{base}/raw/events/working.parquet", f"{base}/state")
+    run = lambda: ingest.ingest(spark, f"{sf_dir}/[e]vents.parquet", schema, f"{base}/raw/events/working.parquet", f"{base}/state", keys=["event_id"], late=("ts", "400 days"))
     run()
     run()
     P.promote(spark, base, "events", spark.range(0))

@@ -156,9 +156,9 @@ def semi_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment").join(done, "c_custkey", "left_semi")
 
 
-@query("SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+@query("SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_orderkey % 40 = 1)")
 def anti_join_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seen = read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    seen = read(spark, sf_dir, "orders").where("o_orderkey % 40 = 1").select(F.col("o_custkey").alias("c_custkey"))
     return read(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment").join(seen, "c_custkey", "left_anti")
 
 
@@ -247,6 +247,7 @@ def practices(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT 'herds' AS entity, count(*) AS rows FROM orders WHERE o_orderkey % 7 <> 1 UNION ALL
     SELECT 'properties', count(DISTINCT o_custkey) FROM orders UNION ALL
     SELECT 'owners', count(DISTINCT (coalesce(cvr_number, cpr_number), chr_number, herd_number)) FROM ({_PEOPLE}) WHERE coalesce(cvr_number, cpr_number) IS NOT NULL UNION ALL
+    SELECT 'users', count(DISTINCT (coalesce(cvr_number, cpr_number), chr_number, herd_number)) FROM ({_PEOPLE}) WHERE coalesce(cvr_number, cpr_number) IS NOT NULL UNION ALL
     SELECT 'practices', count(DISTINCT (o_orderkey % 11, o_custkey, o_orderkey % 40)) FROM orders WHERE o_orderkey % 5 <> 0""")
 def entity_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _properties(spark, sf_dir)
@@ -254,6 +255,7 @@ def entity_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "herds": livestock.herd_sizes(p).where("`count` IS NOT NULL"),
         "properties": dedupe.first_seen(p.select("ChrNummer", "page", "pos"), ["ChrNummer"], ["page", "pos"]),
         "owners": livestock.people(p, "Ejer", "owner"),
+        "users": livestock.people(p, "Bruger", "user"),
         "practices": livestock.practices(p),
     }
     return mapping.union_all([df.agg(F.count("*").alias("rows")).select(F.lit(k).alias("entity"), "rows") for k, df in entities.items()])
@@ -430,11 +432,18 @@ def nitrogen_field(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
     SELECT 'shares' AS "check", 'error' AS severity, count(*) FILTER (abs(share_F_610 + share_F_706_1 + share_F_193 - 1) > 1e-9) AS failing_rows FROM ({_ACCOUNTS}) UNION ALL
     SELECT 'quota', 'error', count(*) FILTER (original_quota = 0) FROM ({_ACCOUNTS}) UNION ALL
-    SELECT 'high', 'warning', count(*) FILTER (coalesce(performance > 0.9, FALSE)) FROM ({_ACCOUNTS})""")
+    SELECT 'high', 'warning', count(*) FILTER (coalesce(performance > 0.9, FALSE)) FROM ({_ACCOUNTS}) UNION ALL
+    SELECT 'negative', 'warning', count(*) FILTER (CVR % 3 = 0) FROM ({_ACCOUNTS}) UNION ALL
+    SELECT 'matched', 'error', count(*) FILTER (CVR % 2 = 1) FROM ({_ACCOUNTS}) UNION ALL
+    SELECT 'harmonised', 'error', count(*) FILTER (CVR % 4 = 0) FROM ({_ACCOUNTS})""")
 def nitrogen_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shares = sum((F.col(f"share_{c}") for c in nitrogen.SHARES), F.lit(0.0))
-    checks = {"shares": ("error", F.abs(shares - 1) > 1e-9), "quota": ("error", F.col("original_quota") == 0), "high": ("warning", F.coalesce(F.col("performance") > 0.9, F.lit(False)))}
-    return quality.check_table(nitrogen.farm_accounts(_farms(spark, sf_dir)), checks)
+    """Six checks of accounts: shares, quota, consumption, transfers, numbers on both sides, areas."""
+    accounts = nitrogen.farm_accounts(_farms(spark, sf_dir))
+    k = F.col("CVR")
+    fields = read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("CVR")).distinct().where("CVR % 2 = 0")
+    fields = fields.select("CVR", F.lit(10.0).alias("area"), F.when(k % 4 == 0, 10.5).otherwise(10.0).alias("harmonised_area"))
+    both = accounts.withColumn("transfer", F.when(k % 3 == 0, -1.0).otherwise(0.0)).join(fields, "CVR", "left")
+    return quality.check_table(both, nitrogen.checks())
 
 
 @query("SELECT p_brand AS scheme, round(sum(p_retailprice * l_quantity), 0) AS amount, count(*) AS areas FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1")

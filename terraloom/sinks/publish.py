@@ -77,11 +77,16 @@ def stage(df: DataFrame, root: str, dataset: str) -> None:
 
 
 def promote(spark: SparkSession, root: str, dataset: str, missing: DataFrame) -> bool:
-    """The working table becomes the current one if no expected page is missing; otherwise it stays."""
+    """The working table becomes the current one if no expected page is missing; otherwise it stays. One that a stream has
+    written lists its files by their paths, so it is written anew instead of renamed."""
     working = f"{root}/raw/{dataset}/working.parquet"
     if not exists(spark, working) or not missing.isEmpty():
         return False
-    replace_dir(spark, working, f"{root}/raw/{dataset}/current.parquet")
+    if exists(spark, f"{working}/_spark_metadata"):
+        publish(spark.read.parquet(working), root, dataset)
+        remove(spark, working)
+    else:
+        replace_dir(spark, working, f"{root}/raw/{dataset}/current.parquet")
     return True
 
 

@@ -11,11 +11,12 @@ from pyspark.sql.types import StructType
 Work = Callable[[DataFrame], DataFrame]
 
 
-def ingest(spark: SparkSession, source: str, schema: StructType, target: str, state: str, work: Work | None = None, files_per_batch: int = 100, keys: list[str] | None = None, pattern: str | None = None) -> DataFrame:
+def ingest(spark: SparkSession, source: str, schema: StructType, target: str, state: str, work: Work | None = None, files_per_batch: int = 100, keys: list[str] | None = None, pattern: str | None = None, late: tuple[str, str] | None = None) -> DataFrame:
     """Read what has landed since the last run, apply `work`, append it to `target`, and return the whole target.
 
     `state` keeps which files were read, and with `keys` which keys were seen, so rows of a key that came in an earlier
-    run are passed over. The run ends when nothing new is there.
+    run are passed over. With `late` (a time column and a delay) a key is remembered for that long only, so the state stays
+    bounded; without it keys are remembered for ever. The run ends when nothing new is there.
     """
     reader = spark.readStream.format("parquet").schema(schema).option("maxFilesPerTrigger", files_per_batch)
     if pattern:
@@ -23,7 +24,8 @@ def ingest(spark: SparkSession, source: str, schema: StructType, target: str, st
     stream = reader.load(source)
     stream = work(stream) if work else stream
     if keys:
-        stream = stream.dropDuplicates(keys)
+        stream = stream.withColumn(late[0], F.col(late[0]).cast("timestamp")) if late else stream
+        stream = stream.withWatermark(*late).dropDuplicatesWithinWatermark(keys) if late else stream.dropDuplicates(keys)
     query = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", state).trigger(availableNow=True).start(target)
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(target)
