@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terraloom.llm.frames import by_characters, crc32_mod, text_or_empty
+from terraloom.session import checkpointed
 
 #: Documents a language that training takes at most: those with the smallest id hashes.
 TRAIN_ROWS = 500
@@ -25,6 +26,8 @@ SCRIPT_SHARE = 0.02
 PIECE = 6
 #: How many times TRAIN_ROWS documents of a language are ranked to choose its training documents from.
 OVERSAMPLE = 4
+#: Languages whose numbers of documents are broadcast at most, so that only ranked documents are shuffled.
+BROADCAST_ROWS = 100_000
 #: Bytes that a task's table of distinct runs may take; when it is full it starts anew. And what an entry takes besides.
 MEMORY = 64 << 20
 ENTRY = 160
@@ -251,7 +254,8 @@ def train(docs: DataFrame, most: int = TRAIN_ROWS, id_col: str = "doc_id", text_
     """A model of at most `most` documents a language. Null languages, ids and texts teach nothing.
 
     Documents whose hash is in a part of the hashes that holds about OVERSAMPLE times `most` are ranked, so a common
-    language sends no more rows to its task than a rare one. Grams are counted where the texts are; one row a bucket and
+    language sends no more rows to its task than a rare one. The numbers of documents by language that this needs are
+    broadcast behind a check of their rows. Grams are counted where the texts are; one row a bucket and
     language, at most BUCKETS and the scripts, comes to the driver, and no text does.
     """
     given = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL")
@@ -259,7 +263,9 @@ def train(docs: DataFrame, most: int = TRAIN_ROWS, id_col: str = "doc_id", text_
     numbers = given.groupBy("lang").count()
     in_part = F.col("h") / float(1 << 63) < 2.0 * OVERSAMPLE * most / F.col("count") - 1
     order = Window.partitionBy("lang").orderBy("h", "id", F.xxhash64("text"))
-    few = hashed.join(numbers, "lang").where(in_part).withColumn("k", F.row_number().over(order)).where(F.col("k") <= most)
+    numbers = checkpointed(numbers)
+    small = F.broadcast(numbers) if numbers.count() <= BROADCAST_ROWS else numbers
+    few = hashed.join(small, "lang").where(in_part).withColumn("k", F.row_number().over(order)).where(F.col("k") <= most)
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
