@@ -66,6 +66,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 #: Parts that a class is dealt to where its name is joined to its fingerprints.
 SPREAD = 16
+#: A fingerprint with more than one in so many rows is hot. There are fewer hot ones than this number, at any size.
+HOT_SHARE = 1000
 
 
 def classes_of(distinct: DataFrame, distance: int, bands: tuple = BANDS) -> DataFrame:
@@ -205,14 +207,20 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, id_col: str = "do
     one row before any anchor is made, so copies cost nothing. A crowded anchor is dealt out in pairs of parts, and a
     task emits links that span its classes, never all pairs. Null and empty texts have fingerprint zero and link like
     any other. Repeated rows stay repeated. An empty table: no rows. Only id and text are read.
+
+    The rows of hot fingerprints (`HOT_SHARE`) get their class by a broadcast and stay where they are, so copies of one
+    text never meet in one task, however many there are.
     """
     each = checkpointed(fingerprints(docs, id_col, text_col))
-    distinct = each.groupBy("fp").agg(F.min(id_col).alias("first"))
+    distinct = each.groupBy("fp").agg(F.min(id_col).alias("first"), F.count("*").alias("n"))
     linked = checkpointed(classes_of(distinct, distance, bands).withColumn("salt", F.pmod("fp", F.lit(SPREAD))))
     smallest = linked.groupBy("component").agg(F.min("first").alias("component_id")).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long"))))
     named = linked.join(smallest, ["component", "salt"]).select("fp", "component_id")
-    by_fp = distinct.join(named, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
-    return each.join(by_fp, "fp").select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    by_fp = distinct.join(named, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"), "n")
+    hot = checkpointed(by_fp.where(F.col("n") * HOT_SHARE > each.count()).drop("n"))
+    rest = each.join(F.broadcast(hot.select("fp")), "fp", "left_anti").join(by_fp.drop("n"), "fp")
+    both = each.join(F.broadcast(hot), "fp").unionByName(rest)
+    return both.select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, distance: int = DISTANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -124,7 +124,10 @@ def test_units_are_the_occurrences(spark):
     assert list(got) == [pytest.approx(0.8), 1.0, 1.0, 0.0]
 
 
-def test_simhash_links_equal_brute_force(docs, none, rows, text_of):
+@pytest.mark.parametrize("hot_share", [1, 30, 1000])
+def test_simhash_links_equal_brute_force(docs, none, rows, text_of, monkeypatch, hot_share):
+    """With no hot fingerprint, with some, and with nothing else."""
+    monkeypatch.setattr(simhash, "HOT_SHARE", hot_share)
     got = simhash.near_duplicates(docs).toPandas()
     assert len(got) == len(rows)
     assert simhash.near_duplicates(none).count() == 0
