@@ -9,8 +9,12 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: Code points of text that Python code takes up together.
 BATCH_CHARS = 2_000_000
@@ -63,11 +67,40 @@ def by_characters(frames: Iterator[pd.DataFrame], text: str, limit: int = BATCH_
             yield frame.iloc[start:]
 
 
-def map_texts(df: DataFrame, work: Callable[[pd.DataFrame], pd.DataFrame], schema: str, text: str = "text") -> DataFrame:
-    """`work` over pandas frames of bounded text; the rows keep their partition, so nothing is shuffled."""
+def frames_of(df: DataFrame, work: Callable[[pd.DataFrame], pd.DataFrame], schema: str, text: str = "text") -> DataFrame:
+    """What `work` makes out of pandas frames of bounded text, any number of rows."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in by_characters(frames, text):
             yield work(frame)
 
     return df.mapInPandas(run, schema)
+
+
+def by_bytes(batches: Iterator[pa.RecordBatch], text: str, limit: int = BATCH_CHARS) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most about `limit` bytes of text, so a run of long texts does not meet in memory."""
+    for batch in batches:
+        start, held = 0, 0
+        for i, n in enumerate(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()):
+            if held and held + n > limit:
+                yield batch.slice(start, i - start)
+                start, held = i, 0
+            held += n
+        if start < batch.num_rows:
+            yield batch.slice(start)
+
+
+def map_texts(df: DataFrame, keep: list[str], work: Callable[[pd.DataFrame], pd.DataFrame], added: str, text: str = "text") -> DataFrame:
+    """The columns `keep` and those that `work` makes out of the others, row by row, over pandas frames of bounded text.
+
+    What is kept stays in Arrow: pandas would make a whole number beside a null a float, and round it. The rows keep their
+    partition, so nothing is shuffled."""
+    made = StructType.fromDDL(added)
+    arrow, seen = to_arrow_schema(made), [c for c in df.columns if c not in keep]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_bytes(batches, text):
+            new = pa.RecordBatch.from_pandas(work(batch.select(seen).to_pandas()), schema=arrow, preserve_index=False)
+            yield pa.RecordBatch.from_arrays([*map(batch.column, keep), *new.columns], names=[*keep, *arrow.names])
+
+    return df.mapInArrow(run, StructType([*(df.schema[c] for c in keep), *made.fields]))

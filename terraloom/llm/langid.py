@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terraloom.llm.frames import by_characters, crc32_mod, text_or_empty
-from terraloom.session import checkpointed
+from terraloom.llm.frames import by_characters, crc32_mod, map_texts, text_or_empty
+from terraloom.session import checkpointed, unused
 
 #: Documents a language that training takes at most: those with the smallest id hashes.
 TRAIN_ROWS = 500
@@ -71,7 +71,7 @@ def gram_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(owners)
 
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+_LETTERS = regex.compile(r"\p{L}+")
 
 
 def letters_of(run: str) -> str:
@@ -291,13 +291,11 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     letters alone, whose language is then the first by name. `und` with score 0 if the text is null, has no letter, or
     nothing could be learned."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in by_characters(frames, "text"):
-            found = model.predict(list(frame["text"]))
-            yield pd.DataFrame({id_col: frame[id_col], "lang_pred": [f[0] for f in found], "score": [f[1] for f in found]})
+    def work(frame: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(model.predict(list(frame[given])), columns=["lang_pred", "score"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_or_empty(text_col).alias("text")).mapInPandas(run, f"`{id_col}` {kind}, lang_pred string, score double")
+    given = unused(docs.select(id_col), "text")
+    return map_texts(docs.select(id_col, text_or_empty(text_col).alias(given)), [id_col], work, "lang_pred string, score double", given)
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

@@ -9,20 +9,26 @@ from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from terraloom.llm.frames import by_characters, kept, text_or_empty
+from terraloom.llm.frames import by_bytes, kept, text_or_empty
+from terraloom.session import unused
 
 WINDOW = 4096
 OPEN_WINDOWS = 8
 
-#: How the vocabulary's own splitter cuts text that is in lower case; line ends stand between runs.
-SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+|\n")
+#: How the vocabulary's own splitter cuts Latin-1 text in lower case; line ends stand between runs. Its white
+#: space is spelled out, as Python's \s has U+001C to U+001F besides.
+SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\t-\r \x85\xa0\p{L}\p{N}]+|\n")
 #: The same for text of ASCII alone, for which the plain module is faster.
-SPLIT_ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+|\n")
+SPLIT_ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+|\n")
+#: What the vocabulary does not spell as itself.
+UNSHOWN = re.compile("[^!-~]")
 #: The end of a vocabulary entry that ends a word.
 WORD_END = "</w>"
 
@@ -63,8 +69,8 @@ class RunIds:
     def ids_of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(all identifiers, the end of each word among them)."""
         shown = words
-        if not all(map(str.isascii, words)):
-            shown = [w if w.isascii() else w.encode("utf-8").decode("latin-1").translate(self.symbols) for w in words]
+        if UNSHOWN.search("".join(words)):
+            shown = [w.encode("utf-8").decode("latin-1").translate(self.symbols) if UNSHOWN.search(w) else w for w in words]
         parts = [np.array(self.merges.encode(" ".join(shown[i : i + PIECE_WORDS]), add_special_tokens=False).ids, np.uint32) for i in range(0, len(shown), PIECE_WORDS)]
         ids = np.concatenate([np.zeros(0, np.uint32), *parts])
         return ids, np.flatnonzero(self.ends_word[ids]) + 1
@@ -213,23 +219,28 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, size: int = WIND
     The file named by `tokenizer_path` must exist on every worker.
     """
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    given = unused(docs.select(id_col), "text")
+    made = StructType([docs.schema[id_col], *StructType.fromDDL("start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long").fields])
+    arrow = to_arrow_schema(made)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*packer.rows, strict=True), arrow, strict=True)], schema=arrow)
+            packer.rows = []
+            return out
+
         packer = Packer(TaskContext.get().partitionId() << 36, size, open_windows)
         end = np.array([end_id], np.uint32)
-        for frame in by_characters(frames, "text"):
-            ids, ends = encoder(tokenizer_path).encode(list(frame["text"]))
+        for batch in by_bytes(batches, given):
+            ids, ends = encoder(tokenizer_path).encode(batch.column(given).to_pylist())
             begin = 0
-            for doc, to in zip(frame[id_col], ends, strict=True):
+            for doc, to in zip(batch.column(id_col).to_pylist(), ends.tolist(), strict=True):
                 packer.add(doc, np.concatenate([ids[begin:to], end]))
                 begin = to
             if packer.rows:
-                yield pd.DataFrame(packer.rows, columns=names)
-                packer.rows = []
+                yield rows()
         packer.finish()
         if packer.rows:
-            yield pd.DataFrame(packer.rows, columns=names)
+            yield rows()
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"{id_col} {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return docs.select(id_col, text_or_empty(text_col).alias("text")).mapInPandas(run, schema)
+    return docs.select(id_col, text_or_empty(text_col).alias(given)).mapInArrow(run, made)

@@ -6,14 +6,18 @@ import heapq
 import zlib
 from array import array
 from collections import defaultdict
+from collections.abc import Iterator
 from hashlib import sha256
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StringType, StructField, StructType
 
 from terraloom.llm.frames import kept, map_texts, text_or_empty
+from terraloom.session import unused
 
 #: Bytes that a Python worker's table of distinct words may take; when it is full it starts anew. And what an entry takes
 #: besides its characters and pieces.
@@ -241,21 +245,21 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     """(id, ids): the pieces of every whole text. Null or empty text: no pieces. Repeated rows stay repeated."""
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({id_col: frame[id_col], "ids": [a.astype(np.int32) for a in model(model_path).encode(list(frame["text"]))]})
+        return pd.DataFrame({"ids": [a.astype(np.int32) for a in model(model_path).encode(list(frame[given]))]})
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return map_texts(docs.select(id_col, text_or_empty(text_col).alias("text")), work, f"{id_col} {kind}, ids array<int>")
+    given = unused(docs.select(id_col), "text")
+    return map_texts(docs.select(id_col, text_or_empty(text_col).alias(given)), [id_col], work, "ids array<int>", given)
 
 
 def decode(encoded: DataFrame, model_path: str, id_col: str = "doc_id") -> DataFrame:
     """(id, text) of `encode`'s rows; null identifiers: an empty text."""
 
-    def run(frames):
-        for frame in frames:
-            texts = [model(model_path).decode(np.asarray(a)) if a is not None else "" for a in frame["ids"]]
-            yield pd.DataFrame({id_col: frame[id_col], "text": texts})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [model(model_path).decode(np.asarray(a)) if a is not None else "" for a in batch.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(id_col), pa.array(texts, pa.string())], names=[id_col, "text"])
 
-    return encoded.select(id_col, "ids").mapInPandas(run, f"{id_col} {encoded.schema[id_col].dataType.simpleString()}, text string")
+    return encoded.select(id_col, "ids").mapInArrow(run, StructType([encoded.schema[id_col], StructField("text", StringType())]))
 
 
 def round_trips(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -263,12 +267,11 @@ def round_trips(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_c
     is the text again (`same`), but for the model's own blank sign, which decodes as a space."""
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
-        m, texts = model(model_path), list(frame["text"])
+        m, texts = model(model_path), list(frame[given])
         ids = m.encode(texts)
         back = [m.decode(a) for a in ids]
         return pd.DataFrame(
             {
-                id_col: frame[id_col],
                 "n_pieces": [len(a) for a in ids],
                 "ids_crc32": [zlib.crc32(a.astype("<u4").tobytes()) for a in ids],
                 "decoded_sha256": [sha256(t.encode("utf-8", "replace")).hexdigest() for t in back],
@@ -276,5 +279,5 @@ def round_trips(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_c
             }
         )
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return map_texts(docs.select(id_col, text_or_empty(text_col).alias("text")), work, f"{id_col} {kind}, n_pieces long, ids_crc32 long, decoded_sha256 string, same boolean")
+    given = unused(docs.select(id_col), "text")
+    return map_texts(docs.select(id_col, text_or_empty(text_col).alias(given)), [id_col], work, "n_pieces long, ids_crc32 long, decoded_sha256 string, same boolean", given)

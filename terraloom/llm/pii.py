@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terraloom.llm.frames import map_texts, text_or_empty
+from terraloom.llm.frames import frames_of, map_texts, text_or_empty
 from terraloom.session import unused
 
 KINDS = ("email", "ip", "card", "phone")
@@ -180,7 +180,7 @@ def tokens_of(text: str) -> list[tuple[int, int, int, bool]]:
 def find_spans(text: str, field: Field) -> tuple[list[Span], list[Span]]:
     """(the patterns' spans, those that the field adds). The patterns' tokens are observed; the field labels the others."""
     tokens = tokens_of(text)
-    base = base_spans(text)
+    base = sorted(((LABELS[y], s, e) for s, e, y, observed in tokens if observed), key=lambda x: (KINDS.index(x[0]), x[1]))
     if len(tokens) == len(base):
         return base, []
     unary = np.array([describe(text, s, e) for s, e, _, _ in tokens]) @ field.unary
@@ -255,7 +255,7 @@ def train(docs: DataFrame, most: int = TRAIN_DOCS, id_col: str = "doc_id", text_
         return pd.DataFrame(rows, columns=["k", "y", "n"]).astype({"k": object, "y": "int32", "n": "int64"})
 
     taught = docs.select(id_col, text_or_empty(text_col).alias("text")).join(F.broadcast(chosen), id_col)
-    return fit({(r.k, r.y): r.n for r in map_texts(taught, work, "k string, y int, n long").groupBy("k", "y").agg(F.sum("n").alias("n")).collect()})
+    return fit({(r.k, r.y): r.n for r in frames_of(taught, work, "k string, y int, n long").groupBy("k", "y").agg(F.sum("n").alias("n")).collect()})
 
 
 def joined(spans: list[Span]) -> str:
@@ -274,18 +274,16 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for text in frame["text"]:
+        for text in frame[given]:
             base, added = find_spans(text, field)
             n = [sum(k == kind for k, _, _ in base) for kind in KINDS]
             out.append((*n, hashlib.sha256(joined(base).encode()).hexdigest(), joined(base + added), len(added)))
         names = [*(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_added"]
-        done = pd.DataFrame(out, columns=names)
-        done.insert(0, id_col, frame[id_col].to_numpy())
-        return done
+        return pd.DataFrame(out, columns=names)
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"{id_col} {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"
-    return map_texts(docs.select(id_col, text_or_empty(text_col).alias("text")), work, schema)
+    given = unused(docs.select(id_col), "text")
+    schema = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"
+    return map_texts(docs.select(id_col, text_or_empty(text_col).alias(given)), [id_col], work, schema, given)
 
 
 def masked(text: str, spans: list[Span]) -> str:
@@ -301,11 +299,11 @@ def masked(text: str, spans: list[Span]) -> str:
 def mask(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` with marks instead of personal data, the other columns as they are; null texts stay null."""
     field = train(docs, id_col=id_col, text_col=text_col)
-    names, given = docs.columns, unused(docs, "given")
+    names, given, marked = docs.columns, unused(docs, "given"), unused(docs, "marked")
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
         new = [masked(t, [x for part in find_spans(t, field) for x in part]) for t in frame[given]]
-        return frame[names].assign(**{text_col: pd.Series(new, index=frame.index, dtype=object).where(frame[text_col].notna(), None)})
+        return pd.DataFrame({marked: new}, dtype=object)
 
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names)
-    return map_texts(docs.select(*names, text_or_empty(text_col).alias(given)), work, schema, given)
+    out = map_texts(docs.select(*names, text_or_empty(text_col).alias(given)), names, work, f"{marked} string", given)
+    return out.select(*(F.when(F.col(c).isNotNull(), F.col(marked)).alias(c) if c == text_col else c for c in names))

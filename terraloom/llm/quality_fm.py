@@ -163,7 +163,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int
     """A machine fitted on at most `most` labelled documents; their features, at most SIZE a document and never their
     texts, come to the driver.
 
-    Rows with a null id or label are left out; an id with several labels takes the largest.
+    Rows with a null id or label are left out; an id with several labels takes the largest, an id on several rows is
+    taught by the row whose text and metadata have the smallest hash.
     """
     chosen = (
         labels.select(id_col, F.col(label).cast("int").alias("y"))
@@ -176,11 +177,14 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
         rows = [features(t, tuple(m)) for t, m in zip(frame["text"], frame["numbers"], strict=True)]
-        return pd.DataFrame({"id": frame[id_col].astype(str), "y": frame["y"], "i": [r[0] for r in rows], "v": [r[1] for r in rows]})
-
-    # `most` rows at most, whatever the input's size.
-    taught = docs.select(id_col, text_or_empty(text_col).alias("text"), _metadata(docs, metadata).alias("numbers")).join(F.broadcast(chosen), id_col)
-    rows = map_texts(taught, work, "id string, y int, i array<int>, v array<float>").collect()
+        return pd.DataFrame({"i": [r[0] for r in rows], "v": [r[1] for r in rows]})
+
+    given = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"), _metadata(docs, metadata).alias("numbers"))
+    taught = given.join(F.broadcast(chosen.withColumnRenamed(id_col, "id")), "id").withColumn("h", F.xxhash64("text", "numbers"))
+    made = map_texts(taught, ["id", "y", "h"], work, "i array<int>, v array<float>")
+    # One row an id, so `most` rows at most, whatever the input's size; an id's rows are reduced before the shuffle.
+    each = made.groupBy(F.col("id").cast("string").alias("id"), "y").agg(F.min(F.struct("h", "i", "v")).alias("least"))
+    rows = each.select("id", "y", "least.i", "least.v").collect()
     return fit([(r.i, r.v, r.y) for r in sorted(rows, key=lambda r: (zlib.crc32(r.id.encode()), r.id, r.i))])
 
 
@@ -192,10 +196,10 @@ def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
         s = machine.scores(list(frame[given]), [tuple(m) for m in frame[numbers]]).astype(float)
-        return frame[names].assign(score=s, predicted=(s >= 0.5).astype("int32"))
+        return pd.DataFrame({"score": s, "predicted": (s >= 0.5).astype("int32")})
 
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names) + ", score double, predicted int"
-    return map_texts(docs.select(*names, text_or_empty(text_col).alias(given), _metadata(docs, metadata).alias(numbers)), work, schema, given)
+    seen = docs.select(*names, text_or_empty(text_col).alias(given), _metadata(docs, metadata).alias(numbers))
+    return map_texts(seen, names, work, "score double, predicted int", given)
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -57,11 +57,11 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     columns = [id_col, *also]
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
-        fp = np.array([fingerprint(t) for t in frame["text"]], np.uint64).view(np.int64)
-        return pd.DataFrame({**{c: frame[c] for c in columns}, "fp": fp})
+        fp = np.array([fingerprint(t) for t in frame[given]], np.uint64).view(np.int64)
+        return pd.DataFrame({"fp": fp})
 
-    kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in columns)
-    return map_texts(docs.select(*columns, text_or_empty(text_col).alias("text")), work, f"{kinds}, fp long")
+    given = unused(docs.select(*columns), "text")
+    return map_texts(docs.select(*columns, text_or_empty(text_col).alias(given)), columns, work, "fp long", given)
 
 
 #: Parts that a class is dealt to where its name is joined to its fingerprints.

@@ -11,6 +11,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from terraloom.llm.frames import kept, map_texts, text_or_empty
+from terraloom.session import unused
 
 #: The splitting pattern of the byte-level vocabularies.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -153,9 +154,9 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 512, id_col:
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
         c = counter(tokenizer_path)
-        n = [c.count(t) for t in frame["text"]]
-        out = pd.DataFrame({id_col: frame[id_col], "n_bytes": [len(t.encode("utf-8", "surrogatepass")) for t in frame["text"]], "n_tokens": n})
+        n = [c.count(t) for t in frame[given]]
+        out = pd.DataFrame({"n_bytes": [len(t.encode("utf-8", "surrogatepass")) for t in frame[given]], "n_tokens": n})
         return out.assign(over_limit=out["n_tokens"] > limit)
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return map_texts(docs.select(id_col, text_or_empty(text_col).alias("text")), work, f"{id_col} {kind}, n_bytes long, n_tokens long, over_limit boolean")
+    given = unused(docs.select(id_col), "text")
+    return map_texts(docs.select(id_col, text_or_empty(text_col).alias(given)), [id_col], work, "n_bytes long, n_tokens long, over_limit boolean", given)
