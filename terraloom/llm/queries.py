@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terraloom.llm import fingerprints, html_extract, langid, packing, piece_viterbi, pii, quality_fm, quality_rules, simhash, token_counts, warc
+from terraloom.llm import alignment, fingerprints, html_extract, langid, packing, piece_viterbi, pii, quality_fm, quality_rules, simhash, token_counts, warc
 from terraloom.session import prepare, read
 
 
@@ -70,9 +70,13 @@ def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read(prepare(spark), sf_dir, "pages"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(docs_of(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_fingerprints, op2_html_extraction, op3_piece_viterbi, op4_simhash, op5_packing, op6_pii, op7_quality_fm, op8_quality_rules, op9_token_counts, op10_langid, op11_warc)
+    for f in (op1_fingerprints, op2_html_extraction, op3_piece_viterbi, op4_simhash, op5_packing, op6_pii, op7_quality_fm, op8_quality_rules, op9_token_counts, op10_langid, op11_warc, op12_alignment)
 }
 
 #: None of these can be written in SQL that gives the same rows; each is tested against a brute-force version instead.
