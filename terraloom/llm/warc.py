@@ -207,10 +207,7 @@ def entries(found: DataFrame) -> DataFrame:
     starts = found.where("at = 0").select("file", "at").distinct()
     exits = found.where("leaves >= 0").select("file", F.col("leaves").alias("at")).distinct()
     pointers = found.where("leaves >= 0").select("file", "at", "leaves")
-    jump = checkpointed(exits.join(pointers, ["file", "at"]))
-    if jump.isEmpty():
-        return starts
-    jump = checkpointed(jump.unionByName(pointers.where("at = 0")).distinct())
+    jump = checkpointed(exits.join(pointers, ["file", "at"]).unionByName(pointers.where("at = 0")).distinct())
     reached = starts
     while not jump.isEmpty():
         further = reached.join(jump, ["file", "at"]).select("file", F.col("leaves").alias("at"))

@@ -82,6 +82,20 @@ def test_empty_table(spark):
     assert warc.round_trip(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+@pytest.mark.parametrize("blocks", [1, 2, 3, 5, 8])
+def test_files_of_few_blocks(spark, tmp_path, blocks):
+    """A file's last block is reached though no chain leaves it."""
+    text = "".join(fake(i, "b" * 90) + "\r\n\r\n" for i in range(64))
+    (tmp_path / "one.warc").write_bytes(text.encode())
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", f"{-(-len(text) // blocks)}b")
+    try:
+        assert warc.stretches(spark, str(tmp_path)).select("block").distinct().count() == blocks
+        assert sorted(r.page_id for r in warc.read_archive(spark, str(tmp_path)).collect()) == list(range(64))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+
+
 def test_a_damaged_archive_is_read_as_far_as_it_holds(spark, tmp_path):
     good = [fake(i, f"body {i} " * 20) for i in range(6)]
     damaged = fake(9, "short", 7)
