@@ -146,6 +146,121 @@ def antibiotic_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("chr_number", "year", "month", "species_code", "species_text", F.round("rolling_9m_avg", 2).alias("rolling_9m_avg"), "animal_days", "animal_doses", "cvr_number", "period_from", "period_to").withColumns({c: F.col(c).cast("bigint") for c in ("year", "month")})
 
 
+def _varied(k: Column, items: Column, inner: str | None = None) -> Column:
+    """A list in one of the forms in which services send it, by k: as it is or inside an element, and a list of one as that record
+    or as a list."""
+    whole = F.to_variant_object(items)
+    node = F.when((F.size(items) == 1) & (k % 2 == 1), F.variant_get(whole, "$[0]", "variant")).when(items.isNotNull(), whole)
+    if not inner:
+        return node
+    return F.when((k % 3 == 1) & items.isNotNull(), F.to_variant_object(F.struct(node.alias(inner)))).otherwise(node)
+
+
+def _mixed_herds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`_herds` with sizes and declarations in varied forms; where the first size is no total the other, which is one, is left out."""
+    k = F.col("o_orderkey")
+    sizes = F.when(k % 7 == 1, F.col("herd.BesStr")).otherwise(F.slice("herd.BesStr", 1, 1))
+    herd = F.col("herd").withField("BesStr", _varied(k, sizes)).withField("LeveringsErklaeringer", _varied(k + 1, F.col("herd.LeveringsErklaeringer"), "LeveringsErklaering"))
+    return _herds(spark, sf_dir).select("o_custkey", "o_orderkey", herd.alias("herd"))
+
+
+def _mixed_masters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Herd master responses, some of them several in a line."""
+    each = _mixed_herds(spark, sf_dir).select((F.col("o_orderkey") % 1000).alias("line"), F.floor(F.col("o_orderkey") / 1000).alias("batch"), F.col("herd"))
+    lines = each.select("line", "batch", F.to_json("herd").alias("j")).groupBy("line", "batch").agg(F.array_join(F.array_sort(F.collect_list("j")), ",").alias("j"), F.count("*").alias("n"))
+    path = f"{shared_dir(prepare(spark))}/landed-{uuid.uuid4().hex[:12]}"
+    lines.select(F.when((F.col("n") == 1) & (F.col("line") % 2 == 0), F.col("j")).otherwise(F.concat(F.lit("["), "j", F.lit("]"))).alias("value")).write.text(path)
+    return R.herd_masters(R.responses(spark, path, R.HERD))
+
+
+def _mixed_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`_properties` with herds, events, agreements and their members in varied forms; of a customer's orders every fourth is a
+    property response of its own, so that properties with one herd occur."""
+    k = F.col("c_custkey")
+    herds = _mixed_herds(spark, sf_dir).groupBy(F.col("o_custkey").alias("c_custkey"), F.when(F.col("o_orderkey") % 4 == 0, F.col("o_orderkey")).alias("part")).agg(F.collect_list(F.to_json("herd")).alias("h"))
+    seen = F.transform(F.sequence(F.lit(1), (k % 3 + 1).cast("int")), lambda i: F.struct(F.concat(F.lit("S"), i).alias("SygdomsKode"), F.lit("2022-01-02T00:00:00").alias("DatoVeterinaerStatus")))
+    members = F.struct(F.lit("15").alias("DyreArtKode"), _varied(k, F.array((k + 1).cast("string"), F.lit("0"), F.lit("x"), (k + 2).cast("string")), "ChrNummer").alias("ChrNumre"))
+    alone = [F.struct(F.lit("15").alias("DyreArtKode"), _varied(k, F.array((k + i).cast("string")), "ChrNummer").alias("ChrNumre")) for i in (1, 2)]
+    agreements = F.when(k % 8 == 0, F.array(*alone)).otherwise(F.array(members))
+    own = F.col("part").isNull()
+    there = read(spark, sf_dir, "customer").select("c_custkey", F.lit(None).cast("long").alias("part")).unionByName(herds.where("part IS NOT NULL").select("c_custkey", "part"))
+    rows = there.alias("t").join(herds.alias("h"), (F.col("t.c_custkey") == F.col("h.c_custkey")) & F.col("t.part").eqNullSafe(F.col("h.part")), "left").select("t.*", "h.h")
+    rows = rows.join(read(spark, sf_dir, "customer").select("c_custkey"), "c_custkey", "left_semi")
+    items = F.transform("h", F.parse_json)
+    out = rows.select(
+        k.cast("string").alias("ChrNummer"),
+        F.when(own & (k % 7 != 0), F.struct(F.lit("Nej").alias("VeterinaereProblemer"), _varied(k, seen).alias("VeterinaerHaendelse"))).alias("VeterinaereHaendelser"),
+        F.when(own & (k % 2 == 0), _varied(k + 1, agreements, "Samdrift")).alias("SamdriftNaboaftaler"),
+        _varied(F.coalesce("part", k), items, "Besaetning").alias("Besaetninger"),
+    )
+    return R.responses(spark, landed(spark, out), R.PROPERTY)
+
+
+@query(ORACLES["herd_records"])
+def mixed_herd_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Herd master responses whose sizes came as a list or as one record, and lines that hold one or several."""
+    return R.herd_rows(_mixed_masters(spark, sf_dir))
+
+
+@query(ORACLES["property_herds"])
+def mixed_property_herds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Property responses whose herds came as a list, as one record, or inside an element."""
+    return R.herd_rows(R.herds_of(_mixed_properties(spark, sf_dir)))
+
+
+@query(ORACLES["veterinary_events"])
+def mixed_veterinary_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.events(_mixed_properties(spark, sf_dir)).select("chr_number", "disease_code", "status_date")
+
+
+@query(ORACLES["agreement_members"])
+def mixed_agreement_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Agreements and their members as lists, single records, or inside an element."""
+    return R.agreements(_mixed_properties(spark, sf_dir))
+
+
+@query(ORACLES["declaration_records"])
+def mixed_declaration_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.declarations(_mixed_masters(spark, sf_dir))
+
+
+def _arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Herd master responses that were landed in the order of their keys, each file a range of them; every eighth came twice."""
+    k = F.col("o_orderkey")
+    twice = _herds(spark, sf_dir).withColumn("again", F.explode(F.when(k % 8 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    herd = F.col("herd").withField("BesaetningsNummer", (k % 40 + 1).cast("string"))
+    path = f"{shared_dir(prepare(spark))}/landed-{uuid.uuid4().hex[:12]}"
+    rows = twice.select(k, "again", F.to_json(herd).alias("value")).repartitionByRange(6, "o_orderkey").sortWithinPartitions("o_orderkey", "again")
+    rows.select("value").write.text(path)
+    return R.herd_masters(R.responses(spark, path, R.HERD))
+
+
+@query(f"""
+    SELECT chr_number, herd_number, role, cvr_number, cpr_number, name, address, city, postal_code, postal_district, municipality_code, municipality_name, phone, mobile, email, address_protection, advertising_protection FROM (
+    SELECT p.*, row_number() OVER (PARTITION BY coalesce(cvr_number, cpr_number), chr_number, herd_number ORDER BY o_orderkey) AS k FROM ({_PERSON.format(role="'owner'").replace("nullif(o_orderkey % 40, 0)", "o_orderkey % 40 + 1").replace("SELECT nullif", "SELECT o_orderkey, nullif")}) p) WHERE k = 1""")
+def first_person_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Owners with all their columns, once a person, property and herd, as they came first."""
+    return R.first_persons(_arrivals(spark, sf_dir), "Ejer", "owner")
+
+
+@query("""
+    SELECT nullif(o_custkey, 0) AS chr_number, o_orderkey % 40 + 1 AS herd_number, o_orderkey % 11 AS practice_number, 'Praksis' AS name, CAST(NULL AS VARCHAR) AS address, CAST(NULL AS VARCHAR) AS city, CAST(NULL AS VARCHAR) AS postal_code,
+           CAST(NULL AS VARCHAR) AS postal_district, CAST(NULL AS VARCHAR) AS phone, CAST(NULL AS VARCHAR) AS mobile, 'dyr' || min(o_orderkey) || '@x.example' AS email
+    FROM orders WHERE o_orderkey % 5 <> 0 AND o_orderkey % 11 <> 0 GROUP BY o_custkey, o_orderkey % 40, o_orderkey % 11""")
+def first_practice_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Practices with all their columns, once a practice, property and herd, as they came first."""
+    return R.first_practices(_arrivals(spark, sf_dir))
+
+
+@query("SELECT s_nationkey::BIGINT AS species_code, s_name AS species_text, s_suppkey % 9 AS usage_code, CAST(NULL AS VARCHAR) AS usage_text FROM supplier WHERE s_suppkey % 4 <> 0")
+def usage_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Combinations of species and usage; those whose usage is no number, or isn't there, are none."""
+    k = F.col("s_suppkey")
+    usage = F.when(k % 8 == 0, "x").when(k % 4 != 0, (k % 9).cast("string"))
+    df = read(spark, sf_dir, "supplier").select(F.col("s_nationkey").cast("string").alias("DyreArtKode"), F.concat(F.lit(" "), "s_name").alias("DyreArtTekst"), usage.alias("BrugsArtKode"), F.lit(" ").alias("BrugsArtTekst"))
+    return R.usages(R.responses(spark, landed(spark, df), R.USAGE))
+
+
 def _herd_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers by nation as cursor pages that overlap, with numbers that are none among them."""
     n = F.col("s_suppkey")

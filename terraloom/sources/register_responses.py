@@ -1,7 +1,8 @@
 """Landed responses of the livestock and medicine registers: JSON lines with a declared shape, and typed rows out of them.
 
-Every leaf is read as text and converted by its declaration, so a response with a leaf of another kind loses that leaf
-alone. Absent parts are null structs; lists that came as one record are read as lists of one (`as_lists`).
+Responses are parsed as VARIANT and shaped node by node (`shaped`), as services do not keep to one form: a list of one
+comes as that record, and a list may be inside an element that has it as its only child. Every leaf is read as text and
+converted by its declaration, so a response with a leaf of another kind loses that leaf alone. Absent parts are null.
 """
 
 from __future__ import annotations
@@ -10,9 +11,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructType
 
-from terraloom.functions.clean import clean_text, positive, to_float, to_int, yes_flag
+from terraloom.functions.clean import clean_text, person_id, positive, to_float, to_int, yes_flag
 from terraloom.functions.crs import checked_point
+from terraloom.operators.dedupe import first_seen
 from terraloom.operators.livestock import not_total
 from terraloom.operators.mapping import Converter
 
@@ -132,6 +135,12 @@ ANTIBIOTIC_FIELDS: Fields = (
     ("ADDPer100DyrPerDag", "add_per_100_animals_per_day", to_float),
     ("Graensevaerdi", "threshold_value", to_float),
 )
+USAGE_FIELDS: Fields = (
+    ("DyreArtKode", "species_code", to_int),
+    ("DyreArtTekst", "species_text", clean_text),
+    ("BrugsArtKode", "usage_code", to_int),
+    ("BrugsArtTekst", "usage_text", clean_text),
+)
 LISTED_HERD_FIELDS: Fields = (
     ("BesaetningsNummer", "herd_number", to_int),
     ("DyreArtKode", "species_code", to_int),
@@ -164,6 +173,7 @@ PROPERTY = _struct(
     f"Besaetninger:array<{HERD}>",
 )
 ANTIBIOTICS = f"chr_number:string,period_from:string,period_to:string,Data:array<{_struct(*_leaves(ANTIBIOTIC_FIELDS))}>"
+USAGE = "DyreArtKode:string,DyreArtTekst:string,BrugsArtKode:string,BrugsArtTekst:string"
 HERD_LIST = "DyreArtKode:string,BrugsArtKode:string,FraNummer:string,BesNrListe:array<string>"
 
 
@@ -171,11 +181,45 @@ def _ddl(kind: str) -> str:
     return kind.removeprefix("struct<").removesuffix(">") if kind.startswith("struct<") else kind
 
 
+#: Lists that may be the only child of an element of this name.
+WRAPPED = {"Besaetninger": "Besaetning", "LeveringsErklaeringer": "LeveringsErklaering", "SamdriftNaboaftaler": "Samdrift", "ChrNumre": "ChrNummer"}
+#: The place of a record: its file, the split of the file, the line's number in the split, and its place in the line. In this
+#: order records are as they came.
+PLACE = ("page", "block", "pos", "item")
+
+
+def _nothing(node: Column) -> Column:
+    return node.isNull() | F.is_variant_null(node)
+
+
+def as_lists(node: Column, inner: str | None = None) -> Column:
+    """The records of a VARIANT node as an array: of a list its items, of a single record that alone, of an element that has the
+    list as its child `inner` what that holds; null where there is none or nothing in it."""
+    if inner:
+        node = F.coalesce(F.try_variant_get(node, f"$.{inner}", "variant"), node)
+    empty = _nothing(node) | (F.coalesce(F.size(F.try_variant_get(node, "$", "map<string,variant>")), F.lit(-1)) == 0)
+    return F.coalesce(F.try_variant_get(node, "$", "array<variant>"), F.when(~empty, F.array(node)))
+
+
+def shaped(node: Column, kind: DataType, path: str = "$", name: str = "") -> Column:
+    """A VARIANT's node in a declared shape: structs by the names of their fields, lists as in `as_lists`, leaves as text. What is
+    not there, or of another kind, is null; the rest of the record stays."""
+    if isinstance(kind, ArrayType):
+        return F.transform(as_lists(F.try_variant_get(node, path, "variant"), WRAPPED.get(name)), lambda x: shaped(x, kind.elementType))
+    if isinstance(kind, StructType):
+        fields = F.struct(*(shaped(node, f.dataType, f"{path}.{f.name}", f.name).alias(f.name) for f in kind.fields))
+        return F.when(~_nothing(F.try_variant_get(node, path, "variant")), fields)
+    return F.try_variant_get(node, path, "string")
+
+
 def responses(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """Landed responses, one a line, with their place (page, pos): the order in which they came."""
-    parsed = F.from_json("value", f"struct<{_ddl(kind)}>", {"mode": "PERMISSIVE"})
-    rows = spark.read.text(path).where("trim(value) <> ''").select(F.col("_metadata.file_path").alias("page"), F.col("_metadata.file_block_start").alias("block"), parsed.alias("r"))
-    return rows.select("page", "block", "r.*")
+    """Landed responses with their PLACE. A line holds one response or a list of them; an unreadable line is one without values."""
+    rows = spark.read.text(path).where("trim(value) <> ''")
+    rows = rows.select(F.col("_metadata.file_path").alias("page"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"), F.try_parse_json("value").alias("v"))
+    each = rows.select("page", "block", "pos", F.posexplode(F.coalesce(as_lists(F.col("v")), F.array(F.lit(None).cast("variant")))).alias("item", "v"))
+    fields = F.struct(*(shaped(F.col("v"), f.dataType, f"$.{f.name}", f.name).alias(f.name) for f in StructType.fromDDL(_ddl(kind)).fields))
+    # As a generator, so that the optimizer does not copy a record's shape into each expression that reads a leaf of it.
+    return each.select(*PLACE, F.inline(F.array(fields)))
 
 
 def typed(source: str, fields: Fields) -> list[Column]:
@@ -209,8 +253,8 @@ def agreements(given: DataFrame) -> DataFrame:
 
 
 def herds_of(given: DataFrame) -> DataFrame:
-    """(chr_number, herd) of each herd in property responses, in order of their places."""
-    return given.select(number(F.col("ChrNummer")).alias("chr_number"), F.explode("Besaetninger").alias("herd"))
+    """(PLACE, nth, chr_number, herd) of each herd in property responses; `nth` is its place among the property's."""
+    return given.select(*PLACE, number(F.col("ChrNummer")).alias("chr_number"), F.posexplode("Besaetninger").alias("nth", "herd"))
 
 
 def herd_rows(herds: DataFrame) -> DataFrame:
@@ -220,20 +264,52 @@ def herd_rows(herds: DataFrame) -> DataFrame:
 
 
 def herd_masters(given: DataFrame) -> DataFrame:
-    """Herd master responses (the herd itself at the top) as (chr_number, herd), for `herd_rows`, `persons` and the others."""
-    leaves = F.struct(*(c for c in given.columns if c not in ("page", "block")))
-    return given.select(number(F.col("ChrNummer")).alias("chr_number"), leaves.alias("herd"))
+    """Herd master responses (the herd itself at the top) in the form of `herds_of`, for `herd_rows`, `persons` and the others."""
+    leaves = F.struct(*(c for c in given.columns if c not in PLACE))
+    return given.select(*PLACE, F.lit(0).alias("nth"), number(F.col("ChrNummer")).alias("chr_number"), leaves.alias("herd"))
 
 
 def persons(herds: DataFrame, source: str, role: str) -> DataFrame:
     """Owners (Ejer) or users (Bruger) with all their columns; without a company and a person number there is no row."""
-    out = herds.select("chr_number", number(F.col("herd.BesaetningsNummer")).alias("herd_number"), F.lit(role).alias("role"), *typed(f"herd.{source}", PERSON_FIELDS))
+    return _persons(herds, source, role).drop(*PLACE, "nth")
+
+
+def _persons(herds: DataFrame, source: str, role: str) -> DataFrame:
+    out = herds.select(*PLACE, "nth", "chr_number", number(F.col("herd.BesaetningsNummer")).alias("herd_number"), F.lit(role).alias("role"), *typed(f"herd.{source}", PERSON_FIELDS))
     return out.where("cvr_number IS NOT NULL OR cpr_number IS NOT NULL")
 
 
+def first_persons(herds: DataFrame, source: str, role: str) -> DataFrame:
+    """`persons`, once a person (company number, else person number), property and herd: the row that came first, whole."""
+    rows = _persons(herds, source, role).withColumn("person", person_id(F.col("cvr_number"), F.col("cpr_number")))
+    return first_seen(rows, ["person", "chr_number", "herd_number"], [*PLACE, "nth"]).drop(*PLACE, "nth", "person")
+
+
 def practices(herds: DataFrame) -> DataFrame:
     """Veterinary practices with all their columns; without a number there is no row."""
-    return herds.select("chr_number", number(F.col("herd.BesaetningsNummer")).alias("herd_number"), *typed("herd.BesPraksis", PRACTICE_FIELDS)).where("practice_number IS NOT NULL")
+    return _practices(herds).drop(*PLACE, "nth")
+
+
+def _practices(herds: DataFrame) -> DataFrame:
+    out = herds.select(*PLACE, "nth", "chr_number", number(F.col("herd.BesaetningsNummer")).alias("herd_number"), *typed("herd.BesPraksis", PRACTICE_FIELDS))
+    return out.where("practice_number IS NOT NULL")
+
+
+def first_practices(herds: DataFrame) -> DataFrame:
+    """`practices`, once a practice, property and herd: the row that came first, whole."""
+    return first_seen(_practices(herds), ["practice_number", "chr_number", "herd_number"], [*PLACE, "nth"]).drop(*PLACE, "nth")
+
+
+def first_properties(given: DataFrame) -> DataFrame:
+    """Property responses, once a number: the one that came first."""
+    keyed = given.withColumn("chr", number(F.col("ChrNummer"))).where("chr IS NOT NULL")
+    return first_seen(keyed, ["chr"], list(PLACE)).drop("chr")
+
+
+def usages(given: DataFrame) -> DataFrame:
+    """(species_code, species_text, usage_code, usage_text) of responses that list species with their usages; without both codes
+    as whole numbers there is no row."""
+    return given.select(*typed("", USAGE_FIELDS)).where("species_code IS NOT NULL AND usage_code IS NOT NULL")
 
 
 def declarations(herds: DataFrame) -> DataFrame:
