@@ -19,6 +19,8 @@ from terraloom.session import checkpointed, unused
 
 #: Coordinates are snapped to this grid before rings are cut and joined.
 SNAP = 1e-3
+#: Pairs of edges that are tried together, and edges in slabs that are ordered together.
+PAIRS, SLABS = 1 << 19, 1 << 20
 
 
 def _segments(geometry) -> np.ndarray:
@@ -65,54 +67,103 @@ def crosses_itself(geometry) -> bool:
 
 
 def overlay(layers: list, keep, snap_to: float = SNAP) -> list:
-    """Polygons of the plane's part where `keep(inside)` holds, inside being a layer's even-odd coverage at a point.
+    """Polygons of the plane's part where `keep(inside)` holds, inside being each layer's even-odd coverage at a
+    point. `keep` is asked once for each combination of layers."""
+    return overlay_groups([[g] for g in layers], keep, snap_to)
+
+
+def _crossings(s: np.ndarray) -> np.ndarray:
+    """The heights at which segments cross. Pairs are those whose extents meet along the axis on which fewer do, a bounded number
+    at a time."""
+    best = None
+    for axis in (0, 1):
+        low, high = np.minimum(s[:, axis], s[:, axis + 2]), np.maximum(s[:, axis], s[:, axis + 2])
+        order = np.argsort(low, kind="stable")
+        stop = np.searchsorted(low[order], high[order], "right")
+        many = int((stop - np.arange(len(s)) - 1).clip(0).sum())
+        if best is None or many < best[0]:
+            best = many, order, stop
+    _, order, stop = best
+    s, found = s[order], []
+    number = (stop - np.arange(len(s)) - 1).clip(0)
+    cuts = np.searchsorted(np.cumsum(number), np.arange(0, number.sum() + PAIRS, PAIRS), "left")
+    for a, b in zip(cuts, [*cuts[1:], len(s)], strict=True):
+        if a >= b:
+            continue
+        i = np.repeat(np.arange(a, b), number[a:b])
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(number[a:b]) - number[a:b], number[a:b])
+        p, q = s[i], s[j]
+        near = (np.minimum(q[:, 0], q[:, 2]) <= np.maximum(p[:, 0], p[:, 2])) & (np.maximum(q[:, 0], q[:, 2]) >= np.minimum(p[:, 0], p[:, 2])) & (q[:, 1] < p[:, 3]) & (q[:, 3] > p[:, 1])
+        p, q = p[near], q[near]
+        d1, d2, w = p[:, 2:] - p[:, :2], q[:, 2:] - q[:, :2], q[:, :2] - p[:, :2]
+        den = d1[:, 0] * d2[:, 1] - d1[:, 1] * d2[:, 0]
+        ok = den != 0
+        d1, d2, w, den, y = d1[ok], d2[ok], w[ok], den[ok], p[ok, 1]
+        u, v = (w[:, 0] * d2[:, 1] - w[:, 1] * d2[:, 0]) / den, (w[:, 0] * d1[:, 1] - w[:, 1] * d1[:, 0]) / den
+        hit = (u >= 0) & (u <= 1) & (v >= 0) & (v <= 1)
+        found.append(np.unique(y[hit] + u[hit] * d1[hit, 1]))
+    return np.concatenate(found) if found else np.zeros(0)
+
+
+def overlay_groups(groups: list[list], keep, snap_to: float = SNAP) -> list:
+    """`overlay` of groups of geometries: a point is inside a group if it is inside one of its geometries.
 
     A slab decomposition: all ends and crossings cut the plane into horizontal slabs; in a slab the edges are ordered,
-    and between two neighbours the layers' coverage is constant. The trapezoids that are kept are joined again.
+    and between two neighbours the coverage is constant. Crossings come from pairs of edges that are near, and all slabs
+    are ordered and summed up at once, SLABS rows at a time: the work grows with the edges and the slabs that they span,
+    not with their square. The trapezoids that are kept are joined again.
     """
-    o = next((np.array(r[0], float) for g in layers for p in g for r in p if len(r)), None)
+    shapes = [(k, g) for k, group in enumerate(groups) for g in group]
+    o = next((np.array(r[0], float) for _, g in shapes for p in g for r in p if len(r)), None)
     if o is None:
         return []
-    rows, owner = [], []
-    for k, g in enumerate(layers):
+    rows, owner, group_of = [], [], np.array([k for k, _ in shapes])
+    for n, (_, g) in enumerate(shapes):
         s = _segments(g)
         s = np.round((s - np.tile(o, 2)) / snap_to) * snap_to
         s = s[s[:, 1] != s[:, 3]]
         rows.append(np.where((s[:, 1] < s[:, 3])[:, None], s, s[:, [2, 3, 0, 1]]))
-        owner.append(np.full(len(s), k))
+        owner.append(np.full(len(s), n))
     s, owner = np.concatenate(rows), np.concatenate(owner)
     if not len(s):
         return []
-    ys = {*s[:, 1], *s[:, 3]}
-    for i in range(len(s)):
-        t = s[i + 1 :]
-        t = t[(t[:, 1] < s[i, 3]) & (t[:, 3] > s[i, 1])]
-        d1, d2 = s[i, 2:] - s[i, :2], t[:, 2:] - t[:, :2]
-        den = d1[0] * d2[:, 1] - d1[1] * d2[:, 0]
-        ok = den != 0
-        w = t[ok, :2] - s[i, :2]
-        u = (w[:, 0] * d2[ok, 1] - w[:, 1] * d2[ok, 0]) / den[ok]
-        v = (w[:, 0] * d1[1] - w[:, 1] * d1[0]) / den[ok]
-        hit = (u > 0) & (u < 1) & (v >= 0) & (v <= 1)
-        ys |= set(s[i, 1] + u[hit] * d1[1])
-    ys = np.array(sorted(ys))
+    ys = np.unique(np.concatenate([s[:, 1], s[:, 3], _crossings(s)]))
     ys = ys[np.concatenate([[True], np.diff(ys) > snap_to / 1000])]
-    pieces = []  # (lower line, left and right below, left and right above)
-    for k, (lo, hi) in enumerate(zip(ys, ys[1:], strict=False)):
-        on = np.flatnonzero((s[:, 1] <= lo + snap_to / 2000) & (s[:, 3] >= hi - snap_to / 2000))
-        e = s[on]
-        slope = (e[:, 2] - e[:, 0]) / (e[:, 3] - e[:, 1])
-        low, high = e[:, 0] + (lo - e[:, 1]) * slope, e[:, 0] + (hi - e[:, 1]) * slope
+    first = np.searchsorted(ys[:-1], s[:, 1] - snap_to / 2000, "left")
+    spans = (np.searchsorted(ys[1:], s[:, 3] + snap_to / 2000, "right") - first).clip(0)
+    slope = (s[:, 2] - s[:, 0]) / (s[:, 3] - s[:, 1])
+    in_slab = np.cumsum(np.bincount(first, minlength=len(ys)) - np.bincount(first + spans, minlength=len(ys))[: len(ys)])
+    cuts = np.unique(np.concatenate([[0], np.searchsorted(np.cumsum(in_slab), np.arange(SLABS, in_slab.sum() + SLABS, SLABS), "left") + 1, [len(ys) - 1]])).clip(0, len(ys) - 1)
+    wanted = np.array([bool(keep([bool(c >> g & 1) for g in range(len(groups))])) for c in range(1 << len(groups))])
+    pieces: list[tuple] = []  # (lower line, left and right below, left and right above)
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        here = np.flatnonzero((first < b) & (first + spans > a))
+        low_k, n = np.maximum(first[here], a), np.minimum(first[here] + spans[here], b) - np.maximum(first[here], a)
+        e = np.repeat(here, n)
+        k = np.repeat(low_k, n) + np.arange(len(e)) - np.repeat(np.cumsum(n) - n, n)
+        low, high = s[e, 0] + (ys[k] - s[e, 1]) * slope[e], s[e, 0] + (ys[k + 1] - s[e, 1]) * slope[e]
         mid = (low + high) / 2
-        inside, begun = [False] * len(layers), None
-        for j in np.argsort(mid, kind="stable"):
-            inside[owner[on[j]]] ^= True
-            if begun is None and keep(inside):
-                begun = j
-            elif begun is not None and not keep(inside):
-                if mid[j] - mid[begun] > snap_to / 1000:
-                    pieces.append((k, low[begun], low[j], high[begun], high[j]))
-                begun = None
+        # In a slab the edges of a geometry enter and leave it by turns.
+        turn = np.lexsort((mid, owner[e], k))
+        fresh = np.concatenate([[True], (k[turn][1:] != k[turn][:-1]) | (owner[e][turn][1:] != owner[e][turn][:-1])])
+        place = np.arange(len(e)) - np.maximum.accumulate(np.where(fresh, np.arange(len(e)), 0))
+        step = np.empty(len(e), np.int64)
+        step[turn] = 1 - 2 * (place % 2)
+        order = np.lexsort((mid, k))
+        e, k, low, high, mid, step = (x[order] for x in (e, k, low, high, mid, step))
+        begin = np.concatenate([[True], k[1:] != k[:-1]])
+        last = np.concatenate([begin[1:], [True]])
+        combination = np.zeros(len(e), np.int64)
+        for g in range(len(groups)):
+            total = np.cumsum(np.where(group_of[owner[e]] == g, step, 0))
+            start = np.maximum.accumulate(np.where(begin, np.arange(len(e)), 0))
+            combination |= (total - np.where(start > 0, total[start - 1], 0) > 0).astype(np.int64) << g
+        kept = wanted[combination] & ~last
+        before = np.concatenate([[False], kept[:-1]]) & ~begin
+        left, right = np.flatnonzero(kept & ~before), np.flatnonzero(~kept & before)
+        wide = mid[right] - mid[left] > snap_to / 1000
+        left, right = left[wide], right[wide]
+        pieces += zip(*(x.tolist() for x in (k[left], low[left], low[right], high[left], high[right])), strict=True)
     return _joined(pieces, ys, o, snap_to)
 
 
@@ -273,15 +324,14 @@ def intersection(a: Column, b: Column) -> Column:
 def union_in_tiles(df: DataFrame, size: float, by: list[str], geometry: str = "geometry", rank: str | None = None) -> DataFrame:
     """Union of a layer's features by tile: (by, tile, geometry), the pieces of each tile clipped to it.
 
-    A feature goes to each tile that it touches; a tile's pieces are united two by two, so a task holds one tile's
-    features. Tiles of `size` must be small enough for that. Pieces of neighbouring tiles share the tile's edge.
+    A feature goes to each tile that it touches; a tile's pieces are united and clipped in one overlay, copies
+    once, so a task holds one tile's features. Tiles of `size` must be small enough for that. Pieces of neighbouring tiles share the tile's edge.
     With `rank`, one of the columns `by`, layers that differ in it alone take ground from each other: each gets its union
     without the unions of those with a smaller rank.
     """
     from terraloom.operators.spatial import assign_tiles
 
     group = [c for c in by if c != rank]
-    union = lambda shapes: shapes[0] if len(shapes) == 1 else overlay([union(shapes[: len(shapes) // 2]), union(shapes[len(shapes) // 2 :])], any)
 
     def work(rows: pa.Table) -> pa.Table:
         x, y = rows["tx"][0].as_py() * size, rows["ty"][0].as_py() * size
@@ -290,9 +340,9 @@ def union_in_tiles(df: DataFrame, size: float, by: list[str], geometry: str = "g
         shapes, taken, out, first = shapes_of(rows["g"]), [], [], []
         for r in sorted(set(ranks)):
             mine = [i for i, k in enumerate(ranks) if k == r]
-            whole = overlay([union([shapes[i] for i in mine]), tile], all)
-            out.append(overlay([whole, taken], lambda i: i[0] and not i[1]) if taken else whole)
-            taken = overlay([taken, whole], any) if taken else whole
+            own = list({tuple(np.asarray(ring).tobytes() for p in shapes[i] for ring in p): shapes[i] for i in mine}.values())
+            out.append(overlay_groups([own, [tile], taken], lambda i: i[0] and i[1] and not i[2]))
+            taken = taken + own
             first.append(mine[0])
         return rows.select([*by, "tx", "ty"]).take(first).append_column("geometry", column_of(out))
 

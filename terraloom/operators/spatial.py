@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terraloom.functions import geometry as G
 from terraloom.operators.components import connected_components
+from terraloom.session import checkpointed
 
 
 def tiles_of(box: Column, size: float) -> Column:
@@ -38,17 +39,19 @@ def vertex_links(df: DataFrame, id_col: str, group: str, geometry: str = "geomet
 
 def unit_edges(df: DataFrame, keep: list[str], grid: float = 10.0, geometry: str = "geometry") -> DataFrame:
     """Edges of grid-aligned features cut at the grid's lines, with their ends in order, so that features of different
-    size meet in equal pieces: `keep`, x1, y1, x2, y2 in grid steps."""
-    e = df.select(*keep, F.explode(G.edges_of(F.col(geometry))).alias("e"))
+    size meet in equal pieces: `keep`, x1, y1, x2, y2 in grid steps, and `way`: 1 where the feature is to the right of the
+    way from (x1, y1) to (x2, y2), else -1."""
+    rings = df.select(*keep, F.explode(geometry).alias("p")).select(*keep, F.posexplode("p").alias("i", "r"))
+    e = rings.select(*keep, F.when(G.is_ccw(F.col("r")) == (F.col("i") > 0), 1).otherwise(-1).alias("way"), F.explode(G.edges_of(F.array(F.array("r")))).alias("e"))
     at = lambda c: F.round(F.col(f"e.{c}") / grid).cast("long")
-    e = e.select(*keep, at("x1").alias("ax"), at("y1").alias("ay"), at("x2").alias("bx"), at("y2").alias("by"))
+    e = e.select(*keep, "way", at("x1").alias("ax"), at("y1").alias("ay"), at("x2").alias("bx"), at("y2").alias("by"))
     n = F.greatest(F.abs(F.col("bx") - F.col("ax")), F.abs(F.col("by") - F.col("ay")))
     e = e.where(n > 0).withColumn("n", n).withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)))
     step = lambda a, b, k: F.col(a) + F.expr(f"({b} - {a}) div n") * k
     first = F.struct(step("ax", "bx", F.col("k")).alias("x"), step("ay", "by", F.col("k")).alias("y"))
     last = F.struct(step("ax", "bx", F.col("k") + 1).alias("x"), step("ay", "by", F.col("k") + 1).alias("y"))
-    e = e.select(*keep, F.least(first, last).alias("a"), F.greatest(first, last).alias("b"))
-    return e.select(*keep, F.col("a.x").alias("x1"), F.col("a.y").alias("y1"), F.col("b.x").alias("x2"), F.col("b.y").alias("y2"))
+    e = e.select(*keep, F.when(first < last, F.col("way")).otherwise(-F.col("way")).alias("way"), F.least(first, last).alias("a"), F.greatest(first, last).alias("b"))
+    return e.select(*keep, "way", F.col("a.x").alias("x1"), F.col("a.y").alias("y1"), F.col("b.x").alias("x2"), F.col("b.y").alias("y2"))
 
 
 def edge_links(df: DataFrame, id_col: str, group: str, grid: float = 10.0, geometry: str = "geometry") -> DataFrame:
@@ -66,55 +69,77 @@ def components(df: DataFrame, links: DataFrame, id_col: str) -> DataFrame:
 
 
 def boundary(df: DataFrame, by: list[str], grid: float = 10.0, geometry: str = "geometry") -> DataFrame:
-    """The unit edges that remain when features of a group are dissolved: those seen an odd number of times. Repeated
-    features count once; features that overlap without being equal are for `repair.dissolved_parts`."""
+    """The unit edges that remain when features of a group are dissolved: those seen an odd number of times, with the
+    side (`way`) on which the features are. Repeated features count once; features that overlap without being equal are for `repair.dissolved_parts`."""
     key = [*by, "x1", "y1", "x2", "y2"]
     once = df.select(*by, F.col(geometry).alias("geometry")).dropDuplicates()
-    return unit_edges(once, by, grid).groupBy(*key).count().where("count % 2 = 1").drop("count")
+    return unit_edges(once, by, grid).groupBy(*key).agg(F.count("*").alias("n"), F.sum("way").alias("way")).where("n % 2 = 1").drop("n")
+
+
+def _followed(edges: DataFrame, by: list[str]) -> DataFrame:
+    """(id, next, turns) of boundary edges that run with the inside on their right: what follows each, and whether it leads on in
+    another direction. Where four edges meet, the sharpest turn to the right is taken, so parts that touch in a point stay
+    apart."""
+    out = edges.select(*by, F.col("fx").alias("tx"), F.col("fy").alias("ty"), F.col("id").alias("next"), (F.col("tx") - F.col("fx")).alias("nx"), (F.col("ty") - F.col("fy")).alias("ny"))
+    both = edges.join(out, [*by, "tx", "ty"]).withColumns({"dx": F.col("tx") - F.col("fx"), "dy": F.col("ty") - F.col("fy")})
+    cross, dot = F.expr("dx * ny - dy * nx"), F.expr("dx * nx + dy * ny")
+    least = F.min_by(F.struct("next", (cross != 0).alias("turns")), F.atan2(cross.cast("double"), dot.cast("double")))
+    return both.where(~((cross == 0) & (dot < 0))).groupBy("id").agg(least.alias("n")).select("id", "n.next", "n.turns")
+
+
+def _ranked_rings(followed: DataFrame) -> DataFrame:
+    """(id, ring, steps): of each edge the smallest edge of its ring and how many steps lead on to it. Pointers are doubled: a round
+    joins the edges with what they point at, so a ring of n edges takes log2(n) rounds, and no task walks a ring."""
+    state = checkpointed(followed.select("id", "next", F.col("id").alias("ring"), F.lit(0).cast("long").alias("steps")))
+    hop = 1
+    while True:
+        ahead = state.select(F.col("id").alias("next"), F.col("next").alias("after"), F.col("ring").alias("r"), F.col("steps").alias("s"))
+        less = F.col("r") < F.col("ring")
+        state = checkpointed(
+            state.join(ahead, "next").select(
+                "id", F.col("after").alias("next"), F.least("r", "ring").alias("ring"), F.when(less, F.col("s") + hop).otherwise(F.col("steps")).alias("steps"), less.alias("changed")
+            )
+        )
+        if state.where("changed").isEmpty():
+            return state.select("id", "ring", "steps")
+        hop *= 2
+
+
+def _owners(edges: DataFrame, rings: DataFrame, by: list[str]) -> DataFrame:
+    """(ring, shell): the shell that each ring belongs to. In the row of a hole's leftmost edge the next edge to the left is one of
+    its shell, or of a hole further left in the same shell; these pointers are jumped to their ends."""
+    row, at = F.least("fy", "ty"), F.col("fx") + F.col("tx")
+    left = F.lag("ring").over(Window.partitionBy(*by, "row").orderBy("at"))
+    seen = edges.where("fy <> ty").withColumns({"row": row, "at": at}).withColumn("left", left)
+    first = seen.groupBy("ring").agg(F.min_by("left", F.struct("at", "row")).alias("left"))
+    up = checkpointed(rings.join(first, "ring").select("ring", F.when(F.col("hole"), F.col("left")).otherwise(F.col("ring")).alias("shell")))
+    while True:
+        above = up.select(F.col("ring").alias("shell"), F.col("shell").alias("above"))
+        jumped = checkpointed(up.join(above, "shell").select("ring", F.col("above").alias("shell"), (F.col("above") != F.col("shell")).alias("moved")))
+        up = jumped.drop("moved")
+        if jumped.where("moved").isEmpty():
+            return up
 
 
 def stitch(edges: DataFrame, by: list[str], grid: float = 10.0) -> DataFrame:
-    """Dissolved geometries of boundary edges: rings are followed along each group's edges, collinear points dropped."""
-    import pandas as pd
-
-    def rings(frame: pd.DataFrame) -> pd.DataFrame:
-        ends: dict[tuple, list] = {}
-        for a, b in zip(zip(frame.x1, frame.y1, strict=True), zip(frame.x2, frame.y2, strict=True), strict=True):
-            ends.setdefault(a, []).append(b)
-            ends.setdefault(b, []).append(a)
-        found = []
-        for start in sorted(ends):
-            while ends[start]:
-                ring, here, came = [start], start, None
-                while True:
-                    out = ends[here]
-                    # Where four edges meet, turn rather than go on, so that parts that touch in a point stay apart.
-                    turn = [b for b in out if came is not None and (b[0] - here[0]) * came[0] + (b[1] - here[1]) * came[1] == 0]
-                    to = min(turn or out)
-                    out.remove(to)
-                    ends[to].remove(here)
-                    came, here = (to[0] - here[0], to[1] - here[1]), to
-                    ring.append(here)
-                    if here == start:
-                        break
-                corners = [p for q, p, r in zip([ring[-2], *ring[:-2]], ring[:-1], ring[1:], strict=True) if (p[0] - q[0]) * (r[1] - p[1]) != (p[1] - q[1]) * (r[0] - p[0])]
-                found.append([(float(x * grid), float(y * grid)) for x, y in [*corners, corners[0]]])
-        size = lambda r: sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(r, r[1:], strict=False)) / 2
-        inside = lambda p, r: sum((a[1] > p[1]) != (b[1] > p[1]) and p[0] < (b[0] - a[0]) * (p[1] - a[1]) / (b[1] - a[1]) + a[0] for a, b in zip(r, r[1:], strict=False)) % 2
-        probe = lambda r: ((r[0][0] + r[1][0]) / 2 + (r[1][1] - r[0][1]) * 1e-6, (r[0][1] + r[1][1]) / 2 - (r[1][0] - r[0][0]) * 1e-6)
-        probes = [probe(r if size(r) < 0 else r[::-1]) for r in found]
-        depth = [sum(inside(p, s) for j, s in enumerate(found) if j != i) for i, p in enumerate(probes)]
-        shells = [i for i, d in enumerate(depth) if d % 2 == 0]
-        polygons = {i: [found[i] if size(found[i]) < 0 else found[i][::-1]] for i in shells}
-        for i, d in enumerate(depth):
-            if d % 2:
-                owner = min((j for j in shells if inside(probes[i], found[j])), key=lambda j: abs(size(found[j])), default=None)
-                polygons.get(owner, polygons.setdefault(i, [])).append(found[i] if size(found[i]) > 0 else found[i][::-1])
-        geometry = [[[{"x": x, "y": y} for x, y in r] for r in p] for p in polygons.values() if p]
-        return pd.DataFrame({**{c: frame[c].iloc[:1] for c in by}, "geometry": [geometry]})
-
-    schema = ", ".join(f"{c} {edges.schema[c].dataType.simpleString()}" for c in by)
-    return edges.groupBy(*by).applyInPandas(rings, f"{schema}, geometry {G.GEOMETRY}")
+    """Dissolved geometries of `boundary`'s edges: rings in order, collinear points dropped, each hole with its shell.
+
+    Edges are ranked in their rings by pointer doubling and holes find their shells by the edges of a grid row, all in joins
+    and windows over rows of the grid, so a component of any size is spread over all tasks; only its finished rings come
+    together, as they are one value of the result. No edges: no rows."""
+    ends = lambda a, b: F.when(F.col("way") > 0, F.col(a)).otherwise(F.col(b)).cast("long")
+    given = edges.select(*by, ends("x1", "x2").alias("fx"), ends("y1", "y2").alias("fy"), ends("x2", "x1").alias("tx"), ends("y2", "y1").alias("ty"))
+    numbered = checkpointed(given.withColumn("id", F.monotonically_increasing_id()))
+    followed = checkpointed(_followed(numbered, by))
+    placed = checkpointed(numbered.join(followed.select("id", "turns"), "id").join(_ranked_rings(followed), "id"))
+    # From the ring's first edge on, which has no step to go; twice the area is negative where the inside is that of a shell.
+    corner = F.struct(F.when(F.col("steps") == 0, F.lit(None)).otherwise(-F.col("steps")).alias("k"), (F.col("tx") * F.lit(float(grid))).alias("x"), (F.col("ty") * F.lit(float(grid))).alias("y"))
+    points = F.transform(F.sort_array(F.collect_list(F.when(F.col("turns"), corner))), lambda p: F.struct(p["x"], p["y"]))
+    rings = placed.groupBy(*by, "ring").agg(F.sum(F.expr("fx * ty - tx * fy")).alias("twice"), points.alias("p"))
+    rings = checkpointed(rings.select(*by, "ring", (F.col("twice") > 0).alias("hole"), F.concat("p", F.slice("p", 1, 1)).alias("p")))
+    owned = rings.join(_owners(placed, rings.select("ring", "hole"), by), "ring")
+    each = owned.groupBy(*by, "shell").agg(F.sort_array(F.collect_list(F.struct("hole", "ring", "p"))).alias("r")).withColumn("r", F.transform("r", lambda x: x["p"]))
+    return each.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("shell", "r"))).alias("g")).select(*by, F.transform("g", lambda x: x["r"]).cast(G.GEOMETRY).alias("geometry"))
 
 
 def merge_efficiency(merged: DataFrame, by: str, count: str = "merged_count") -> DataFrame:
