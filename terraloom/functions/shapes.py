@@ -24,9 +24,14 @@ def shapes_of(column: pa.Array) -> list[Shape | None]:
     """A column's geometries; None for null. Null polygons and rings are empty, null coordinates not a number."""
     if isinstance(column, pa.ChunkedArray):
         return [s for chunk in column.chunks for s in shapes_of(chunk)]
-    rings = column.values.values
-    points = rings.values
-    first, second, third = (np.asarray(a.offsets) for a in (column, column.values, rings))
+    if not len(column):
+        return []
+    # A slice's values are those of the whole array: only the stretch that the slice has is taken up.
+    stretch = lambda a: a.values.slice(a.offsets[0].as_py(), a.offsets[len(a)].as_py() - a.offsets[0].as_py())
+    polygons = stretch(column)
+    rings = stretch(polygons) if len(polygons) else polygons.values.slice(0, 0)
+    points = stretch(rings) if len(rings) else rings.values.slice(0, 0)
+    first, second, third = (np.asarray(a.offsets) - a.offsets[0].as_py() if len(a) else np.zeros(1, np.int64) for a in (column, polygons, rings))
     xy = np.stack([points.field(i).to_numpy(zero_copy_only=False) for i in range(2)], 1)
     null = np.asarray(column.is_null())
 

@@ -15,6 +15,7 @@ from terraloom.functions import geometry as G
 from terraloom.functions.shapes import by_row, column_of, holds_by_row, shapes_of
 from terraloom.functions.wkb import decode_one
 from terraloom.operators.components import connected_components
+from terraloom.operators.groups import each_group
 from terraloom.session import checkpointed, unused
 
 #: Coordinates are snapped to this grid before rings are cut and joined.
@@ -348,7 +349,7 @@ def union_in_tiles(df: DataFrame, size: float, by: list[str], geometry: str = "g
 
     rows = assign_tiles(df.select(*by, F.col(geometry).alias("g")).where(F.size("g") > 0), size, "g").select(*by, "tile.tx", "tile.ty", "g")
     schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in by) + f", tx long, ty long, geometry {G.GEOMETRY}"
-    return rows.where(F.col(rank).isNotNull() if rank else F.lit(True)).groupBy(*group, "tx", "ty").applyInArrow(work, schema).where("size(geometry) > 0")
+    return each_group(rows.where(F.col(rank).isNotNull() if rank else F.lit(True)), [*group, "tx", "ty"], work, schema).where("size(geometry) > 0")
 
 
 def _open_edges(pieces: DataFrame, size: float, by: list[str]) -> DataFrame:
@@ -413,7 +414,7 @@ def dissolved_parts(df: DataFrame, size: float, by: list[str], geometry: str = "
     """
     from terraloom.operators.spatial import tiles_of
 
-    pieces = union_in_tiles(df, size, by, geometry, rank)
+    pieces = checkpointed(union_in_tiles(df, size, by, geometry, rank))
     node = lambda x, y: F.xxhash64(*by, F.col(x), F.col(y))
     edges = checkpointed(_open_edges(pieces, size, by).withColumns({"src": node("ax", "ay"), "dst": node("bx", "by_")}))
     chains = connected_components(edges.select("src", "dst")).select(F.col("node").alias("src"), "component")
@@ -423,7 +424,7 @@ def dissolved_parts(df: DataFrame, size: float, by: list[str], geometry: str = "
         return rows.select(by).take([0] * len(found)).append_column("ring", column_of([[[r]] for r in found]))
 
     kinds = "".join(f"`{c}` {df.schema[c].dataType.simpleString()}, " for c in by)
-    found = edges.join(chains, "src").groupBy(*by, "component").applyInArrow(rings, f"{kinds}ring {G.GEOMETRY}")
+    found = each_group(edges.join(chains, "src"), [*by, "component"], rings, f"{kinds}ring {G.GEOMETRY}")
     found = checkpointed(found.withColumn("ring", F.get(F.get("ring", F.lit(0)), F.lit(0))).withColumns({"area": G.signed_area(F.col("ring")), "ring_id": F.xxhash64(*by, "ring")}))
     shells, holes = found.where("area < 0"), found.where("area > 0")
     tiles = tiles_of(G.bbox(F.array(F.array("ring"))), size)
