@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -55,13 +56,62 @@ def _rename(fs, a, b) -> None:
         raise OSError(f"could not rename {a} to {b}")
 
 
+def write_counted(df: DataFrame, path: str) -> int:
+    """Write to `path` and return the rows, counted as they are written and not by a second pass."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return seen.get["rows"]
+
+
+def _listed(spark: SparkSession, path: str) -> list[str]:
+    p, fs = _path(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def publish_version(df: DataFrame, root: str, dataset: str, keep: int = 3, at: datetime | None = None) -> int:
+    """A new version of a dataset, and its rows; readers (`read_current`) find the last version or this one, never none.
+
+    A version is a folder that nobody changes once it stands. Its pointer is an empty file whose name has its number and
+    the folder's; the version is the current one from the moment when that file is made, which is one step in any file
+    system. The newest `keep` versions stay for those that read them, older ones go. An empty dataset is not published: 0.
+    Each version leaves a line in the run log (`run_log`). Of two publications at a time both stand, and one of them is current.
+    """
+    spark, base = df.sparkSession, f"{root}/raw/{dataset}"
+    name = uuid.uuid4().hex[:12]
+    rows = write_counted(df, f"{base}/versions/{name}")
+    if not rows:
+        remove(spark, f"{base}/versions/{name}")
+        return 0
+    pointers = _listed(spark, f"{base}/pointers")
+    number = int(pointers[-1].split("-")[0]) + 1 if pointers else 1
+    p, fs = _path(spark, f"{base}/pointers/{number:012d}-{name}")
+    fs.create(p, False).close()
+    log = spark.createDataFrame([(dataset, number, name, rows, at)], "dataset string, version long, folder string, rows long, at timestamp")
+    log.coalesce(1).write.mode("append").json(f"{base}/runs")
+    for old in [*pointers, p.getName()][:-keep]:
+        remove(spark, f"{base}/pointers/{old}")
+        remove(spark, f"{base}/versions/{old.split('-')[1]}")
+    return rows
+
+
+def read_current(spark: SparkSession, root: str, dataset: str) -> DataFrame:
+    """The current version of a dataset. The frame stays with its version, whatever is published later."""
+    pointers = _listed(spark, f"{root}/raw/{dataset}/pointers")
+    if not pointers:
+        raise FileNotFoundError(f"{root}/raw/{dataset}")
+    return spark.read.parquet(f"{root}/raw/{dataset}/versions/{pointers[-1].split('-')[1]}")
+
+
+def run_log(spark: SparkSession, root: str, dataset: str) -> DataFrame:
+    """(dataset, version, folder, rows, at) of each publication."""
+    return spark.read.schema("dataset string, version long, folder string, rows long, at timestamp").json(f"{root}/raw/{dataset}/runs")
+
+
 def publish(df: DataFrame, root: str, dataset: str, name: str = "current") -> bool:
     """Write to <root>/raw/<dataset>/<name>.parquet whole, or not at all; an empty dataset is not published."""
     target = f"{root}/raw/{dataset}/{name}.parquet"
-    df.write.mode("overwrite").parquet(f"{target}.new")
-    if df.sparkSession.read.parquet(f"{target}.new").isEmpty():
-        p, fs = _path(df.sparkSession, f"{target}.new")
-        fs.delete(p, True)
+    if not write_counted(df, f"{target}.new"):
+        remove(df.sparkSession, f"{target}.new")
         return False
     replace_dir(df.sparkSession, f"{target}.new", target)
     return True
@@ -111,9 +161,10 @@ def write_lines(df: DataFrame, root: str, stem: str, run: datetime) -> str:
 
 
 def load_table(df: DataFrame, table: str) -> int:
-    """Replace a table and return its rows."""
-    df.write.mode("overwrite").saveAsTable(table)
-    return df.sparkSession.table(table).count()
+    """Replace a table and return its rows, counted as they are written."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").saveAsTable(table)
+    return seen.get["rows"]
 
 
 def write_csv(df: DataFrame, path: str) -> None:
