@@ -5,6 +5,8 @@ The Python steps are marked as not deterministic, so that the optimizer leaves e
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -34,35 +36,64 @@ def _segments(geometry) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros((0, 4))
 
 
+def _spread(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For stretches of these sizes, end to end: (the stretch of each place, its place in the stretch)."""
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    return owner, np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+def near_pairs(s: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of segments (x1, y1, x2, y2) that go through one cell of a grid, about PAIRS at a time, some of them more than once.
+    Segments that meet are among them. The grid's side is the segments' mean extent, so all together go through a few
+    cells a segment, and a segment is in the cells along it, not in those of its box."""
+    if len(s) < 2:
+        return
+    low, high = np.minimum(s[:, :2], s[:, 2:]), np.maximum(s[:, :2], s[:, 2:])
+    origin = low.min(0)
+    side = max(float((high - low).sum()) / (2 * len(s)), float((high.max(0) - origin).max()) / 2**20, 1e-12)
+    first, last = np.floor((low[:, 1] - origin[1]) / side - 1e-6).astype(np.int64), np.floor((high[:, 1] - origin[1]) / side + 1e-6).astype(np.int64)
+    k, place = _spread(last - first + 1)
+    row = first[k] + place
+    rise = s[k, 3] - s[k, 1]
+    level = rise == 0
+    x = []
+    for edge in (row, row + 1):
+        y = np.clip(edge * side + origin[1], low[k, 1], high[k, 1])
+        x.append(s[k, 0] + (y - s[k, 1]) * (s[k, 2] - s[k, 0]) / np.where(level, 1, rise))
+    left, right = np.where(level, low[k, 0], np.minimum(*x)), np.where(level, high[k, 0], np.maximum(*x))
+    begin, end = np.floor((left - origin[0]) / side - 1e-6).astype(np.int64), np.floor((right - origin[0]) / side + 1e-6).astype(np.int64)
+    r, place = _spread(end - begin + 1)
+    cell = row[r] * (1 << 24) + begin[r] + place
+    order = np.argsort(cell, kind="stable")
+    cell, member = cell[order], k[r][order]
+    later = np.searchsorted(cell, cell, "right") - np.arange(len(cell)) - 1
+    sums = np.cumsum(later)
+    cuts = np.unique(np.concatenate([[0], np.searchsorted(sums, np.arange(PAIRS, sums[-1] + PAIRS, PAIRS), "left") + 1, [len(cell)]])).clip(0, len(cell))
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        i, place = _spread(later[a:b])
+        if len(i):
+            yield member[a + i], member[a + i + 1 + place]
+
+
 def crosses_itself(geometry) -> bool:
-    """True if two segments cross, or overlap along a stretch. Only pairs whose boxes meet are tried."""
+    """True if two segments cross, or overlap along a stretch. Only pairs that go through one cell of a grid are tried, and the
+    first crossing ends the search."""
     s = _segments(geometry)
     if len(s) < 2:
         return False
-    o = s[0, :2].copy()
-    s = s - np.tile(o, 2)
-    order = np.argsort(np.minimum(s[:, 0], s[:, 2]), kind="stable")
-    s = s[order]
-    low, high = np.minimum(s[:, 0], s[:, 2]), np.maximum(s[:, 0], s[:, 2])
-    stop = np.searchsorted(low, high, "right")
-    for i in range(len(s)):
-        t = s[i + 1 : stop[i]]
-        if not len(t):
-            continue
-        a, b = s[i, :2], s[i, 2:]
-        t = t[(np.maximum(t[:, 1], t[:, 3]) >= min(a[1], b[1])) & (np.minimum(t[:, 1], t[:, 3]) <= max(a[1], b[1]))]
-        side = lambda p, q, r: (q[0] - p[0]) * (r[..., 1] - p[1]) - (q[1] - p[1]) * (r[..., 0] - p[0])
-        c, d = t[:, :2], t[:, 2:]
-        s1, s2 = side(a, b, c), side(a, b, d)
-        s3 = (d[:, 0] - c[:, 0]) * (a[1] - c[:, 1]) - (d[:, 1] - c[:, 1]) * (a[0] - c[:, 0])
-        s4 = (d[:, 0] - c[:, 0]) * (b[1] - c[:, 1]) - (d[:, 1] - c[:, 1]) * (b[0] - c[:, 0])
+    s = s - np.tile(s[0, :2], 2)
+    side = lambda p, q, r: (q[:, 0] - p[:, 0]) * (r[:, 1] - p[:, 1]) - (q[:, 1] - p[:, 1]) * (r[:, 0] - p[:, 0])
+    for i, j in near_pairs(s):
+        i, j = i[i != j], j[i != j]
+        a, b, c, d = s[i, :2], s[i, 2:], s[j, :2], s[j, 2:]
+        s1, s2, s3, s4 = side(a, b, c), side(a, b, d), side(c, d, a), side(c, d, b)
         if ((s1 * s2 < 0) & (s3 * s4 < 0)).any():
             return True
         flat = (s1 == 0) & (s2 == 0)
         if flat.any():
-            axis = b - a
-            u, v = (c[flat] - a) @ axis, (d[flat] - a) @ axis
-            if (np.minimum(np.maximum(u, v), axis @ axis) > np.maximum(np.minimum(u, v), 0)).any():
+            a, axis, c, d = a[flat], (b - a)[flat], c[flat], d[flat]
+            u, v = ((c - a) * axis).sum(1), ((d - a) * axis).sum(1)
+            if (np.minimum(np.maximum(u, v), (axis * axis).sum(1)) > np.maximum(np.minimum(u, v), 0)).any():
                 return True
     return False
 
@@ -74,27 +105,11 @@ def overlay(layers: list, keep, snap_to: float = SNAP) -> list:
 
 
 def _crossings(s: np.ndarray) -> np.ndarray:
-    """The heights at which segments cross. Pairs are those whose extents meet along the axis on which fewer do, a bounded number
-    at a time."""
-    best = None
-    for axis in (0, 1):
-        low, high = np.minimum(s[:, axis], s[:, axis + 2]), np.maximum(s[:, axis], s[:, axis + 2])
-        order = np.argsort(low, kind="stable")
-        stop = np.searchsorted(low[order], high[order], "right")
-        many = int((stop - np.arange(len(s)) - 1).clip(0).sum())
-        if best is None or many < best[0]:
-            best = many, order, stop
-    _, order, stop = best
-    s, found = s[order], []
-    number = (stop - np.arange(len(s)) - 1).clip(0)
-    cuts = np.searchsorted(np.cumsum(number), np.arange(0, number.sum() + PAIRS, PAIRS), "left")
-    for a, b in zip(cuts, [*cuts[1:], len(s)], strict=True):
-        if a >= b:
-            continue
-        i = np.repeat(np.arange(a, b), number[a:b])
-        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(number[a:b]) - number[a:b], number[a:b])
+    """The heights at which segments cross."""
+    found = [np.zeros(0)]
+    for i, j in near_pairs(s):
         p, q = s[i], s[j]
-        near = (np.minimum(q[:, 0], q[:, 2]) <= np.maximum(p[:, 0], p[:, 2])) & (np.maximum(q[:, 0], q[:, 2]) >= np.minimum(p[:, 0], p[:, 2])) & (q[:, 1] < p[:, 3]) & (q[:, 3] > p[:, 1])
+        near = (q[:, 1] < p[:, 3]) & (q[:, 3] > p[:, 1])
         p, q = p[near], q[near]
         d1, d2, w = p[:, 2:] - p[:, :2], q[:, 2:] - q[:, :2], q[:, :2] - p[:, :2]
         den = d1[:, 0] * d2[:, 1] - d1[:, 1] * d2[:, 0]
@@ -103,7 +118,7 @@ def _crossings(s: np.ndarray) -> np.ndarray:
         u, v = (w[:, 0] * d2[:, 1] - w[:, 1] * d2[:, 0]) / den, (w[:, 0] * d1[:, 1] - w[:, 1] * d1[:, 0]) / den
         hit = (u >= 0) & (u <= 1) & (v >= 0) & (v <= 1)
         found.append(np.unique(y[hit] + u[hit] * d1[hit, 1]))
-    return np.concatenate(found) if found else np.zeros(0)
+    return np.concatenate(found)
 
 
 def overlay_groups(groups: list[list], keep, snap_to: float = SNAP) -> list:

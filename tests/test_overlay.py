@@ -66,3 +66,58 @@ def test_time_grows_with_the_vertices_not_their_square():
         took.append(time.process_time() - began)
         assert area(common) + area(either) == pytest.approx(area(a) + area(b), rel=1e-6)
     assert took[1] < 20 * took[0]
+
+
+def all_pairs_cross(s):
+    """The definition, for each pair by itself."""
+    side = lambda p, q, r: (q[0] - p[0]) * (r[1] - p[1]) - (q[1] - p[1]) * (r[0] - p[0])
+    for i in range(len(s)):
+        for j in range(i):
+            a, b, c, d = s[i, :2], s[i, 2:], s[j, :2], s[j, 2:]
+            s1, s2, s3, s4 = side(a, b, c), side(a, b, d), side(c, d, a), side(c, d, b)
+            if s1 * s2 < 0 and s3 * s4 < 0:
+                return True
+            if s1 == 0 and s2 == 0:
+                axis = b - a
+                u, v = sorted(((c - a) @ axis, (d - a) @ axis))
+                if min(v, axis @ axis) > max(u, 0):
+                    return True
+    return False
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_self_crossing_equals_all_pairs(seed, monkeypatch):
+    rng = np.random.default_rng(seed)
+    if seed % 2:
+        monkeypatch.setattr(repair, "PAIRS", 5)
+    answers = set()
+    for _ in range(60):
+        n = int(rng.integers(3, 12))
+        t = np.sort(rng.uniform(0, 2 * np.pi, n))
+        p = np.stack([np.cos(t), np.sin(t)], 1) * rng.uniform(20, 100, (n, 1)) if rng.random() < 0.7 else rng.integers(0, 9, (n, 2)).astype(float)
+        p = np.round(p, int(rng.integers(0, 3)))
+        g = [[np.vstack([p, p[:1]])]]
+        want = all_pairs_cross(repair._segments(g))
+        assert repair.crosses_itself(g) == want
+        answers.add(want)
+    assert answers == {True, False}
+
+
+def test_pairs_that_meet_are_near():
+    rng = np.random.default_rng(3)
+    s = np.concatenate([rng.uniform(0, 100, (60, 4)), rng.integers(0, 100, (60, 4)).astype(float), np.array([[0, 0, 100, 100], [0, 50, 100, 50], [50, 0, 50, 100], [0, 100, 100, 0]], float)])
+    seen = {tuple(sorted(p)) for i, j in repair.near_pairs(s) for p in zip(i.tolist(), j.tolist())}
+    for i in range(len(s)):
+        for j in range(i):
+            if all_pairs_cross(s[[i, j]]):
+                assert (j, i) in seen
+
+
+def test_a_million_vertices_in_seconds():
+    rng = random.Random(2)
+    g = blob(rng, 1_000_000, 0, 0, 50_000)
+    began = time.process_time()
+    assert not repair.crosses_itself(g)
+    g[0][0][500_000] *= -2  # out through the other side
+    assert repair.crosses_itself(g)
+    assert time.process_time() - began < 30
