@@ -7,8 +7,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terraloom.operators import catalog, spatial, stars
+from terraloom.operators import catalog, covers, spatial, stars
 from terraloom.plans.geometry_queries import _CELLS, cells
+from terraloom.plans.overlay_queries import _square
 from terraloom.plans.registry import registry
 from terraloom.session import checkpointed, prepare, read, shared_dir
 from terraloom.sinks import publish
@@ -34,6 +35,18 @@ def star_dissolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stars.greedy_stars(df, spatial.edge_links(df, "id", "layer")).select("id", "centre", "group_id")
 
 
+@query("""
+    SELECT p_partkey AS id, p_partkey AS neighbour, ((10 - p_partkey % 7) * 10)::DOUBLE AS common FROM part UNION ALL SELECT p_partkey, -1, 100.0 FROM part""")
+def cover_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Squares to those of another layer, and to one of a thousand kilometres that lies around all, by covers of cells of many sizes."""
+    k = F.col("p_partkey")
+    x, y = F.lit(595000.0) + 40 * (k % 50), F.lit(6401000.0) + 40 * F.floor(k / 50)
+    parts = read(prepare(spark), sf_dir, "part")
+    layer = lambda shift, name: parts.select(k.alias(name), F.array(F.array(_square(x + shift, y, 10))).alias("geometry"))
+    wide = parts.select(F.array(F.array(_square(F.min(x) - 1000, F.min(y) - 1000, 1_000_000))).alias("geometry")).select(F.lit(-1).cast("long").alias("neighbour"), "geometry")
+    return covers.cover_join(layer(F.lit(0), "id"), layer(k % 7, "neighbour").unionByName(wide), "id", "neighbour", 25.0).select("id", "neighbour", F.round("common", 6).alias("common"))
+
+
 def _versions(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     """Orders published four times: urgent ones, none (which is no version), then those before 1998, then all."""
     root = f"{shared_dir(prepare(spark))}/versions-{uuid.uuid4().hex[:12]}"
