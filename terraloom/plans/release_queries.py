@@ -98,3 +98,40 @@ def source_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = read(prepare(spark), sf_dir, "customer").select(F.col("c_name").alias("name"), (k % 5 != 0).alias("enabled"), F.when(k % 3 == 0, "weekly").when(k % 3 == 1, "static").otherwise("monthly").alias("frequency"), k)
     runs = read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), F.col("o_orderdate").alias("at")).join(sources.select("c_custkey", "name"), "c_custkey")
     return catalog.freshness(sources, runs.select("name", "at"))
+
+
+def _open_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as JSON lines with nested parts, some of them absent, null or of another kind."""
+    k = F.col("o_orderkey")
+    price = F.when(k % 3 == 0, F.to_variant_object(F.array("o_totalprice"))).when(k % 3 == 1, F.to_variant_object(F.struct(F.col("o_totalprice").alias("amount"), (k % 2 == 0).alias("paid"))))
+    row = F.struct(k.alias("id"), F.col("o_orderstatus").alias("status"), F.struct(F.array((k % 5).cast("string"), (k % 7).cast("string")).alias("codes"), price.alias("price")).alias("detail"))
+    return read(prepare(spark), sf_dir, "orders").select(F.to_json(row).alias("value"))
+
+
+@query("""
+    SELECT '$' AS path, 'object' AS kind, count(*) AS n FROM orders UNION ALL SELECT '$.id', 'number', count(*) FROM orders UNION ALL SELECT '$.status', 'string', count(*) FROM orders UNION ALL
+    SELECT '$.detail', 'object', count(*) FROM orders UNION ALL SELECT '$.detail.codes', 'array', count(*) FROM orders UNION ALL SELECT '$.detail.codes[*]', 'string', 2 * count(*) FROM orders UNION ALL
+    SELECT '$.detail.price', CASE o_orderkey % 3 WHEN 0 THEN 'array' ELSE 'object' END, count(*) FROM orders WHERE o_orderkey % 3 < 2 GROUP BY 2 UNION ALL
+    SELECT '$.detail.price[*]', 'number', count(*) FROM orders WHERE o_orderkey % 3 = 0 UNION ALL
+    SELECT '$.detail.price.amount', 'number', count(*) FROM orders WHERE o_orderkey % 3 = 1 UNION ALL SELECT '$.detail.price.paid', 'boolean', count(*) FROM orders WHERE o_orderkey % 3 = 1""")
+def nested_path_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each path of nested records has a value of each kind."""
+    from terraloom.sources import inferred
+
+    return inferred.path_profile(_open_records(spark, sf_dir))
+
+
+@query("""
+    SELECT o_orderkey AS id, o_orderstatus AS status, CAST(o_orderkey % 5 AS VARCHAR) AS first_code, CASE WHEN o_orderkey % 3 = 1 THEN round(o_totalprice, 2) END AS amount,
+           CASE WHEN o_orderkey % 3 = 0 THEN round(o_totalprice, 2) END AS listed FROM orders""")
+def inferred_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records read without a declared schema; what is of several kinds stays open and is read by its path."""
+    from terraloom.sources import inferred
+
+    path = f"{shared_dir(prepare(spark))}/landed-{uuid.uuid4().hex[:12]}"
+    _open_records(spark, sf_dir).write.text(path)
+    r = inferred.read_records(spark, path)
+    amount = lambda at: F.round(F.try_variant_get("detail.price", at, "double"), 2)
+    out = checkpointed(r.select("id", "status", F.get("detail.codes", F.lit(0)).alias("first_code"), amount("$.amount").alias("amount"), amount("$[0]").alias("listed")))
+    publish.remove(spark, path)
+    return out
