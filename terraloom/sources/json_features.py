@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from terraloom.functions import geometry as G
 from terraloom.functions.dates import epoch_millis
 from terraloom.operators.mapping import rename, sanitise_columns
+from terraloom.session import prepare
 
 #: Source names of field and block attributes.
 FIELD_NAMES = {
@@ -62,12 +63,12 @@ def geojson_features(spark: SparkSession, path: str, properties: str) -> DataFra
     return rows.select("path", "pos", "f.properties.*", F.when(kind == "Polygon", one).when(kind == "MultiPolygon", many).alias("geometry"))
 
 
-def feature_lines(df: DataFrame, geometry: str = "geometry") -> DataFrame:
-    """(value): one GeoJSON feature a row, to be written as lines."""
+def feature_lines(df: DataFrame, geometry: str = "geometry", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(value): one GeoJSON feature a row, to be written as lines; columns to be kept stand before it."""
     coordinates = F.transform(geometry, lambda p: F.transform(p, lambda r: F.transform(r, lambda q: F.array(q["x"], q["y"]))))
     properties = F.struct(*(c for c in df.columns if c != geometry))
     shape = F.struct(F.lit("MultiPolygon").alias("type"), coordinates.alias("coordinates"))
-    return df.select(F.to_json(F.struct(F.lit("Feature").alias("type"), shape.alias("geometry"), properties.alias("properties"))).alias("value"))
+    return df.select(*keep, F.to_json(F.struct(F.lit("Feature").alias("type"), shape.alias("geometry"), properties.alias("properties"))).alias("value"))
 
 
 def json_lines(spark: SparkSession, path: str, schema: T.StructType | str, bad_most: int = 1000) -> DataFrame:
@@ -82,23 +83,50 @@ def json_lines(spark: SparkSession, path: str, schema: T.StructType | str, bad_m
     return parsed.where("_bad IS NULL").drop("_bad")
 
 
-def zipped_records(spark: SparkSession, path: str) -> DataFrame:
+def zipped_records(spark: SparkSession, path: str, piece: int = 1 << 20) -> DataFrame:
     """(path, value): each feature's type and properties, as JSON, of the first .json member of each zip; geometry is
-    left out and arrays stay arrays. A zip is one task's work, as its codec can't be split."""
-    import pandas as pd
+    left out and arrays stay arrays. A member is unpacked in pieces, and of it no more is held than a feature and a piece; the
+    zip itself comes through Spark as one value (2 GB at most). A zip is one task's work, as its codec can't be split. A zip
+    without such a member has no rows."""
+    import pyarrow as pa
 
-    def unzip(frames):
+    def unzip(batches):
         import io
         import json
         import zipfile
 
-        for frame in frames:
-            for name, content in zip(frame["path"], frame["content"], strict=True):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    member = next((m for m in z.namelist() if m.endswith(".json")), None)
-                    found = json.loads(z.read(member))["features"] if member else []
-                for at in range(0, len(found), 1000):
-                    values = [json.dumps({"type": f.get("type"), "properties": f.get("properties")}) for f in found[at : at + 1000]]
-                    yield pd.DataFrame({"path": name, "value": values})
+        from terraloom.sources.json_stream import items
+
+        def packed(name, values):
+            return pa.RecordBatch.from_arrays([pa.array([name] * len(values), pa.string()), pa.array(values, pa.string())], ["path", "value"])
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(unzip, "path string, value string")
+        for batch in batches:
+            for name, content in zip(batch.column("path"), batch.column("content"), strict=True):
+                with zipfile.ZipFile(io.BytesIO(content.as_buffer())) as z:
+                    member = next((m for m in z.namelist() if m.endswith(".json")), None)
+                    if member is None:
+                        continue
+                    with z.open(member) as opened:
+                        values, size = [], 0
+                        for item in items(iter(lambda: opened.read(piece), b""), "features"):
+                            f = json.loads(item)
+                            values.append(json.dumps({"type": f.get("type"), "properties": f.get("properties")}))
+                            size += len(values[-1])
+                            if len(values) == 1000 or size > piece:
+                                yield packed(name.as_py(), values)
+                                values, size = [], 0
+                        if values:
+                            yield packed(name.as_py(), values)
+
+    landed = prepare(spark).read.format("binaryFile").load(path).select("path", "content")
+    return landed.mapInArrow(unzip, "path string, value string")
+
+
+def collections(df: DataFrame, size: int = 10_000, geometry: str = "geometry", key: str | None = None) -> DataFrame:
+    """(page, features, value): FeatureCollections of at most `size` features. Without a key a page is a number of its own and
+    features come as they are; with one (a whole number), a page is the key divided by `size`, its features in the order of
+    the key. No collection is longer than a page, so none is one task's whole input."""
+    lines = feature_lines(df, geometry).withColumn("_n", F.monotonically_increasing_id()) if key is None else feature_lines(df, geometry, (key,)).withColumnRenamed(key, "_n")
+    pages = lines.groupBy(F.floor(F.col("_n") / size).alias("page")).agg(F.count("*").alias("features"), F.array_sort(F.collect_list(F.struct("_n", "value"))).alias("found"))
+    body = F.array_join(F.transform("found", lambda x: x["value"]), ",")
+    return pages.select("page", "features", F.concat(F.lit('{"type":"FeatureCollection","features":['), body, F.lit("]}")).alias("value"))
