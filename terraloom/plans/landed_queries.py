@@ -10,12 +10,11 @@ from pyspark.sql import functions as F
 from terraloom.functions import geometry as G
 from terraloom.functions import wkb
 from terraloom.functions.clean import clean_text, to_int
-from terraloom.functions.dates import plan_year
 from terraloom.operators import formats, mapping, quality, spec
 from terraloom.plans.geometry_queries import _CELLS, cells
 from terraloom.plans.overlay_queries import _SHAPES, shapes
 from terraloom.plans.registry import registry
-from terraloom.session import prepare, read, shared_dir
+from terraloom.session import checkpointed, prepare, read, shared_dir
 from terraloom.sinks import publish as P
 from terraloom.sources import json_features, sheets, text, wfs
 from terraloom.streaming import ingest
@@ -33,13 +32,13 @@ def _positions(three: bool = False):
 
 
 def _xml_pages(spark: SparkSession, features: DataFrame, attributes: str = "") -> DataFrame:
-    """Features (id, xml) as landed pages of 100, one file a page."""
+    """Features (id, xml) as landed pages of 100, many pages a file."""
     path = folder(spark, "pages")
     page = F.concat(F.lit(f'<w:FeatureCollection xmlns:w="w" xmlns:n="n" xmlns:gml="g" {attributes}>'), F.array_join(F.array_sort(F.collect_list("xml")), ""), F.lit("</w:FeatureCollection>"))
     pages = features.groupBy(F.floor(F.col("id") / 100).alias("page")).agg(page.alias("value"))
-    pages.repartition(16, "page").write.option("lineSep", "\x01").partitionBy("page").text(path)
+    pages.select("value").write.option("lineSep", "\x01").text(path)
     # A page is one record of its file; records are parted by a sign that XML cannot hold.
-    return spark.read.text(f"{path}/page=*", lineSep="\x01").where("value <> ''").select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("page_xml"))
+    return spark.read.text(path, lineSep="\x01").where("value <> ''").select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("page_xml"))
 
 
 _STATUS = "CASE id % 4 WHEN 0 THEN 'Frivillig aftale tilbudt (UDGÅET)' WHEN 1 THEN 'Indsats gennemført' WHEN 2 THEN 'Ny' END"
@@ -147,8 +146,7 @@ def sheet_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = read(spark, sf_dir, "supplier").select(k.alias("firma"), F.when(k % 4 == 0, 9).otherwise(k % 4).alias("enhed"), F.lit(1).alias("dosis"), F.when(k % 2 == 0, "SAND").otherwise("FALSK").alias("ingen"), (k % 2).alias("odd"))
     for odd in (0, 1):
         df.where(F.col("odd") == odd).drop("odd").write.option("header", True).csv(f"{path}/plan_{2020 + odd}_{2021 + odd}")
-    frames = [sheets.sheets(spark, f"{path}/plan_{y}_{y + 1}", ["firma", "enhed", "dosis", "ingen"]).withColumn("plan_year", plan_year(F.lit(f"plan_{y}_{y + 1}"))) for y in (2020, 2021)]
-    out = sheets.typed(mapping.union_all(frames).drop("source_file"), "enhed", "dosis", "ingen")
+    out = sheets.typed(sheets.sheets(spark, path, ["firma", "enhed", "dosis", "ingen"]), "enhed", "dosis", "ingen")
     return out.select(to_int(F.col("firma")).alias("company"), F.col("enhed").alias("unit"), F.col("ingen").alias("none"), "plan_year")
 
 
@@ -179,20 +177,28 @@ def published_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     import datetime as dt
 
     root, df = folder(spark, "published"), read(spark, sf_dir, "orders")
+    counted = lambda name, found: found.agg(F.count("*").alias("rows")).select(F.lit(name).alias("name"), "rows")
     P.publish(df, root, "a")
-    first = spark.read.parquet(f"{root}/raw/a/current.parquet").count()
+    first = checkpointed(counted("current", spark.read.parquet(f"{root}/raw/a/current.parquet")))
     P.publish(df.where("o_orderstatus = 'F'"), root, "a")
     P.write_csv(df, f"{root}/csv")
     lines = P.write_lines(df, root, "orders", dt.datetime(2024, 1, 2))
-    P.geo_publish(df.select("o_orderkey", F.lit(b"x").alias("geometry")), f"{root}/geo", 4326)
+    square = F.array(F.array(F.array(*(G.point(F.col("o_orderkey") + x, F.lit(y)) for x, y in ((0, 0), (0, 1), (1, 1), (1, 0), (0, 0))))))
+    P.geo_publish(df.select("o_orderkey", wkb.to_wkb(square).alias("geometry")), f"{root}/geo", 4326)
     P.stage(df, root, "s")
     P.promote(spark, root, "s", spark.range(0))
     P.export_records(df, f"{root}/export", dt.datetime(2024, 1, 1))
-    found = {
-        "current": first, "second": spark.read.parquet(f"{root}/raw/a/current.parquet").count(), "csv": spark.read.option("header", True).csv(f"{root}/csv").count(), "lines": spark.read.json(lines).count(),
-        "geo": int(P.geo_srid(spark, f"{root}/geo").split(":")[1]), "refused": int(P.publish(df.limit(0), root, "none")), "table": spark.read.parquet(f"{root}/raw/s/current.parquet").count(), "records": spark.read.json(f"{root}/export/records").count(),
-    }
-    return spark.createDataFrame(list(found.items()), "name string, rows long")
+    P.publish(df.limit(0), root, "none")
+    stated = F.get_json_object("value", "$.columns.geometry.crs")
+    parts = [
+        first, counted("second", spark.read.parquet(f"{root}/raw/a/current.parquet")), counted("csv", spark.read.option("header", True).csv(f"{root}/csv")), counted("lines", spark.read.json(lines)),
+        spark.read.text(f"{root}/geo_geo_metadata").select(F.lit("geo").alias("name"), F.split(stated, ":")[1].cast("long").alias("rows")),
+        counted("refused", spark.read.schema(df.schema).parquet(*(f"{root}/raw/none/{n}" for n in P.listed(spark, f"{root}/raw/none")))) if P.listed(spark, f"{root}/raw/none") else counted("refused", spark.createDataFrame([], df.schema)),
+        counted("table", spark.read.parquet(f"{root}/raw/s/current.parquet")), counted("records", spark.read.json(f"{root}/export/records")),
+    ]
+    out = checkpointed(mapping.union_all(parts))
+    P.remove(spark, root)
+    return out
 
 
 @query(f"SELECT 'current' AS layer, count(*) AS features, count(*) AS readable FROM ({_SHAPES}) WHERE kind NOT IN (4, 5) UNION ALL SELECT 'dissolved_current', count(*), count(*) FROM ({_CELLS} WHERE p_partkey % 2 = 0)")

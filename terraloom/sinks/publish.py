@@ -63,7 +63,7 @@ def write_counted(df: DataFrame, path: str) -> int:
     return seen.get["rows"]
 
 
-def _listed(spark: SparkSession, path: str) -> list[str]:
+def listed(spark: SparkSession, path: str) -> list[str]:
     p, fs = _path(spark, path)
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
@@ -82,7 +82,7 @@ def publish_version(df: DataFrame, root: str, dataset: str, keep: int = 3, at: d
     if not rows:
         remove(spark, f"{base}/versions/{name}")
         return 0
-    pointers = _listed(spark, f"{base}/pointers")
+    pointers = listed(spark, f"{base}/pointers")
     number = int(pointers[-1].split("-")[0]) + 1 if pointers else 1
     p, fs = _path(spark, f"{base}/pointers/{number:012d}-{name}")
     fs.create(p, False).close()
@@ -96,7 +96,7 @@ def publish_version(df: DataFrame, root: str, dataset: str, keep: int = 3, at: d
 
 def read_current(spark: SparkSession, root: str, dataset: str) -> DataFrame:
     """The current version of a dataset. The frame stays with its version, whatever is published later."""
-    pointers = _listed(spark, f"{root}/raw/{dataset}/pointers")
+    pointers = listed(spark, f"{root}/raw/{dataset}/pointers")
     if not pointers:
         raise FileNotFoundError(f"{root}/raw/{dataset}")
     return spark.read.parquet(f"{root}/raw/{dataset}/versions/{pointers[-1].split('-')[1]}")
