@@ -21,20 +21,26 @@ OTHER_BLANKS = re.compile("[\x85\xa0\u1680\u2000-\u200f\u2028-\u202f\u205f\u3000
 
 #: Bytes that a Python worker's tables of distinct words and of runs between blanks may take together; when they are full they
 #: start anew. And what an entry takes besides its characters.
-MEMORY = 64 << 20
+MEMORY = 192 << 20
 ENTRY = 170
 
 
 class Runs(dict):
-    """What stands between two blanks -> its tokens; `before` is the blank that goes with it, or nothing."""
+    """What stands between two blanks -> its tokens; `before` is the blank that goes with it, or nothing. A run that is one word
+    is held here alone, and not among the words too."""
 
     def __init__(self, owner: "MergeCounter", before: str) -> None:
         super().__init__()
         self.owner, self.before = owner, before
 
     def __missing__(self, run: str) -> int:
-        n = self.owner.split_and_count(self.before + run)
-        self.owner.hold(run)
+        owner = self.owner
+        words = owner.words.findall(self.before + run)
+        if len(words) == 1:
+            n = owner.get(words[0]) or owner.merged(words[0].encode("utf-8", "surrogatepass"))
+        else:
+            n = sum(map(owner.__getitem__, words))
+        owner.hold(run)
         self[run] = n
         return n
 
