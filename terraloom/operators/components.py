@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terraloom.session import checkpointed
+from terraloom.session import settled
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -15,11 +15,11 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     end of its chain of parents (their number is the logarithm of the longest chain), and the edges are rewritten to
     these ends, without loops and repeats. A round at least halves the nodes that still have edges; the minimum of a
     component never has a smaller neighbour, so it survives as the component's name. Each round is written to the
-    checkpoint folder.
+    shared folder.
     An edge with a null end is dropped. No edges: no rows.
     """
     e = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u IS NOT NULL AND v IS NOT NULL")
-    e = checkpointed(e.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+    e = settled(e.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
     labels = e.select("u").union(e.select("v")).distinct().select(F.col("u").alias("node"), F.col("u").alias("component"))
     e = e.where("u <> v")
     while not e.isEmpty():
@@ -27,7 +27,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
         parent = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("p"))
         while True:
             up = parent.select(F.col("k").alias("p"), F.col("p").alias("q"))
-            jumped = checkpointed(parent.join(up, "p").select("k", "p", "q"))
+            jumped = settled(parent.join(up, "p").select("k", "p", "q"))
             parent = jumped.select("k", F.col("q").alias("p"))
             if jumped.where("p <> q").isEmpty():
                 break
@@ -35,7 +35,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
             labels.join(parent.withColumnRenamed("k", "component"), "component", "left")
             .select("node", F.coalesce("p", "component").alias("component"))
         )
-        labels = checkpointed(labels)
+        labels = settled(labels)
         e = (
             e.join(parent.select(F.col("k").alias("u"), F.col("p").alias("a")), "u")
             .join(parent.select(F.col("k").alias("v"), F.col("p").alias("b")), "v")
@@ -43,5 +43,5 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
             .select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
             .distinct()
         )
-        e = checkpointed(e)
+        e = settled(e)
     return labels

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from terraloom.functions import geometry as G
 from terraloom.operators.components import connected_components
-from terraloom.session import checkpointed
+from terraloom.session import checkpointed, settled
 
 
 def tiles_of(box: Column, size: float) -> Column:
@@ -90,12 +90,12 @@ def _followed(edges: DataFrame, by: list[str]) -> DataFrame:
 def _ranked_rings(followed: DataFrame) -> DataFrame:
     """(id, ring, steps): of each edge the smallest edge of its ring and how many steps lead on to it. Pointers are doubled: a round
     joins the edges with what they point at, so a ring of n edges takes log2(n) rounds, and no task walks a ring."""
-    state = checkpointed(followed.select("id", "next", F.col("id").alias("ring"), F.lit(0).cast("long").alias("steps")))
+    state = settled(followed.select("id", "next", F.col("id").alias("ring"), F.lit(0).cast("long").alias("steps")))
     hop = 1
     while True:
         ahead = state.select(F.col("id").alias("next"), F.col("next").alias("after"), F.col("ring").alias("r"), F.col("steps").alias("s"))
         less = F.col("r") < F.col("ring")
-        state = checkpointed(
+        state = settled(
             state.join(ahead, "next").select(
                 "id", F.col("after").alias("next"), F.least("r", "ring").alias("ring"), F.when(less, F.col("s") + hop).otherwise(F.col("steps")).alias("steps"), less.alias("changed")
             )
@@ -112,10 +112,10 @@ def _owners(edges: DataFrame, rings: DataFrame, by: list[str]) -> DataFrame:
     left = F.lag("ring").over(Window.partitionBy(*by, "row").orderBy("at"))
     seen = edges.where("fy <> ty").withColumns({"row": row, "at": at}).withColumn("left", left)
     first = seen.groupBy("ring").agg(F.min_by("left", F.struct("at", "row")).alias("left"))
-    up = checkpointed(rings.join(first, "ring").select("ring", F.when(F.col("hole"), F.col("left")).otherwise(F.col("ring")).alias("shell")))
+    up = settled(rings.join(first, "ring").select("ring", F.when(F.col("hole"), F.col("left")).otherwise(F.col("ring")).alias("shell")))
     while True:
         above = up.select(F.col("ring").alias("shell"), F.col("shell").alias("above"))
-        jumped = checkpointed(up.join(above, "shell").select("ring", F.col("above").alias("shell"), (F.col("above") != F.col("shell")).alias("moved")))
+        jumped = settled(up.join(above, "shell").select("ring", F.col("above").alias("shell"), (F.col("above") != F.col("shell")).alias("moved")))
         up = jumped.drop("moved")
         if jumped.where("moved").isEmpty():
             return up
@@ -129,14 +129,14 @@ def stitch(edges: DataFrame, by: list[str], grid: float = 10.0) -> DataFrame:
     together, as they are one value of the result. No edges: no rows."""
     ends = lambda a, b: F.when(F.col("way") > 0, F.col(a)).otherwise(F.col(b)).cast("long")
     given = edges.select(*by, ends("x1", "x2").alias("fx"), ends("y1", "y2").alias("fy"), ends("x2", "x1").alias("tx"), ends("y2", "y1").alias("ty"))
-    numbered = checkpointed(given.withColumn("id", F.monotonically_increasing_id()))
-    followed = checkpointed(_followed(numbered, by))
-    placed = checkpointed(numbered.join(followed.select("id", "turns"), "id").join(_ranked_rings(followed), "id"))
+    numbered = settled(given.withColumn("id", F.monotonically_increasing_id()))
+    followed = settled(_followed(numbered, by))
+    placed = settled(numbered.join(followed.select("id", "turns"), "id").join(_ranked_rings(followed), "id"))
     # From the ring's first edge on, which has no step to go; twice the area is negative where the inside is that of a shell.
     corner = F.struct(F.when(F.col("steps") == 0, F.lit(None)).otherwise(-F.col("steps")).alias("k"), (F.col("tx") * F.lit(float(grid))).alias("x"), (F.col("ty") * F.lit(float(grid))).alias("y"))
     points = F.transform(F.sort_array(F.collect_list(F.when(F.col("turns"), corner))), lambda p: F.struct(p["x"], p["y"]))
     rings = placed.groupBy(*by, "ring").agg(F.sum(F.expr("fx * ty - tx * fy")).alias("twice"), points.alias("p"))
-    rings = checkpointed(rings.select(*by, "ring", (F.col("twice") > 0).alias("hole"), F.concat("p", F.slice("p", 1, 1)).alias("p")))
+    rings = settled(rings.select(*by, "ring", (F.col("twice") > 0).alias("hole"), F.concat("p", F.slice("p", 1, 1)).alias("p")))
     owned = rings.join(_owners(placed, rings.select("ring", "hole"), by), "ring")
     each = owned.groupBy(*by, "shell").agg(F.sort_array(F.collect_list(F.struct("hole", "ring", "p"))).alias("r")).withColumn("r", F.transform("r", lambda x: x["p"]))
     return each.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("shell", "r"))).alias("g")).select(*by, F.transform("g", lambda x: x["r"]).cast(G.GEOMETRY).alias("geometry"))

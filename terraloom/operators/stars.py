@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from terraloom.operators.dedupe import numbered
 from terraloom.operators.groups import each_group
-from terraloom.session import checkpointed
+from terraloom.session import checkpointed, settled
 
 #: Features of a range of ids at most, about.
 RANGE_ROWS = 100_000
@@ -57,7 +57,7 @@ def greedy_stars(features: DataFrame, links: DataFrame, id_col: str = "id", numb
         far = pairs.where("NOT near").join(found, "small").select("id", "range", "small", "said")
         rows = nodes.select("id", "range", F.lit(None).cast("long").alias("small"), F.lit(None).cast("int").alias("said"))
         rows = rows.unionByName(pairs.where("near").select("id", "range", "small", F.lit(None).cast("int").alias("said"))).unionByName(far)
-        state = checkpointed(each_group(rows, ["range"], decide, "id long, range int, state int"))
+        state = settled(each_group(rows, ["range"], decide, "id long, range int, state int"))
         if state.where("state IS NULL").isEmpty():
             break
     centres = state.where("state = 1").select(F.col("id").alias("small"))
