@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from terraloom.functions.geometry import let
+
 #: Ellipsoid, scale, central meridian, false easting.
 SEMI_MAJOR, FLATTENING, SCALE, MERIDIAN, EASTING = 6378137.0, 1 / 298.257222101, 0.9996, 9.0, 500000.0
 _N = FLATTENING / (2 - FLATTENING)
@@ -28,25 +30,42 @@ def _series(value: Column, terms) -> Column:
 
 
 def to_wgs84(x: Column, y: Column) -> Column:
-    """struct<x, y>: longitude and latitude in degrees of easting and northing."""
-    xi, eta = y / RADIUS, (x - EASTING) / RADIUS
-    xi1 = _series(xi, (-b * F.sin(2 * j * xi) * F.cosh(2 * j * eta) for j, b in enumerate(BETA, 1)))
-    eta1 = _series(eta, (-b * F.cos(2 * j * xi) * F.sinh(2 * j * eta) for j, b in enumerate(BETA, 1)))
-    chi = F.asin(F.sin(xi1) / F.cosh(eta1))
-    lat = _series(chi, (d * F.sin(2 * j * chi) for j, d in enumerate(DELTA, 1)))
-    lon = F.atan2(F.sinh(eta1), F.cos(xi1))
-    return F.struct((F.degrees(lon) + MERIDIAN).alias("x"), F.degrees(lat).alias("y"))
+    """struct<x, y>: longitude and latitude in degrees of easting and northing. What a step needs more than once is computed
+    once: in functions of arrays Spark would compute it as often as it is named."""
+
+    def moved(p: Column) -> Column:
+        xi, eta = p["xi"], p["eta"]
+        xi1 = _series(xi, (-b * F.sin(2 * j * xi) * F.cosh(2 * j * eta) for j, b in enumerate(BETA, 1)))
+        eta1 = _series(eta, (-b * F.cos(2 * j * xi) * F.sinh(2 * j * eta) for j, b in enumerate(BETA, 1)))
+        return let(F.struct(xi1.alias("xi1"), eta1.alias("eta1")), angles)
+
+    def angles(p: Column) -> Column:
+        lon = F.degrees(F.atan2(F.sinh(p["eta1"]), F.cos(p["xi1"]))) + MERIDIAN
+        lat = lambda chi: F.degrees(_series(chi, (d * F.sin(2 * j * chi) for j, d in enumerate(DELTA, 1))))
+        return F.struct(lon.alias("x"), let(F.asin(F.sin(p["xi1"]) / F.cosh(p["eta1"])), lat).alias("y"))
+
+    return let(F.struct((y / RADIUS).alias("xi"), ((x - EASTING) / RADIUS).alias("eta")), moved)
 
 
 def to_utm32(lon: Column, lat: Column) -> Column:
     """struct<x, y>: easting and northing of degrees."""
-    phi, lam = F.radians(lat), F.radians(lon - MERIDIAN)
     c = 2 * math.sqrt(_N) / (1 + _N)
-    t = F.sinh(F.atanh(F.sin(phi)) - c * F.atanh(c * F.sin(phi)))
-    xi, eta = F.atan2(t, F.cos(lam)), F.atanh(F.sin(lam) / F.sqrt(1 + t * t))
-    x = _series(eta, (a * F.cos(2 * j * xi) * F.sinh(2 * j * eta) for j, a in enumerate(ALPHA, 1)))
-    y = _series(xi, (a * F.sin(2 * j * xi) * F.cosh(2 * j * eta) for j, a in enumerate(ALPHA, 1)))
-    return F.struct((x * RADIUS + EASTING).alias("x"), (y * RADIUS).alias("y"))
+
+    def turned(p: Column) -> Column:
+        t = F.sinh(F.atanh(p["s"]) - c * F.atanh(c * p["s"]))
+        return let(F.struct(t.alias("t"), p["lam"].alias("lam")), flat)
+
+    def flat(p: Column) -> Column:
+        t, lam = p["t"], p["lam"]
+        return let(F.struct(F.atan2(t, F.cos(lam)).alias("xi"), F.atanh(F.sin(lam) / F.sqrt(1 + t * t)).alias("eta")), moved)
+
+    def moved(p: Column) -> Column:
+        xi, eta = p["xi"], p["eta"]
+        x = _series(eta, (a * F.cos(2 * j * xi) * F.sinh(2 * j * eta) for j, a in enumerate(ALPHA, 1)))
+        y = _series(xi, (a * F.sin(2 * j * xi) * F.cosh(2 * j * eta) for j, a in enumerate(ALPHA, 1)))
+        return F.struct((x * RADIUS + EASTING).alias("x"), (y * RADIUS).alias("y"))
+
+    return let(F.struct(F.sin(F.radians(lat)).alias("s"), F.radians(lon - MERIDIAN).alias("lam")), turned)
 
 
 def transformed(geometry: Column, to) -> Column:
@@ -58,9 +77,11 @@ def transformed(geometry: Column, to) -> Column:
 UTM_BOUNDS, WGS_BOUNDS = (400000, 900000, 6000000, 6500000), (8, 13, 54, 58)
 
 
-def checked_point(x: Column, y: Column) -> Column:
+#: The same for the whole zone: eastings and northings of the northern half, and its degrees with some of its neighbours.
+ZONE = ((100000, 900000, 0, 9400000), (0, 18, 0, 84))
+
+
+def checked_point(x: Column, y: Column, utm: tuple = UTM_BOUNDS, wgs: tuple = WGS_BOUNDS) -> Column:
     """struct<x, y> in degrees of a register's coordinates; null if they lie outside the bounds before or after."""
-    p = to_wgs84(x, y)
-    before = x.between(*UTM_BOUNDS[:2]) & y.between(*UTM_BOUNDS[2:])
-    after = p["x"].between(*WGS_BOUNDS[:2]) & p["y"].between(*WGS_BOUNDS[2:])
-    return F.when(before & after, p)
+    before = x.between(*utm[:2]) & y.between(*utm[2:])
+    return F.when(before, let(to_wgs84(x, y), lambda p: F.when(p["x"].between(*wgs[:2]) & p["y"].between(*wgs[2:]), p)))
