@@ -13,7 +13,7 @@ from terraloom.functions import geometry as G
 from terraloom.functions.shapes import Shape, shapes_of
 from terraloom.operators import repair
 from terraloom.operators.spatial import tile_size
-from terraloom.session import checkpointed, unused
+from terraloom.session import checkpointed, spread, unused
 
 #: Sizes of cells: the smallest, and this many doublings.
 LEVELS = 16
@@ -26,8 +26,8 @@ def _key(level: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (np.int64(level) << 2 * BITS + 4) | ((x & ((1 << BITS) - 1)) << BITS) | (y & ((1 << BITS) - 1))
 
 
-def _walked(s: np.ndarray, size: float) -> np.ndarray:
-    """(column, row) of the cells that segments go through, with a little more at their corners; each once."""
+def _along(s: np.ndarray, size: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(segment, column, row) of the cells that segments go through, with a little more at their corners."""
     low, high = np.minimum(s[:, 1], s[:, 3]), np.maximum(s[:, 1], s[:, 3])
     first, last = np.floor(low / size - 1e-9).astype(np.int64), np.floor(high / size + 1e-9).astype(np.int64)
     k, place = repair._spread(last - first + 1)
@@ -38,7 +38,12 @@ def _walked(s: np.ndarray, size: float) -> np.ndarray:
     left, right = np.where(level, np.minimum(s[k, 0], s[k, 2]), np.minimum(*ends)), np.where(level, np.maximum(s[k, 0], s[k, 2]), np.maximum(*ends))
     begin, end = np.floor(left / size - 1e-9).astype(np.int64), np.floor(right / size + 1e-9).astype(np.int64)
     r, place = repair._spread(end - begin + 1)
-    return np.unique(np.stack([begin[r] + place, row[r]], 1), axis=0)
+    return k[r], begin[r] + place, row[r]
+
+
+def _walked(s: np.ndarray, size: float) -> np.ndarray:
+    """(column, row) of the cells that segments go through; each once."""
+    return np.unique(np.stack(_along(s, size)[1:], 1), axis=0)
 
 
 def _inside(s: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -98,6 +103,31 @@ def cover(shape: Shape, size: float, levels: int = LEVELS) -> tuple[np.ndarray,
     return own, np.unique(np.concatenate(ups))
 
 
+def _small_covers(segments: list[np.ndarray], size: float, levels: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """`cover` of shapes that are no larger than a smallest cell, all at once: their edges go through all cells they have."""
+    owner = np.repeat(np.arange(len(segments)), [len(s) for s in segments])
+    k, x, y = _along(np.concatenate(segments), size)
+
+    def dealt(owners: list, keys: list) -> list[np.ndarray]:
+        both = np.unique(np.stack([np.concatenate(owners), np.concatenate(keys)], 1), axis=0) if owners else np.zeros((0, 2), np.int64)
+        return np.split(both[:, 1], np.searchsorted(both[:, 0], np.arange(1, len(segments))))
+
+    own = dealt([owner[k]], [_key(0, x, y)])
+    ups = dealt([owner[k]] * levels, [_key(n, x >> n, y >> n) for n in range(1, levels + 1)])
+    return list(zip(own, ups, strict=True))
+
+
+def all_covers(shapes: list[Shape], size: float, levels: int = LEVELS) -> list[tuple[np.ndarray, np.ndarray]]:
+    """`cover` of each shape; those no larger than a smallest cell are done together."""
+    segments = [repair._segments(g) for g in shapes]
+    extent = [float(np.ptp(s.reshape(-1, 2), axis=0).max()) if len(s) else np.inf for s in segments]
+    small = [i for i, e in enumerate(extent) if e <= size]
+    out = [None if e <= size else cover(g, size, levels) for e, g in zip(extent, shapes, strict=True)]
+    for i, c in zip(small, _small_covers([segments[i] for i in small], size, levels) if small else [], strict=True):
+        out[i] = c
+    return out
+
+
 def covered(df: DataFrame, size: float, levels: int = LEVELS, geometry: str = "geometry") -> DataFrame:
     """`df` with `cells` and `ancestors` (arrays of keys) of each geometry's cover; null and empty ones have none. Places must be
     within 2^23 smallest cells of the origin."""
@@ -105,7 +135,7 @@ def covered(df: DataFrame, size: float, levels: int = LEVELS, geometry: str = "g
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [cover(g or [], size, levels) for g in shapes_of(batch.column(geometry))]
+            found = all_covers([g or [] for g in shapes_of(batch.column(geometry))], size, levels)
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array([f[i] for f in found], pa.list_(pa.int64())) for i in range(2))], names=[*names, "cells", "ancestors"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
@@ -115,10 +145,18 @@ def covered(df: DataFrame, size: float, levels: int = LEVELS, geometry: str = "g
 def candidate_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str, size: float, levels: int = LEVELS) -> DataFrame:
     """(left id, right id) of features whose covers meet, each pair once: a cell of one is a cell of the other, or lies in one.
     Equal cells are found as equal keys, and contained ones as keys of the ancestors, so both are equi-joins."""
-    a, b = (checkpointed(covered(df.select(i, "geometry"), size, levels).drop("geometry")) for df, i in ((left, left_id), (right, right_id)))
+    a, b = (checkpointed(covered(spread(df.select(i, "geometry"), i), size, levels).drop("geometry")) for df, i in ((left, left_id), (right, right_id)))
     rows = lambda df, i, c: df.select(i, F.explode(c).alias("cell"))
-    same = rows(a, left_id, F.col("cells")).join(rows(b, right_id, F.concat("cells", "ancestors")), "cell").select(left_id, right_id)
-    larger = rows(a, left_id, F.col("ancestors")).join(rows(b, right_id, F.col("cells")), "cell").select(left_id, right_id)
+    level = lambda c: F.shiftright(c, 2 * BITS + 4)
+    # Ancestors of a level of which the other layer has no cell meet nothing.
+    levels_of = lambda df: [r[0] for r in df.select(F.explode(F.array_distinct(F.transform("cells", level))).alias("level")).distinct().collect()]
+
+    def met(df: DataFrame):
+        known = levels_of(df)
+        return F.filter("ancestors", lambda c: level(c).isin(known))
+
+    same = rows(a, left_id, F.col("cells")).join(rows(b, right_id, F.concat("cells", met(a))), "cell").select(left_id, right_id)
+    larger = rows(a, left_id, met(b)).join(rows(b, right_id, F.col("cells")), "cell").select(left_id, right_id)
     return same.unionByName(larger).distinct()
 
 
@@ -129,6 +167,7 @@ def cover_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str, s
     size = size or tile_size(right)
     pairs = candidate_pairs(left, right, left_id, right_id, size, levels)
     a, b = unused(left, "a"), unused(right, "b")
+    # A feature that meets many comes with all of its pairs in one task of a join; the overlay of pairs is dealt out again.
     both = pairs.join(left.select(left_id, F.col("geometry").alias(a)), left_id).join(right.select(right_id, F.col("geometry").alias(b)), right_id)
-    measured = both.select(left_id, right_id, repair.intersection(F.col(a), F.col(b)).alias("both"))
+    measured = spread(both, left_id, right_id).select(left_id, right_id, repair.intersection(F.col(a), F.col(b)).alias("both"))
     return measured.select(left_id, right_id, G.area(F.col("both")).alias("common")).where("common > 0")
