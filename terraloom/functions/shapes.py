@@ -62,6 +62,30 @@ def by_row(work: Callable[..., Shape | None], *geometries: Column) -> Column:
     return F.arrow_udf(_typed(run, len(geometries)), G.GEOMETRY).asNondeterministic()(*geometries)
 
 
+def by_batch(work: Callable[..., list[Shape | None]], *geometries: Column) -> Column:
+    """As `by_row`, with `work` of the geometries of many rows at once: a list an argument, without rows that have a null."""
+
+    def run(*columns: pa.Array) -> pa.Array:
+        rows = list(zip(*map(shapes_of, columns), strict=True))
+        whole = [i for i, row in enumerate(rows) if all(s is not None for s in row)]
+        out: list[Shape | None] = [None] * len(rows)
+        if whole:
+            for i, s in zip(whole, work(*(list(c) for c in zip(*(rows[i] for i in whole), strict=True))), strict=True):
+                out[i] = s
+        return column_of(out)
+
+    return F.arrow_udf(_typed(run, len(geometries)), G.GEOMETRY).asNondeterministic()(*geometries)
+
+
+def holds_by_batch(work: Callable[[list[Shape]], list[bool]], geometry: Column) -> Column:
+    def run(column: pa.Array) -> pa.Array:
+        shapes = shapes_of(column)
+        held = iter(work([s for s in shapes if s is not None]))
+        return pa.array([None if s is None else bool(next(held)) for s in shapes], pa.bool_())
+
+    return F.arrow_udf(run, "boolean").asNondeterministic()(geometry)
+
+
 def holds_by_row(work: Callable[[Shape], bool], geometry: Column) -> Column:
     def run(column: pa.Array) -> pa.Array:
         return pa.array([None if s is None else bool(work(s)) for s in shapes_of(column)], pa.bool_())

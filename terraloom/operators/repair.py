@@ -6,6 +6,7 @@ The Python steps are marked as not deterministic, so that the optimizer leaves e
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import hypot
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from terraloom.functions import crs
 from terraloom.functions import geometry as G
-from terraloom.functions.shapes import by_row, column_of, holds_by_row, shapes_of
+from terraloom.functions.shapes import by_batch, column_of, holds_by_batch, shapes_of
 from terraloom.functions.wkb import decode_one
 from terraloom.operators.components import connected_components
 from terraloom.operators.groups import each_group
@@ -24,6 +25,8 @@ from terraloom.session import checkpointed, unused
 SNAP = 1e-3
 #: Pairs of edges that are tried together, and edges in slabs that are ordered together.
 PAIRS, SLABS = 1 << 19, 1 << 20
+#: Geometries of at most so many edges are worked on together, and so many edges of them at once.
+FEW, TOGETHER = 48, 1 << 14
 
 
 def _segments(geometry) -> np.ndarray:
@@ -98,6 +101,49 @@ def crosses_itself(geometry) -> bool:
     return False
 
 
+def _batches(sizes: list[int]) -> Iterator[list[int]]:
+    """Places of the sizes up to FEW, in stretches of about TOGETHER in sum."""
+    now, total = [], 0
+    for i, n in enumerate(sizes):
+        if n <= FEW:
+            now.append(i)
+            total += n
+            if total >= TOGETHER:
+                yield now
+                now, total = [], 0
+    if now:
+        yield now
+
+
+def _within(scene: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of rows that have one scene; rows are in the order of their scenes."""
+    i, place = _spread(np.searchsorted(scene, scene, "right") - np.arange(len(scene)) - 1)
+    return i, i + 1 + place
+
+
+def all_crossing(geometries: list) -> list[bool]:
+    """`crosses_itself` of each geometry; those of few edges are tried together."""
+    segments = [_segments(g) for g in geometries]
+    sizes = [len(s) for s in segments]
+    out = [n > FEW and crosses_itself(g) for n, g in zip(sizes, geometries, strict=True)]
+    side = lambda p, q, r: (q[:, 0] - p[:, 0]) * (r[:, 1] - p[:, 1]) - (q[:, 1] - p[:, 1]) * (r[:, 0] - p[:, 0])
+    for places in _batches(sizes):
+        places = [p for p in places if sizes[p] > 1]
+        if not places:
+            continue
+        s = np.concatenate([segments[p] - np.tile(segments[p][0, :2], 2) for p in places])
+        scene = np.repeat(np.arange(len(places)), [sizes[p] for p in places])
+        i, j = _within(scene)
+        a, b, c, d = s[i, :2], s[i, 2:], s[j, :2], s[j, 2:]
+        s1, s2, s3, s4 = side(a, b, c), side(a, b, d), side(c, d, a), side(c, d, b)
+        axis = b - a
+        u, v = ((c - a) * axis).sum(1), ((d - a) * axis).sum(1)
+        along = (s1 == 0) & (s2 == 0) & (np.minimum(np.maximum(u, v), (axis * axis).sum(1)) > np.maximum(np.minimum(u, v), 0))
+        for k in np.unique(scene[i[((s1 * s2 < 0) & (s3 * s4 < 0)) | along]]):
+            out[places[k]] = True
+    return out
+
+
 def overlay(layers: list, keep, snap_to: float = SNAP) -> list:
     """Polygons of the plane's part where `keep(inside)` holds, inside being each layer's even-odd coverage at a
     point. `keep` is asked once for each combination of layers."""
@@ -106,19 +152,21 @@ def overlay(layers: list, keep, snap_to: float = SNAP) -> list:
 
 def _crossings(s: np.ndarray) -> np.ndarray:
     """The heights at which segments cross."""
-    found = [np.zeros(0)]
-    for i, j in near_pairs(s):
-        p, q = s[i], s[j]
-        near = (q[:, 1] < p[:, 3]) & (q[:, 3] > p[:, 1])
-        p, q = p[near], q[near]
-        d1, d2, w = p[:, 2:] - p[:, :2], q[:, 2:] - q[:, :2], q[:, :2] - p[:, :2]
-        den = d1[:, 0] * d2[:, 1] - d1[:, 1] * d2[:, 0]
-        ok = den != 0
-        d1, d2, w, den, y = d1[ok], d2[ok], w[ok], den[ok], p[ok, 1]
-        u, v = (w[:, 0] * d2[:, 1] - w[:, 1] * d2[:, 0]) / den, (w[:, 0] * d1[:, 1] - w[:, 1] * d1[:, 0]) / den
-        hit = (u >= 0) & (u <= 1) & (v >= 0) & (v <= 1)
-        found.append(np.unique(y[hit] + u[hit] * d1[hit, 1]))
-    return np.concatenate(found)
+    return np.concatenate([np.zeros(0), *(np.unique(_met(s, i, j)[1]) for i, j in near_pairs(s))])
+
+
+def _met(s: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of pairs of segments those that cross: (the first one, the height)."""
+    near = (s[j, 1] < s[i, 3]) & (s[j, 3] > s[i, 1])
+    i, j = i[near], j[near]
+    p, q = s[i], s[j]
+    d1, d2, w = p[:, 2:] - p[:, :2], q[:, 2:] - q[:, :2], q[:, :2] - p[:, :2]
+    den = d1[:, 0] * d2[:, 1] - d1[:, 1] * d2[:, 0]
+    ok = den != 0
+    i, d1, d2, w, den, y = i[ok], d1[ok], d2[ok], w[ok], den[ok], p[ok, 1]
+    u, v = (w[:, 0] * d2[:, 1] - w[:, 1] * d2[:, 0]) / den, (w[:, 0] * d1[:, 1] - w[:, 1] * d1[:, 0]) / den
+    hit = (u >= 0) & (u <= 1) & (v >= 0) & (v <= 1)
+    return i[hit], y[hit] + u[hit] * d1[hit, 1]
 
 
 def overlay_groups(groups: list[list], keep, snap_to: float = SNAP) -> list:
@@ -147,45 +195,98 @@ def overlay_groups(groups: list[list], keep, snap_to: float = SNAP) -> list:
     ys = ys[np.concatenate([[True], np.diff(ys) > snap_to / 1000])]
     first = np.searchsorted(ys[:-1], s[:, 1] - snap_to / 2000, "left")
     spans = (np.searchsorted(ys[1:], s[:, 3] + snap_to / 2000, "right") - first).clip(0)
-    slope = (s[:, 2] - s[:, 0]) / (s[:, 3] - s[:, 1])
     in_slab = np.cumsum(np.bincount(first, minlength=len(ys)) - np.bincount(first + spans, minlength=len(ys))[: len(ys)])
     cuts = np.unique(np.concatenate([[0], np.searchsorted(np.cumsum(in_slab), np.arange(SLABS, in_slab.sum() + SLABS, SLABS), "left") + 1, [len(ys) - 1]])).clip(0, len(ys) - 1)
     wanted = np.array([bool(keep([bool(c >> g & 1) for g in range(len(groups))])) for c in range(1 << len(groups))])
     pieces: list[tuple] = []  # (lower line, left and right below, left and right above)
     for a, b in zip(cuts, cuts[1:], strict=False):
-        here = np.flatnonzero((first < b) & (first + spans > a))
-        low_k, n = np.maximum(first[here], a), np.minimum(first[here] + spans[here], b) - np.maximum(first[here], a)
-        e = np.repeat(here, n)
-        k = np.repeat(low_k, n) + np.arange(len(e)) - np.repeat(np.cumsum(n) - n, n)
-        low, high = s[e, 0] + (ys[k] - s[e, 1]) * slope[e], s[e, 0] + (ys[k + 1] - s[e, 1]) * slope[e]
-        mid = (low + high) / 2
-        # In a slab the edges of a geometry enter and leave it by turns.
-        turn = np.lexsort((mid, owner[e], k))
-        fresh = np.concatenate([[True], (k[turn][1:] != k[turn][:-1]) | (owner[e][turn][1:] != owner[e][turn][:-1])])
-        place = np.arange(len(e)) - np.maximum.accumulate(np.where(fresh, np.arange(len(e)), 0))
-        step = np.empty(len(e), np.int64)
-        step[turn] = 1 - 2 * (place % 2)
-        order = np.lexsort((mid, k))
-        e, k, low, high, mid, step = (x[order] for x in (e, k, low, high, mid, step))
-        begin = np.concatenate([[True], k[1:] != k[:-1]])
-        last = np.concatenate([begin[1:], [True]])
-        combination = np.zeros(len(e), np.int64)
-        for g in range(len(groups)):
-            total = np.cumsum(np.where(group_of[owner[e]] == g, step, 0))
-            start = np.maximum.accumulate(np.where(begin, np.arange(len(e)), 0))
-            combination |= (total - np.where(start > 0, total[start - 1], 0) > 0).astype(np.int64) << g
-        kept = wanted[combination] & ~last
-        before = np.concatenate([[False], kept[:-1]]) & ~begin
-        left, right = np.flatnonzero(kept & ~before), np.flatnonzero(~kept & before)
-        wide = mid[right] - mid[left] > snap_to / 1000
-        left, right = left[wide], right[wide]
-        pieces += zip(*(x.tolist() for x in (k[left], low[left], low[right], high[left], high[right])), strict=True)
+        pieces += _pieces(s, owner, group_of, len(groups), ys, first, spans, a, b, wanted, snap_to)
     return _joined(pieces, ys, o, snap_to)
 
 
+def _pieces(s, owner, group_of, groups: int, ys, first, spans, a: int, b: int, wanted, snap_to: float) -> Iterator[tuple]:
+    """The trapezoids of slabs a to b that are kept: (lower line, left and right below, left and right above)."""
+    slope = (s[:, 2] - s[:, 0]) / (s[:, 3] - s[:, 1])
+    here = np.flatnonzero((first < b) & (first + spans > a))
+    low_k, n = np.maximum(first[here], a), np.minimum(first[here] + spans[here], b) - np.maximum(first[here], a)
+    e = np.repeat(here, n)
+    k = np.repeat(low_k, n) + np.arange(len(e)) - np.repeat(np.cumsum(n) - n, n)
+    low, high = s[e, 0] + (ys[k] - s[e, 1]) * slope[e], s[e, 0] + (ys[k + 1] - s[e, 1]) * slope[e]
+    mid = (low + high) / 2
+    # In a slab the edges of a geometry enter and leave it by turns.
+    turn = np.lexsort((mid, owner[e], k))
+    fresh = np.concatenate([[True], (k[turn][1:] != k[turn][:-1]) | (owner[e][turn][1:] != owner[e][turn][:-1])])
+    place = np.arange(len(e)) - np.maximum.accumulate(np.where(fresh, np.arange(len(e)), 0))
+    step = np.empty(len(e), np.int64)
+    step[turn] = 1 - 2 * (place % 2)
+    order = np.lexsort((mid, k))
+    e, k, low, high, mid, step = (x[order] for x in (e, k, low, high, mid, step))
+    begin = np.concatenate([[True], k[1:] != k[:-1]])
+    last = np.concatenate([begin[1:], [True]])
+    combination = np.zeros(len(e), np.int64)
+    for g in range(groups):
+        total = np.cumsum(np.where(group_of[owner[e]] == g, step, 0))
+        start = np.maximum.accumulate(np.where(begin, np.arange(len(e)), 0))
+        combination |= (total - np.where(start > 0, total[start - 1], 0) > 0).astype(np.int64) << g
+    kept = wanted[combination] & ~last
+    before = np.concatenate([[False], kept[:-1]]) & ~begin
+    left, right = np.flatnonzero(kept & ~before), np.flatnonzero(~kept & before)
+    wide = mid[right] - mid[left] > snap_to / 1000
+    left, right = left[wide], right[wide]
+    return zip(*(x.tolist() for x in (k[left], low[left], low[right], high[left], high[right])), strict=True)
+
+
+def overlay_each(scenes: list[list], keep, snap_to: float = SNAP) -> list[list]:
+    """`overlay` of the layers of each of many scenes, all of which have as many layers. Scenes of few edges are cut into slabs
+    together: lines and slabs of all of them are numbered through, so nothing of one meets another."""
+    if not scenes:
+        return []
+    segments = [[_segments(g) for g in layers] for layers in scenes]
+    sizes = [sum(map(len, parts)) for parts in segments]
+    out = [overlay(layers, keep, snap_to) if n > FEW else [] for n, layers in zip(sizes, scenes, strict=True)]
+    groups = len(scenes[0])
+    wanted = np.array([bool(keep([bool(c >> g & 1) for g in range(groups)])) for c in range(1 << groups)])
+    for places in _batches(sizes):
+        places = [p for p in places if sizes[p]]
+        if not places:
+            continue
+        origins = np.array([next(x[0, :2] for x in segments[p] if len(x)) for p in places])
+        s = np.concatenate([x for p in places for x in segments[p]])
+        counts = np.array([[len(x) for x in segments[p]] for p in places])
+        owner = np.repeat(np.arange(counts.size), counts.ravel())
+        scene = owner // groups
+        s = np.round((s - np.tile(origins, 2)[scene]) / snap_to) * snap_to
+        up = s[:, 1] != s[:, 3]
+        s, owner, scene = s[up], owner[up], scene[up]
+        if not len(s):
+            continue
+        s = np.where((s[:, 1] < s[:, 3])[:, None], s, s[:, [2, 3, 0, 1]])
+        which, heights = _met(s, *_within(scene))
+        line, ys = np.concatenate([scene, scene, scene[which]]), np.concatenate([s[:, 1], s[:, 3], heights])
+        order = np.lexsort((ys, line))
+        line, ys = line[order], ys[order]
+        fresh = np.concatenate([[True], (np.diff(line) > 0) | (np.diff(ys) > snap_to / 1000)])
+        line, ys = line[fresh], ys[fresh]
+        begin, end = np.searchsorted(line, scene, "left"), np.searchsorted(line, scene, "right")
+        # Each edge looks for its ends among its scene's lines, which are few.
+        k, place = _spread(end - begin)
+        at = ys[begin[k] + place]
+        first = begin + np.bincount(k, at < s[k, 1] - snap_to / 2000, len(s)).astype(np.int64)
+        spans = (begin + np.bincount(k, at <= s[k, 3] + snap_to / 2000, len(s)).astype(np.int64) - 1 - first).clip(0)
+        found: dict[int, list] = {}
+        for piece in _pieces(s, owner, np.arange(counts.size) % groups, groups, ys, first, spans, 0, len(ys) - 1, wanted, snap_to):
+            found.setdefault(int(line[piece[0]]), []).append(piece)
+        for n, pieces in found.items():
+            out[places[n]] = _joined(pieces, ys, origins[n], snap_to)
+    return out
+
+
 def _joined(pieces: list[tuple], ys: np.ndarray, origin: np.ndarray, snap_to: float) -> list:
     """Polygons of trapezoids between lines: sides stay, and on each line what only one neighbour covers. Edges have the
     covered ground to their right, so shells run clockwise; where several go on, the sharpest right turn is taken."""
+    if len(pieces) == 1 and min(pieces[0][2] - pieces[0][1], pieces[0][4] - pieces[0][3]) > snap_to:
+        k, l0, r0, l1, r1 = pieces[0]
+        return [[np.array([(l0, ys[k]), (l1, ys[k + 1]), (r1, ys[k + 1]), (r0, ys[k]), (l0, ys[k])]) + origin]]
     lines: dict[int, list[float]] = {}
     for k, l0, r0, l1, r1 in pieces:
         lines.setdefault(k, []).extend((l0, r0))
@@ -261,7 +362,7 @@ def _joined(pieces: list[tuple], ys: np.ndarray, origin: np.ndarray, snap_to: fl
 
 def is_simple(geometry: Column) -> Column:
     """False for a geometry whose edges cross or overlap; cheap checks of its rings come first. Null for null."""
-    return F.when(G.ring_problems(geometry), F.lit(False)).otherwise(holds_by_row(lambda g: not crosses_itself(g), geometry))
+    return F.when(G.ring_problems(geometry), F.lit(False)).otherwise(holds_by_batch(lambda gs: [not c for c in all_crossing(gs)], geometry))
 
 
 def tidied(polygon) -> list:
@@ -269,7 +370,9 @@ def tidied(polygon) -> list:
     out = []
     for ring in polygon:
         r = np.asarray(ring, float)
-        r = r[np.concatenate([[True], (r[1:] != r[:-1]).any(1)])] if len(r) else r
+        if len(r):
+            same = (r[1:] == r[:-1]).all(1)
+            r = r[np.concatenate([[True], ~same])] if same.any() else r
         if len(r) and (r[0] != r[-1]).any():
             r = np.concatenate([r, r[:1]])
         if len(r) >= 4:
@@ -277,8 +380,32 @@ def tidied(polygon) -> list:
     return out
 
 
+def _thin_short(ring: list, tolerance: float) -> list[int]:
+    """The points of a short ring that `thin` keeps, without numpy, whose calls cost more than so few points."""
+    ox, oy = ring[0]
+    far = max(range(len(ring)), key=lambda i: hypot(ring[i][0] - ox, ring[i][1] - oy))
+    keep = {0, far, len(ring) - 1}
+    todo = [(0, far), (far, len(ring) - 1)]
+    while todo:
+        a, b = todo.pop()
+        if b - a < 2:
+            continue
+        (x, y), dx, dy = ring[a], ring[b][0] - ring[a][0], ring[b][1] - ring[a][1]
+        size = hypot(dx, dy)
+        dist = [abs(dx * (v - y) - dy * (u - x)) / size if size else hypot(u - x, v - y) for u, v in ring[a + 1 : b]]
+        most = max(dist)
+        if most > tolerance:
+            k = a + 1 + dist.index(most)
+            keep.add(k)
+            todo += [(a, k), (k, b)]
+    return sorted(keep)
+
+
 def thin(ring, tolerance: float) -> np.ndarray:
     p = np.asarray(ring, float)
+    if 0 < len(p) <= FEW:
+        kept = _thin_short(p.tolist(), tolerance)
+        return p[kept] if len(kept) >= 4 else p
     keep = np.zeros(len(p), bool)
     far = int(np.hypot(*(p - p[0]).T).argmax())
     keep[[0, far, len(p) - 1]] = True
@@ -304,23 +431,30 @@ def thinned(geometry, tolerance: float = 1e-6) -> list:
     return geometry if crosses_itself(new) else new
 
 
+def all_thinned(geometries: list, tolerance: float = 1e-6) -> list:
+    """`thinned` of each geometry."""
+    new = [[[thin(r, tolerance) for r in p] for p in g] for g in geometries]
+    return [g if crossed else n for g, n, crossed in zip(geometries, new, all_crossing(new), strict=True)]
+
+
 def repaired(geometry: Column, snap_to: float = SNAP) -> Column:
     """Repeated points and short rings dropped, rings closed; what still crosses itself is cut and rebuilt by even-odd
     coverage. Null if nothing is left."""
 
-    def work(g):
-        polygons = [rings for p in g if (rings := tidied(p))]
-        if crosses_itself(polygons):
-            polygons = overlay([polygons], lambda inside: inside[0], snap_to)
-        return polygons or None
+    def work(given):
+        out = [[rings for p in g if (rings := tidied(p))] for g in given]
+        cut = [i for i, c in enumerate(all_crossing(out)) if c]
+        for i, g in zip(cut, overlay_each([[out[i]] for i in cut], lambda inside: inside[0], snap_to), strict=True):
+            out[i] = g
+        return [g or None for g in out]
 
-    return by_row(work, geometry)
+    return by_batch(work, geometry)
 
 
 def simplified(geometry: Column, tolerance: float = 1e-6) -> Column:
     """Points within `tolerance` of the line between those kept are dropped; a ring that would become too short, or a
     geometry that would cross itself, stays as it is."""
-    return by_row(lambda g: thinned(g, tolerance), geometry)
+    return by_batch(lambda given: all_thinned(given, tolerance), geometry)
 
 
 def _empty_for_null(geometry: Column) -> Column:
@@ -329,12 +463,12 @@ def _empty_for_null(geometry: Column) -> Column:
 
 def difference(a: Column, b: Column) -> Column:
     """What is in `a` and not in `b`, of one row's geometries; a null one is empty."""
-    return by_row(lambda x, y: overlay([x, y], lambda i: i[0] and not i[1]), _empty_for_null(a), _empty_for_null(b))
+    return by_batch(lambda x, y: overlay_each(list(zip(x, y, strict=True)), lambda i: i[0] and not i[1]), _empty_for_null(a), _empty_for_null(b))
 
 
 def intersection(a: Column, b: Column) -> Column:
     """What is in both of one row's geometries; null if one is null."""
-    return by_row(lambda x, y: overlay([x, y], all), a, b)
+    return by_batch(lambda x, y: overlay_each(list(zip(x, y, strict=True)), all), a, b)
 
 
 def union_in_tiles(df: DataFrame, size: float, by: list[str], geometry: str = "geometry", rank: str | None = None) -> DataFrame:
@@ -478,8 +612,8 @@ def filtering_pipeline(df: DataFrame, wkb: str = "geometry", min_points: int = 4
     def run(batches):
         for batch in batches:
             found = [decode_one(b) for b in batch.column(wkb).to_pylist()]
-            found = [thinned([tidied(p) for p in g]) if g is not None else None for g in found]
-            good = [g is not None and len(g) > 0 and all(map(len, g)) and all(len(r) >= 4 for p in g for r in p) and not crosses_itself(g) for g in found]
+            found = all_thinned([[tidied(p) for p in g] if g is not None else [] for g in found])
+            good = [len(g) > 0 and all(map(len, g)) and all(len(r) >= 4 for p in g for r in p) and not crossed for g, crossed in zip(found, all_crossing(found), strict=True)]
             kept = batch.select(names).filter(pa.array(good, pa.bool_()))
             yield pa.RecordBatch.from_arrays([*kept.columns, column_of([g for g, ok in zip(found, good, strict=True) if ok])], names=[*names, "geometry"])
 

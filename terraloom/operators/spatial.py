@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from terraloom.functions import geometry as G
 from terraloom.operators.components import connected_components
-from terraloom.session import checkpointed, settled
+from terraloom.session import checkpointed, settled, spread
 
 
 def tiles_of(box: Column, size: float) -> Column:
@@ -166,7 +166,7 @@ def overlap_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
     x, y = F.greatest("abox.minx", "bbox.minx"), F.greatest("abox.miny", "bbox.miny")
     meet = (x <= F.least("abox.maxx", "bbox.maxx")) & (y <= F.least("abox.maxy", "bbox.maxy"))
     here = (F.floor(x / size) == F.col("tile.tx")) & (F.floor(y / size) == F.col("tile.ty"))
-    pairs = a.join(b, "tile").where(meet & here).select(left_id, right_id, repair.intersection(F.col("a"), F.col("b")).alias("both"))
+    pairs = spread(a.join(b, "tile").where(meet & here).select(left_id, right_id, "a", "b"), left_id, right_id).select(left_id, right_id, repair.intersection(F.col("a"), F.col("b")).alias("both"))
     return pairs.select(left_id, right_id, G.area(F.col("both")).alias("common")).where("common > 0")
 
 
