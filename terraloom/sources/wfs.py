@@ -97,37 +97,51 @@ def surface_geometry(xml: Column, dimensions: int = 2) -> Column:
     return F.when(F.size(found) > 0, found)
 
 
+def first_value(xml: Column, name: str) -> Column:
+    """The text of a feature's first element of this name, at any depth; null if there is none or nothing in it.
+
+    Cut out by its tags. Only where that may not be the text (a reference, a comment, a section of characters, elements
+    inside) the feature is parsed: a parse takes a millisecond, and each name asks for one."""
+    leaf = F.regexp_substr(xml, F.lit(rf"<{name}(?:\s[^<>]*)?(?:/>|>[^<]*</{name}\s*>)"))
+    odd = xml.rlike(r"&|<[!?]") | (leaf.isNull() & xml.rlike(rf"<{name}[\s/>]"))
+    return F.nullif(F.when(odd, F.xpath_string(xml, F.lit(f"//{name}"))).otherwise(F.regexp_replace(leaf, "<[^>]*>", "")), F.lit(""))
+
+
+def with_surface(rows: DataFrame, *columns: Column, dimensions: int = 2) -> DataFrame:
+    """These columns and the geometry of each feature that has one. As a generator, so that the optimizer does not copy the
+    geometry into the filter and read it twice."""
+    return rows.select(*columns, F.explode(F.array(surface_geometry(F.col("feature_xml"), dimensions))).alias("geometry")).where("geometry IS NOT NULL")
+
+
 def cadastral(pages: DataFrame) -> DataFrame:
     """Cadastral parcels; a feature without number or geometry is no row (number 0 counts as none)."""
     rows = open_features(pages, "SamletFastEjendom_Gaeldende")
-    value = lambda name: F.nullif(F.xpath_string("feature_xml", F.lit(f"//{name}")), F.lit(""))
-    out = rows.select("path", "pos", *(convert(value(src)).alias(dst) for src, dst, convert in CADASTRAL_FIELDS), surface_geometry(F.col("feature_xml"), 3).alias("geometry"))
-    return out.where("bfe_number <> 0 AND geometry IS NOT NULL")
+    fields = [convert(first_value(F.col("feature_xml"), src)).alias(dst) for src, dst, convert in CADASTRAL_FIELDS]
+    return with_surface(rows, F.col("path"), F.col("pos"), *fields, dimensions=3).where("bfe_number <> 0")
 
 
 def water_projects(pages: DataFrame, layer: str) -> DataFrame:
     """Water projects of one layer: typed fields, the others in a map, area in hectares."""
-    rows = open_features(pages, layer).select("path", "pos", open_fields(F.col("feature_xml"), "the_geom").alias("fields"), surface_geometry(F.col("feature_xml")).alias("geometry"))
+    rows = with_surface(open_features(pages, layer), F.col("path"), F.col("pos"), open_fields(F.col("feature_xml"), "the_geom").alias("fields"))
     typed = [convert(F.try_element_at("fields", F.lit(k))).alias(k) for k, convert in WATER_FIELDS.items()]
-    return rows.where("geometry IS NOT NULL").select(F.lit(layer).alias("layer_name"), "path", "pos", *typed, G.hectares(F.col("geometry")).alias("area_ha"), "fields", "geometry")
+    return rows.select(F.lit(layer).alias("layer_name"), "path", "pos", *typed, G.hectares(F.col("geometry")).alias("area_ha"), "fields", "geometry")
 
 
 def protected_areas(pages: DataFrame, layer: str) -> DataFrame:
     """Protected areas around wells: area in hectares, status and its category, the other fields in a map. A feature without
     a geometry is no row; one without a status has no category."""
-    rows = open_features(pages, layer).select("path", "pos", open_fields(F.col("feature_xml"), "Shape").alias("fields"), surface_geometry(F.col("feature_xml")).alias("geometry"))
+    rows = with_surface(open_features(pages, layer), F.col("path"), F.col("pos"), open_fields(F.col("feature_xml"), "Shape").alias("fields"))
     status = F.try_element_at("fields", F.lit("status_bnbo"))
-    return rows.where("geometry IS NOT NULL").select(
+    return rows.select(
         "path", "pos", G.hectares(F.col("geometry")).alias("area_ha"), status.alias("status_bnbo"), status_category(status, PROTECTION_STATUS).alias("status_category"), "fields", "geometry"
     )
 
 
 def wetland_cells(pages: DataFrame, row: str = "kulstof2022") -> DataFrame:
-    rows = open_features(pages, row)
-    value = lambda name: F.nullif(F.xpath_string("feature_xml", F.lit(f"//{name}")), F.lit(""))
-    return rows.select(
-        F.regexp_extract("feature_xml", r'\sid="([^"]*)"', 1).alias("id"),
-        to_int(value("gridcode")).cast("int").alias("gridcode"),
-        clean_text(value("toerv_pct")).alias("toerv_pct"),
-        surface_geometry(F.col("feature_xml")).alias("geometry"),
-    ).where("geometry IS NOT NULL")
+    xml = F.col("feature_xml")
+    return with_surface(
+        open_features(pages, row),
+        F.regexp_extract(xml, r'\sid="([^"]*)"', 1).alias("id"),
+        to_int(first_value(xml, "gridcode")).cast("int").alias("gridcode"),
+        clean_text(first_value(xml, "toerv_pct")).alias("toerv_pct"),
+    )

@@ -179,3 +179,19 @@ def test_no_machine_local_folder_on_a_cluster(spark):
     with pytest.raises(ValueError):
         shared_dir(context("local-cluster[2,1,1024]", None))
     assert shared_dir(context("spark://host:7077", "hdfs://own/folder")) == "hdfs://own/folder"
+
+
+def test_a_broken_feature_does_not_stop_its_page(spark):
+    """Fields are cut out by their tags, and a feature is parsed only where that may not be their text."""
+    shape = "<n:geometri><gml:Polygon><gml:exterior><gml:posList>0 0 0 0 4 0 4 4 0 0 0 0</gml:posList></gml:exterior></gml:Polygon></n:geometri>"
+    bodies = [
+        "<n:BFEnummer>1</n:BFEnummer><n:forretningshaendelse>a</n:forretningshaendelse><n:open>",
+        '<n:ind><n:BFEnummer a="x">2</n:BFEnummer></n:ind><n:forretningshaendelse>A &amp; B</n:forretningshaendelse>',
+        "<n:BFEnummer>3</n:BFEnummer><n:forretningshaendelse><![CDATA[c<d]]></n:forretningshaendelse>",
+        "<n:BFEnummer>4</n:BFEnummer><n:forretningshaendelse/><n:forretningshaendelse>late</n:forretningshaendelse>",
+        "<n:BFEnummer>5</n:BFEnummer><!-- <n:forretningshaendelse>no</n:forretningshaendelse> -->",
+        "<n:BFEnummer>6</n:BFEnummer><n:forretningshaendelse><n:x>e</n:x>f</n:forretningshaendelse>",
+    ]
+    page = "".join(f"<n:SamletFastEjendom_Gaeldende>{b}{shape}</n:SamletFastEjendom_Gaeldende>" for b in bodies)
+    out = wfs.cadastral(spark.createDataFrame([("p", f"<w:FeatureCollection>{page}</w:FeatureCollection>")], "path string, page_xml string"))
+    assert sorted(map(tuple, out.select("bfe_number", "business_event").collect())) == [(1, "a"), (2, "A & B"), (3, "c<d"), (4, None), (5, None), (6, "ef")]
