@@ -52,3 +52,17 @@ def test_first_rows_are_whole_and_in_the_order_of_arrival(spark, tmp_path):
         (tmp_path / "d" / f).write_text("\n".join(json.dumps({"ChrNummer": 5, "BesaetningsNummer": 9, "Ejer": {"CvrNummer": c, "Navn": n, "Email": n + "@x"}}) for c, n in lines))
     herds = R.herd_masters(R.responses(spark, str(tmp_path / "d"), R.HERD))
     assert sorted((r.cvr_number, r.name, r.email) for r in R.first_persons(herds, "Ejer", "owner").collect()) == [("1", "first", "first@x"), ("2", "other", "other@x")]
+
+
+def test_what_a_response_has_once_is_converted_before_its_entries(spark, tmp_path):
+    """In all forms of a list, and without a conversion of the period for each entry."""
+    entry = {"Aar": 2024, "Maaned": " 5 ", "Dyredage": "12.5", "Dyredoser": "1,5", "Ukendt": {"a": 1}}
+    lists = [[entry, entry], entry, [entry, None, 7, {"Aar": {"b": 1}}], [], None]
+    (tmp_path / "a.json").write_text("\n".join(json.dumps({"chr_number": i, "period_from": "2024-01-01", "Data": d}) for i, d in enumerate(lists)))
+    out = R.antibiotics(R.responses(spark, str(tmp_path), R.ANTIBIOTICS))
+    rows = sorted((tuple(r) for r in out.select("chr_number", "year", "month", "animal_days", "animal_doses", "period_from").collect()), key=repr)
+    full = lambda i: (i, 2024, 5, None, 1.5, "2024-01-01")
+    none = (2, None, None, None, None, "2024-01-01")
+    assert rows == sorted([full(0), full(0), full(1), full(2), none, none, none], key=repr)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode(") < plan.index("date_format(")
