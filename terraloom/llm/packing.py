@@ -6,7 +6,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,13 +33,21 @@ UNSHOWN = re.compile("[^!-~]")
 WORD_END = "</w>"
 
 #: Bytes that a Python worker's table of distinct runs may take; when it is full it starts anew.
-MEMORY = 48 << 20
+MEMORY = 96 << 20
 #: What an entry of the table takes besides its characters and identifiers.
 ENTRY = 150
 #: New words that go to the tokenizer in one piece.
 PIECE_WORDS = 4096
 
 
+class Numbered(dict):
+    """What is asked for gets the next number when it is first seen."""
+
+    def __missing__(self, key) -> int:
+        number = self[key] = len(self)
+        return number
+
+
 class RunIds:
     """Token identifiers of whole texts, by way of the runs between blanks.
 
@@ -62,15 +70,17 @@ class RunIds:
         self.reset()
 
     def reset(self) -> None:
-        self.index: dict[bytes, int] = {}
+        self.index = Numbered()
         self.size = 0
-        self.flat: tuple[np.ndarray, np.ndarray] = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.flat = np.zeros(0, np.uint32)
+        #: Where each run's identifiers begin, and how many they are.
+        self.first, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def ids_of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(all identifiers, the end of each word among them)."""
         shown = words
         if UNSHOWN.search("".join(words)):
-            shown = [w.encode("utf-8").decode("latin-1").translate(self.symbols) if UNSHOWN.search(w) else w for w in words]
+            shown = [w if w.isascii() and w.isprintable() else w.encode("utf-8").decode("latin-1").translate(self.symbols) for w in words]
         parts = [np.array(self.merges.encode(" ".join(shown[i : i + PIECE_WORDS]), add_special_tokens=False).ids, np.uint32) for i in range(0, len(shown), PIECE_WORDS)]
         ids = np.concatenate([np.zeros(0, np.uint32), *parts])
         return ids, np.flatnonzero(self.ends_word[ids]) + 1
@@ -79,50 +89,57 @@ class RunIds:
         """(all identifiers, the end of each run) of runs of Latin-1 characters."""
         text = b"\n".join(runs).decode("utf-8").lower()
         tokens = (SPLIT_ASCII if text.isascii() else SPLIT).findall(text)
-        words = dict.fromkeys(tokens)
-        words.pop("\n", None)
-        ids, ends = self.ids_of_words(list(words))
-        words = dict(zip(words, range(len(words)), strict=True))
-        at = np.fromiter((words.get(t, -1) for t in tokens), np.int64, len(tokens))
+        words = Numbered({"\n": 0})
+        at = np.fromiter(map(words.__getitem__, tokens), np.int64, len(tokens)) - 1
+        ids, ends = self.ids_of_words(list(words)[1:])
         stops = np.flatnonzero(at < 0)
         first, length = np.concatenate([[0], ends])[at], np.where(at < 0, 0, np.diff(ends, prepend=0)[at] if len(ends) else 0)
         to = np.cumsum(length)
         return gather(ids, first, length, to), np.concatenate([to[stops], [len_of(to)]])
 
     def learn(self, runs: list[bytes]) -> None:
-        plain = [r for r in runs if r.isascii() and b"<|" not in r]
-        whole = []
-        for run in runs if len(plain) < len(runs) else []:
-            if not run.isascii() or b"<|" in run:
-                (whole if b"<|" in run or max(run.decode("utf-8")) > "\xff" else plain).append(run)
-        if plain:
-            self.add(plain, *self.plain_runs(plain))
-        if whole:
-            found = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast([r.decode("utf-8") for r in whole], add_special_tokens=False)]
-            self.add(whole, np.concatenate(found), np.cumsum([len(f) for f in found]))
-
-    def add(self, runs: list[bytes], ids: np.ndarray, ends: np.ndarray) -> None:
-        first = len(self.index)
-        self.index.update(zip(runs, range(first, first + len(runs)), strict=True))
-        flat, was = self.flat
-        self.flat = np.concatenate([flat, ids]), np.concatenate([was, ends + len(flat)])
-        self.size += sum(map(len, runs)) + len(runs) * ENTRY + 4 * len(ids)
+        """Runs that the index has just numbered, in the order of their numbers."""
+        kinds: tuple[list[int], ...] = [], [], []  # ASCII, the rest of Latin-1, and what goes to the tokenizer whole
+        special = b"<|" in b"\n".join(runs)
+        for k, run in enumerate(runs):
+            if special and b"<|" in run:
+                kinds[2].append(k)
+            elif run.isascii():
+                kinds[0].append(k)
+            else:
+                kinds[2 if max(run.decode("utf-8")) > "\xff" else 1].append(k)
+        before, first, length = len(self.flat), np.zeros(len(runs), np.int64), np.zeros(len(runs), np.int64)
+        parts = [self.flat]
+        for kind, places in enumerate(kinds):
+            if not places:
+                continue
+            some = [runs[k] for k in places]
+            if kind < 2:
+                ids, ends = self.plain_runs(some)
+            else:
+                found = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast([r.decode("utf-8") for r in some], add_special_tokens=False)]
+                ids, ends = np.concatenate(found), np.cumsum([len(f) for f in found])
+            first[places], length[places] = before + np.concatenate([[0], ends[:-1]]), np.diff(ends, prepend=0)
+            parts.append(ids)
+            before += len(ids)
+        self.size += sum(map(len, runs)) + len(runs) * ENTRY + 4 * (before - len(self.flat))
+        self.flat = np.concatenate(parts)
+        self.first, self.length = np.concatenate([self.first, first]), np.concatenate([self.length, length])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(all identifiers, the end of each text among them)."""
         if self.size > MEMORY:
             self.reset()
         runs = [t.encode("utf-8", "replace").split() for t in texts]
-        new = set().union(*runs).difference(self.index)
-        if new:
-            self.learn(list(new))
+        known = len(self.first)
         counts = np.fromiter(map(len, runs), np.int64, len(runs))
         at = np.fromiter(map(self.index.__getitem__, chain.from_iterable(runs)), np.int64, int(counts.sum()))
-        flat, ends = self.flat
-        first, length = ends[at], ends[at + 1] - ends[at]
+        if len(self.index) > known:
+            self.learn(list(islice(self.index, known, None)))
+        first, length = self.first[at], self.length[at]
         to = np.cumsum(length)
         last = np.cumsum(counts)
-        return gather(flat, first, length, to), np.where(last > 0, np.concatenate([[0], to])[last], 0)
+        return gather(self.flat, first, length, to), np.where(last > 0, np.concatenate([[0], to])[last], 0)
 
 
 def len_of(to: np.ndarray) -> int:

@@ -760,3 +760,23 @@ def test_templates_of_all_sections_of_a_host(spark):
     rows = [(10 * s + k, "http://a.example.com/", page.format(k=k, s=s)) for s in range(12) for k in range(4)] * 2
     got = {r.page_id: r.text for r in html_extract.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got == {10 * s + k: f"Main {k} of {s}" for s in range(12) for k in range(4)}
+
+
+def test_packing_cuts_plain_runs_by_the_plain_splitter(monkeypatch):
+    """Also where other runs of the batch have letters beyond ASCII; the identifiers are the tokenizer's."""
+    seen = []
+
+    class Recorder:
+        def findall(self, text):
+            seen.append(text)
+            return split.findall(text)
+
+    split = packing.SPLIT
+    monkeypatch.setattr(packing, "SPLIT", Recorder())
+    made = packing.RunIds(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["It's plain abc", "", "né plain ÀB", "abc 日本 <|endoftext|> 12"]
+    for _ in range(2):
+        ids, ends = made.encode(texts)
+        found = [list(p) for p in np.split(ids, ends[:-1])]
+        assert found == [made.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert seen == ["né\nàb"]
