@@ -7,7 +7,7 @@ import re
 import uuid
 from collections.abc import Iterator
 from hashlib import sha256
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from terraloom.llm.frames import by_bytes, kept, text_or_empty
+from terraloom.llm.frames import Numbered, by_bytes, kept, text_or_empty
 from terraloom.session import checkpointed, shared_dir, unused
 from terraloom.sinks.publish import remove
 
@@ -27,7 +27,7 @@ WORK = 1 << 16
 PAIRS = 1 << 20
 #: Bytes that a Python worker's table of distinct segments may take; when it is full it starts anew. And what an entry takes
 #: besides its characters.
-MEMORY, ENTRY = 64 << 20, 500
+MEMORY, ENTRY = 112 << 20, 500
 #: Rows of pair counts that are broadcast at most; beyond, the documents' pairs are joined with them by pair and salt.
 BROADCAST_ROWS = 1_000_000
 SPREAD = 16
@@ -114,7 +114,7 @@ class Aligner:
         self.reset()
 
     def reset(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index = Numbered()
         self.held = 0
         self.groups: list[str] = []
         #: Of each segment: tokens of A and of B, groups, links, and 1 if the tokens spell the segment.
@@ -126,9 +126,22 @@ class Aligner:
         found = self.b.encode([s[1:] if s[0] == " " else s for s in segments], num_threads=1)
         return [f if s[0] == " " else f[1:] if f[:1] == [self.blank] else [] for s, f in zip(segments, found, strict=True)]
 
+    def spelled(self, segments: list[str], *tokens: list[list[int]]) -> list[bool]:
+        """Whether both tokens spell each segment. Mostly all do, which one comparison of all bytes and of all lengths shows."""
+        given = list(map(str.encode, segments))
+        sizes, whole = np.fromiter(map(len, given), np.int64, len(given)), b"".join(given)
+        for ids, table, width in zip(tokens, (self.bytes_a, self.bytes_b), (self.size_a, self.size_b), strict=True):
+            flat = np.fromiter(chain.from_iterable(ids), np.int64)
+            ends = np.concatenate([[0], np.cumsum(width[flat])])[np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))]
+            if not np.array_equal(np.diff(ends, prepend=0), sizes) or b"".join(map(table.__getitem__, flat.tolist())) != whole:
+                a, b = ([b"".join(map(t.__getitem__, x)) for x in ids] for ids, t in zip(tokens, (self.bytes_a, self.bytes_b), strict=True))
+                return [x == s == y for s, x, y in zip(given, a, b, strict=True)]
+        return [True] * len(segments)
+
     def learn(self, segments: list[str]) -> None:
+        """Segments that the index has just numbered, in the order of their numbers."""
         tokens = [e.ids for e in self.a.encode_batch_fast(segments, add_special_tokens=False)], self.tokens_of_b(segments)
-        spelled = [b"".join(map(self.bytes_a.__getitem__, x)) == s.encode() == b"".join(map(self.bytes_b.__getitem__, y)) for s, x, y in zip(segments, *tokens, strict=True)]
+        spelled = self.spelled(segments, *tokens)
         a, b = (np.fromiter(chain.from_iterable(t for t, ok in zip(ids, spelled, strict=True) if ok), np.int64) for ids in tokens)
         counts = np.array([[len(x), len(y)] if ok else [0, 0] for x, y, ok in zip(*tokens, spelled, strict=True)], np.int64).reshape(-1, 2)
         to_a, to_b = common_ends(np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b]))
@@ -157,8 +170,6 @@ class Aligner:
         key, time = summed(np.concatenate(keys), np.concatenate(times))
         each = len(self.bytes_a) * self.width
         number = np.bincount(key // each, minlength=len(segments))
-        first = len(self.index)
-        self.index.update(zip(segments, range(first, first + len(segments)), strict=True))
         self.groups += map(";".join, lines)
         sums = np.zeros((2, len(segments)), np.int64)
         np.add.at(sums[0], owner, 1)
@@ -173,11 +184,11 @@ class Aligner:
         if self.held > MEMORY:
             self.reset()
         cut = [SEGMENT.findall(f" {t}") if t else [] for t in texts]
-        new = set().union(*cut).difference(self.index)
-        if new:
-            self.learn(list(new))
         number = np.fromiter(map(len, cut), np.int64, len(cut))
         at = np.fromiter(map(self.index.__getitem__, chain.from_iterable(cut)), np.int64, int(number.sum()))
+        known = len(self.groups)
+        if len(self.index) > known:
+            self.learn(list(islice(self.index, known, None)))
         doc = np.repeat(np.arange(len(cut)), number)
         bad = np.zeros(len(cut), bool)
         bad[doc[self.facts[at, 4] == 0]] = True

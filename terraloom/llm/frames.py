@@ -44,6 +44,14 @@ def give_back() -> None:
             trim(0)
 
 
+class Numbered(dict):
+    """What is asked for gets the next number when it is first seen."""
+
+    def __missing__(self, key) -> int:
+        number = self[key] = len(self)
+        return number
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

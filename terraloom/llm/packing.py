@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from terraloom.llm.frames import by_bytes, kept, text_or_empty
+from terraloom.llm.frames import Numbered, by_bytes, kept, text_or_empty
 from terraloom.session import unused
 
 WINDOW = 4096
@@ -40,14 +40,6 @@ ENTRY = 150
 PIECE_WORDS = 4096
 
 
-class Numbered(dict):
-    """What is asked for gets the next number when it is first seen."""
-
-    def __missing__(self, key) -> int:
-        number = self[key] = len(self)
-        return number
-
-
 class RunIds:
     """Token identifiers of whole texts, by way of the runs between blanks.
 

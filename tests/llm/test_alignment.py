@@ -108,3 +108,15 @@ def test_pieces_do_equal_work_and_find_every_common_end(seed):
 
 def test_empty_table(spark):
     assert alignment.align(spark.createDataFrame([], SCHEMA), A_PATH, B_PATH).count() == 0
+
+
+def test_spelled_tells_each_segment_by_itself():
+    """One comparison where all are spelled; else each by itself, also where the bytes of all together are the same."""
+    made = alignment.Aligner(A_PATH, B_PATH)
+    segments = [" plain", " né", "\nnext"]
+    a, b = [e.ids for e in made.a.encode_batch_fast(segments, add_special_tokens=False)], made.tokens_of_b(segments)
+    assert made.spelled(segments, a, b) == [True] * 3
+    assert made.spelled(segments, a, [b[0], [], b[2]]) == [True, False, True]
+    assert made.spelled(segments, [[*a[0], *a[1]], [], a[2]], b) == [False, False, True]
+    made.documents(["plain", "plain né"])
+    assert len(made.index) == len(made.groups) == len(made.facts)
