@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -12,10 +13,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terraloom.llm.frames import by_characters, map_texts
+from terraloom.llm.frames import BATCH_CHARS, by_characters, map_texts
 from terraloom.session import checkpointed
 
-#: Pages of a host that its wrapper is induced from at most: those with the smallest address hashes.
+#: Pages of a host that layouts are founded on in one round: those with the smallest hashes of all that have none yet.
 PAGES = 6
 #: Wider nodes are aligned without a full table, by halving; the pairs are the same.
 WIDE = 400
@@ -23,9 +24,11 @@ WIDE = 400
 LEAST_PAGES = 3
 #: Pages are of one layout if at least this share of the smaller one's nodes is matched.
 LAYOUT_SHARE = 0.5
+#: What a row of `tallies` is about: a section, a layout, that texts of a layout vary, or a page that has no layout yet.
+SECTION, LAYOUT, VARIES, LEFT = range(4)
 #: Parts that a host's pages are ranked in first, and that hosts are salted with where wrappers can't be broadcast.
 SPREAD = 64
-#: Rows of page hashes, and bytes of wrappers, that are broadcast at most.
+#: Rows of page hashes, and bytes of wrappers or founding pages, that are broadcast at most.
 BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 32 << 20
 
 #: Where a tag, a comment or a declaration may begin; a tag in which quotes after = may hold a >; and one in which not.
@@ -34,7 +37,6 @@ BEGIN = re.compile(r"<(?:!--|[!?]|/?[a-zA-Z])")
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"'=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|[=\"'])*+)>")
 PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
-SPACE = re.compile(r"\s+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe svg xmp".split())
@@ -49,13 +51,19 @@ ASIDE_NAMES = frozenset(
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
 
+def squeezed(text: str) -> str:
+    """White space inside is one space, that at the ends is none."""
+    return " ".join(text.split())
+
+
 class Node:
-    __slots__ = ("children", "name", "outside", "size", "tag")
+    __slots__ = ("children", "inner", "name", "outside", "plain", "tag")
 
     def __init__(self, tag: str, name: str, outside: bool) -> None:
         self.tag, self.name, self.outside = tag, name, outside
         self.children: list = []
-        self.size = 1
+        self.inner: list | None = None
+        self.plain: tuple | None = None
 
 
 def _node(tag: str, raw: str, in_article: bool) -> Node:
@@ -182,7 +190,7 @@ def texts_of(root: Node) -> list[tuple[int, str]]:
         node, path = todo.pop()
         if isinstance(node, str):
             if node.strip():
-                out.append((path, SPACE.sub(" ", node).strip()))
+                out.append((path, squeezed(node)))
         elif not node.outside:
             path = down(path, node.name)
             todo += [(c, path) for c in reversed(node.children)]
@@ -203,7 +211,21 @@ def has_article(root: Node) -> bool:
 
 
 def _inner(n: Node) -> list:
-    return [c for c in n.children if (c.strip() if isinstance(c, str) else not c.outside)]
+    """The children that the alignment looks at, of a tree that is whole."""
+    if n.inner is None:
+        n.inner = [c for c in n.children if (c.strip() if isinstance(c, str) else not c.outside)]
+    return n.inner
+
+
+def _plain(n) -> tuple:
+    """(name, worth, text): what a match of names is worth if that is plain to see (a text, or an element with at most one
+    text), else 0, and that text. Of two plain ones it is worth the lesser, and one more if they have one text."""
+    if isinstance(n, str):
+        return None, 1, n
+    if n.plain is None:
+        inner = _inner(n)
+        n.plain = (n.name, 1, None) if not inner else (n.name, 2, inner[0]) if len(inner) == 1 and isinstance(inner[0], str) else (n.name, 0, None)
+    return n.plain
 
 
 def nodes_of(root: Node) -> int:
@@ -221,11 +243,10 @@ def _kinds(nodes: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     (a text, or an element with at most one text); else 0."""
     names, texts, worth = [], [], []
     for n in nodes:
-        inner = [] if isinstance(n, str) else _inner(n)
-        text = n if isinstance(n, str) else inner[0] if len(inner) == 1 and isinstance(inner[0], str) else None
-        names.append(hash((isinstance(n, str) or n.name, text is None)))
+        name, value, text = _plain(n)
+        names.append(hash((name is None or name, text is None)))
         texts.append(hash(text))
-        worth.append(1 if isinstance(n, str) or not inner else 2 if text is not None else 0)
+        worth.append(value)
     return np.array(names, np.int64), np.array(texts, np.int64), np.array(worth, np.int64)
 
 
@@ -284,21 +305,27 @@ def matched(a: Node, b: Node) -> tuple[int, list[tuple[int, str, str, bool]]]:
     stack of their own, so trees may be as deep as they like.
     """
     known: dict[tuple[int, int], int] = {}
-    inner: dict[int, list] = {}
-
-    def children(n: Node) -> list:
-        if id(n) not in inner:
-            inner[id(n)] = _inner(n)
-        return inner[id(n)]
 
     def pairs(x: list, y: list) -> tuple[int, list[tuple[int, int]]]:
         if len(x) > WIDE or len(y) > WIDE:
             return wide_pairs(x, y, weight)
-        best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-        for i, p in enumerate(x):
-            row, above = best[i + 1], best[i]
-            for j, q in enumerate(y):
-                row[j + 1] = max(above[j + 1], row[j], above[j] + weight(p, q))
+        if not x or not y:
+            return 0, []
+        best = [[0] * (len(y) + 1)]
+        plain = [_plain(q) for q in y]
+        for p in x:
+            name, worth, text = _plain(p)
+            above = best[-1]
+            row, last = [0], 0
+            for j, (other, value, own) in enumerate(plain):
+                if other == name:
+                    w = ((worth if worth < value else value) + (text == own and text is not None)) if worth and value else weight(p, y[j])
+                    if above[j] + w > last:
+                        last = above[j] + w
+                if above[j + 1] > last:
+                    last = above[j + 1]
+                row.append(last)
+            best.append(row)
         i, j, hit = len(x), len(y), []
         while i and j:
             if best[i][j] == best[i - 1][j]:
@@ -313,18 +340,19 @@ def matched(a: Node, b: Node) -> tuple[int, list[tuple[int, str, str, bool]]]:
     def below(p: Node, q: Node):
         """Pairs of inner nodes that must be known before p and q."""
         y: dict[str, list[Node]] = {}
-        for v in children(q):
+        for v in _inner(q):
             if not isinstance(v, str):
                 y.setdefault(v.name, []).append(v)
-        for u in children(p) if y else ():
+        for u in _inner(p) if y else ():
             if not isinstance(u, str):
-                yield from ((u, v) for v in y.get(u.name, ()) if (id(u), id(v)) not in known)
+                yield from ((u, v) for v in y.get(u.name, ()) if not (_plain(u)[1] and _plain(v)[1]) and (id(u), id(v)) not in known)
 
     def weight(p, q) -> int:
-        if isinstance(p, str) or isinstance(q, str):
-            return (2 if p == q else 1) if isinstance(p, str) and isinstance(q, str) else 0
-        if p.name != q.name:
+        (name, worth, text), (other, value, own) = _plain(p), _plain(q)
+        if name != other:
             return 0
+        if worth and value:
+            return min(worth, value) + (text == own and text is not None)
         key = (id(p), id(q))
         if key in known:
             return known[key]
@@ -333,7 +361,7 @@ def matched(a: Node, b: Node) -> tuple[int, list[tuple[int, str, str, bool]]]:
             u, v, rest = stack[-1]
             pair = next(rest, None)
             if pair is None:
-                known[id(u), id(v)] = 1 + pairs(children(u), children(v))[0]
+                known[id(u), id(v)] = 1 + pairs(_inner(u), _inner(v))[0]
                 stack.pop()
             else:
                 stack.append((*pair, below(*pair)))
@@ -345,25 +373,30 @@ def matched(a: Node, b: Node) -> tuple[int, list[tuple[int, str, str, bool]]]:
         count += 1
         path = down(path, p.name)
         inside = inside or p.tag in ("article", "main")
-        x, y = children(p), children(q)
+        x, y = _inner(p), _inner(q)
         for i, j in pairs(x, y)[1]:
             if isinstance(x[i], str):
                 count += 1
-                out.append((path, SPACE.sub(" ", x[i]).strip(), SPACE.sub(" ", y[j]).strip(), inside))
+                out.append((path, squeezed(x[i]), squeezed(y[j]), inside))
             elif not isinstance(y[j], str):
                 todo.append((x[i], y[j], path, inside))
     return count, out
 
 
+def in_layout(pivot: Node, page: Node) -> list | None:
+    """What `matched` puts together of a page that is of the layout of another one; None if it is not."""
+    count, found = matched(pivot, page)
+    return found if found and count >= LAYOUT_SHARE * min(nodes_of(pivot), nodes_of(page)) else None
+
+
 def induce(pages: list[str]) -> dict[str, list[int]]:
-    """A host's wrapper: {"constant": entries (path and text) of the template's texts, "slot": paths of all texts that vary}.
+    """The wrapper of a host whose pages are all in memory (of tables `wrappers` finds the same): {"constant": entries (path and text) of the template's texts, "slot": paths of all texts that vary}.
 
     Exact copies count once. The first page is aligned with each other one; those that match it for LAYOUT_SHARE of the
     smaller tree are of its layout, the others are dealt with among themselves in the same way. A text is constant if
     it stands at its aligned place in all pages of a layout, so a page of another kind takes nothing from a template.
     """
     trees = [parse(p) for p in dict.fromkeys(pages)]
-    sizes = [nodes_of(t) for t in trees]
     rest = list(range(len(trees)))
     constant: set[int] = set()
     slots: set[int] = set()
@@ -371,8 +404,8 @@ def induce(pages: list[str]) -> dict[str, list[int]]:
         pivot, left, aligned = rest[0], [], 0
         same: dict[tuple[int, bool], int] = {}
         for k in rest[1:]:
-            count, found = matched(trees[pivot], trees[k])
-            if not found or count < LAYOUT_SHARE * min(sizes[pivot], sizes[k]):
+            found = in_layout(trees[pivot], trees[k])
+            if found is None:
                 left.append(k)
                 continue
             aligned += 1
@@ -397,40 +430,71 @@ def section_of(root: Node) -> int:
     return down(0, "\n".join(sorted(names)))
 
 
-def counted(pages: DataFrame) -> DataFrame:
-    """(host, everywhere): digests of section, path and text of what stands in all pages of one section of a host that
-    has LEAST_PAGES distinct pages. Every page is read. Digests are counted with partial aggregation; those of texts
-    seen less often go before anything is kept. Copies change nothing, as all pages must have the text."""
+def founders(pages: list[str]) -> list[str]:
+    """Those of a few pages that begin a layout: each that is of none of the layouts before it."""
+    out: list[tuple[str, Node]] = []
+    for page in dict.fromkeys(pages):
+        tree = parse(page)
+        if all(in_layout(other, tree) is None for _, other in out):
+            out.append((page, tree))
+    return [page for page, _ in out]
+
 
-    def entries(frames):
+def tallies(pages: DataFrame, sections: bool) -> DataFrame:
+    """What each page of (host, key, html, pivots) adds to the counts of its layout, and of its section if `sections`: (kind,
+    group, entry, inside, page, host, n). Every page is aligned with the founding pages of its group, in their order, until one has
+    it; one that none has is LEFT, with its section as group, unless it has no text to align. Rows with a page say that the
+    group has it, those with an entry how many pages have that text. Sums are made in a batch before they are made in a shuffle."""
+
+    def work(frames):
+        trees: dict[str, Node] = {}
+        held = 0
         for frame in by_characters(frames, "html"):
-            out: list[tuple] = []
-            for host, page, key in zip(frame["host"], frame["html"], frame["key"], strict=True):
+            n: Counter = Counter()
+            for host, page, key, pivots in zip(frame["host"], frame["html"], frame["key"], frame["pivots"], strict=True):
                 root = parse(page)
+                texts = texts_of(root)
                 section = section_of(root)
-                group = entry_of(section, host)
-                out.append((group, None, key, host))
-                out += [(group, e, None, None) for e in {entry_of(section ^ path, text) for path, text in texts_of(root)}]
+                if sections:
+                    group = entry_of(section, host)
+                    n[SECTION, group, None, None, key, host] += 1
+                    n.update({(SECTION, group, entry_of(section ^ path, text), None, None, None) for path, text in texts})
+                for pivot in pivots if texts else ():
+                    if pivot == page:
+                        break
+                    if pivot not in trees:
+                        if held > BATCH_CHARS:
+                            trees, held = {}, 0
+                        trees[pivot] = parse(pivot)
+                        held += len(pivot)
+                    found = in_layout(trees[pivot], root)
+                    if found is not None:
+                        group = entry_of(down(0, pivot), host)
+                        n[LAYOUT, group, None, None, key, host] += 1
+                        n.update({(LAYOUT, group, entry_of(path, t), inside, None, None) for path, t, u, inside in found if t == u})
+                        if any(t != u for _, t, u, _ in found):
+                            n[VARIES, group, None, None, None, host] += 1
+                        break
+                else:
+                    if texts:
+                        n[LEFT, entry_of(section, host), None, None, key, host] += 1
             # As objects: numbers beside None would become floats, and digests lose their last digits.
-            yield pd.DataFrame(out, columns=["group", "entry", "page", "host"], dtype=object).astype({"group": "int64"})
+            out = pd.DataFrame([(*k, c) for k, c in n.items()], columns=["kind", "group", "entry", "inside", "page", "host", "n"], dtype=object)
+            yield out.astype({"kind": "int32", "group": "int64", "n": "int64"})
 
-    given = pages.select(host_of(F.col("url")).alias("host"), "html").where("html <> ''").withColumn("key", F.xxhash64("html"))
-    rows = given.mapInPandas(entries, "group long, entry long, page long, host string").groupBy("group", "entry", "page", "host").count()
-    kept = checkpointed(rows.where(F.col("page").isNotNull() | (F.col("count") >= LEAST_PAGES)))
-    totals = kept.where("page IS NOT NULL").groupBy("group", "host").agg(F.sum("count").alias("all"), F.count("*").alias("distinct")).where(F.col("distinct") >= LEAST_PAGES)
-    found = kept.where("page IS NULL").select("group", "entry", "count").join(totals, "group").where("count = all")
-    return found.groupBy("host").agg(F.collect_set("entry").alias("everywhere"))
+    rows = pages.select("host", "html", "key", "pivots").mapInPandas(work, "kind int, group long, entry long, inside boolean, page long, host string, n long")
+    return rows.groupBy("kind", "group", "entry", "inside", "page", "host").agg(F.sum("n").alias("n"))
 
 
-def extract(page: str, constant: frozenset | set = frozenset(), slots: list[int] | None = None, everywhere: frozenset | set = frozenset()) -> str:
-    """The main text. With a template (texts that are constant or slots that vary), the aligned trees decide: all that is
+def extract(page: str, constant: frozenset | set = frozenset(), slots: list[int] | bool | None = None, everywhere: frozenset | set = frozenset()) -> str:
+    """The main text. With a template (texts that are constant or slots that vary, which are not named), the aligned trees decide: all that is
     not constant, in any slot, without the parts that are marked as no content. Without one, what is in an article or
     main part, or else the whole body. Each block's white space is one space; blocks are joined by line ends."""
     root = parse(page)
     section = section_of(root) if everywhere else 0
 
     def known(path: int, text: str) -> bool:
-        text = SPACE.sub(" ", text).strip()
+        text = squeezed(text)
         return not text or entry_of(path, text) in constant or (bool(everywhere) and entry_of(section ^ path, text) in everywhere)
 
     in_article = not constant and not slots and not everywhere and has_article(root)
@@ -456,7 +520,7 @@ def extract(page: str, constant: frozenset | set = frozenset(), slots: list[int]
         inside = inside or node.tag in ("article", "main")
         path = down(path, node.name)
         todo += [(c, path, inside, True) for c in reversed(node.children)]
-    lines = (SPACE.sub(" ", "".join(t for t, _ in b)).strip() for b in blocks if not all(template for _, template in b))
+    lines = (squeezed("".join(t for t, _ in b)) for b in blocks if not all(template for _, template in b))
     return "\n".join(x for x in lines if x)
 
 
@@ -465,35 +529,64 @@ def host_of(url: Column) -> Column:
 
 
 def candidates(pages: DataFrame, most: int) -> DataFrame:
-    """(host, key, html): `most` distinct pages of each host, those with the smallest hashes.
-
-    Only hosts and hashes are ranked, in SPREAD parts of a host first, so no task sees more than `most` rows a part of a
-    hot host; copies have one hash and take one place. The pages are then fetched by their hashes, which are as many as
-    distinct pages, so a hot host does not meet in one task there either."""
-    given = pages.select(host_of(F.col("url")).alias("host"), "html").where("html <> ''").withColumn("key", F.xxhash64("html"))
-    keys = given.select("host", "key").distinct()
-    for by in (["host", F.pmod("key", F.lit(SPREAD))], ["host"]):
+    """(host, part, key, html): `most` distinct pages of each part of a host, those with the smallest hashes.
+
+    They found layouts and are no sample to count in: `wrappers` aligns all pages with them. Only hosts and hashes are ranked, in
+    SPREAD parts of a host first, so no task sees more than `most` rows a part of a hot host; copies have one hash and take
+    one place. The pages are then fetched by their hashes, which are as many as distinct pages, so a hot host does not meet in
+    one task there either."""
+    keys = pages.select("host", "part", "key").distinct()
+    for by in (["host", "part", F.pmod("key", F.lit(SPREAD))], ["host", "part"]):
         keys = keys.withColumn("k", F.row_number().over(Window.partitionBy(*by).orderBy("key"))).where(F.col("k") <= most).drop("k")
     keys = checkpointed(keys)
     small = F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
-    return given.join(small, ["host", "key"]).dropDuplicates(["host", "key"])
+    return pages.join(small, ["host", "part", "key"]).dropDuplicates(["host", "part", "key"])
 
 
-def wrappers(pages: DataFrame, most: int = PAGES) -> DataFrame:
-    """(host, constant, slot) of every host, from `most` distinct pages of each."""
+def with_founders(pages: DataFrame, most: int) -> DataFrame:
+    """`pages` with `pivots`, the founding pages of each one's part of its host; they are broadcast if they are small."""
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
-        made = induce(list(frame.sort_values(["key", "html"])["html"].drop_duplicates()))
-        return pd.DataFrame({"host": frame["host"].iloc[:1], "constant": [made["constant"]], "slot": [made["slot"]]})
+        return pd.DataFrame({"host": frame["host"].iloc[:1], "part": frame["part"].iloc[:1], "pivots": [founders(list(frame.sort_values(["key", "html"])["html"]))]})
 
-    return candidates(pages, most).groupBy("host").applyInPandas(work, "host string, constant array<bigint>, slot array<bigint>")
+    found = checkpointed(candidates(pages, most).groupBy("host", "part").applyInPandas(work, "host string, part long, pivots array<string>"))
+    size = found.agg(F.sum(F.aggregate("pivots", F.lit(64).cast("long"), lambda n, p: n + F.octet_length(p)))).head()[0] or 0
+    return pages.join(F.broadcast(found) if size <= BROADCAST_BYTES else found, ["host", "part"])
+
+
+def wrappers(pages: DataFrame, most: int = PAGES) -> DataFrame:
+    """(host, constant, everywhere, slot) of every host, from all of its pages: the entries of texts that stand at their aligned
+    place in all pages of a layout; digests of section, path and text of what stands in all pages of one section that has
+    LEAST_PAGES distinct pages; and whether any aligned text varies.
+
+    Layouts are those of `induce` with the pages in the order of their hashes: the first page founds one, the first that is not of
+    it the next. A round founds those among `most` pages of a host and aligns all pages with them; pages that have no layout
+    then go to another round, in which those of one section are a part of their own, until none is left. Copies change no
+    count, as all pages must have a text. Rounds are as many as a section's layouts over `most`, at most; one is the rule."""
+    given = pages.select(host_of(F.col("url")).alias("host"), "html").where("html <> ''").withColumn("key", F.xxhash64("html"))
+    rest, rounds = given.withColumn("part", F.lit(0).cast("long")), []
+    while True:
+        kept = checkpointed(tallies(with_founders(rest, most), not rounds).where(f"kind <> {SECTION} OR page IS NOT NULL OR n >= {LEAST_PAGES}"))
+        rounds.append(kept.where(F.col("kind") != LEFT))
+        left = kept.where(F.col("kind") == LEFT).select("host", F.col("page").alias("key"), F.col("group").alias("part"))
+        number = left.count()
+        if not number:
+            break
+        rest = given.join(F.broadcast(left) if number <= BROADCAST_ROWS else left, ["host", "key"])
+    rows = reduce(DataFrame.unionByName, rounds)
+    totals = rows.where("page IS NOT NULL").groupBy("kind", "group", "host").agg(F.sum("n").alias("all"), F.count("*").alias("distinct"))
+    least = F.when(F.col("kind") == SECTION, LEAST_PAGES).when(F.col("inside"), LEAST_PAGES - 1).otherwise(1)
+    found = rows.where("entry IS NOT NULL").select("kind", "group", "entry", "inside", "n").join(totals, ["kind", "group"]).where((F.col("n") == F.col("all")) & (F.col("distinct") >= least))
+    known = found.select("host", "kind", "entry").unionByName(rows.where(F.col("kind") == VARIES).select("host", "kind", "entry"))
+    of = lambda kind: F.collect_set(F.when(F.col("kind") == kind, F.col("entry")))
+    return known.groupBy("host").agg(of(LAYOUT).alias("constant"), of(SECTION).alias("everywhere"), F.max(F.col("kind") == VARIES).alias("slot"))
 
 
 def with_wrappers(pages: DataFrame, wrapped: DataFrame) -> DataFrame:
     """`pages` with the wrapper of each one's host. Where all wrappers together are small, which is counted first, they are
     broadcast and no page moves; else hosts are salted and wrappers copied to each part, so a hot host is split."""
     kept = checkpointed(wrapped)
-    size = kept.agg(F.sum(8 * sum(F.coalesce(F.size(c), F.lit(0)) for c in ("constant", "slot", "everywhere")) + F.octet_length("host") + 64)).head()[0] or 0
+    size = kept.agg(F.sum(8 * sum(F.coalesce(F.size(c), F.lit(0)) for c in ("constant", "everywhere")) + F.octet_length("host") + 64)).head()[0] or 0
     if size <= BROADCAST_BYTES:
         return pages.join(F.broadcast(kept), "host", "left")
     salted = pages.withColumn("salt", F.pmod(F.xxhash64("page_id", "html"), F.lit(SPREAD)))
@@ -506,7 +599,7 @@ def extract_pages(pages: DataFrame, most: int = PAGES) -> DataFrame:
 
     Null or empty html: an empty text. Pages without a host share one wrapper. On a host with one page, or copies of
     one, nothing can be aligned, and the markup alone decides. Broken, deep and very long pages are read in time linear
-    in their length; the alignment of two pages takes time with the product of their nodes' children. Repeated rows stay
+    in their length; the alignment of a page with its layout's first one takes time with the product of their nodes' children. Repeated rows stay
     repeated; extra columns are not read. An empty table: no rows.
     """
 
@@ -514,12 +607,12 @@ def extract_pages(pages: DataFrame, most: int = PAGES) -> DataFrame:
         empty: frozenset = frozenset()
         known: dict[str, tuple] = {}
         texts = []
-        for host, page, *wrapper in zip(*(frame[c] for c in ("host", "html", "constant", "slot", "everywhere")), strict=True):
+        for host, page, slot, *wrapper in zip(*(frame[c] for c in ("host", "html", "slot", "constant", "everywhere")), strict=True):
             if host not in known:
                 known[host] = tuple(frozenset(w.tolist()) if w is not None else empty for w in wrapper)
-            constant, slots, everywhere = known[host]
-            texts.append(extract(page, constant, slots, everywhere))
+            constant, everywhere = known[host]
+            texts.append(extract(page, constant, bool(slot), everywhere))
         return pd.DataFrame({"text": texts, "n_chars": [len(t) for t in texts]})
 
     given = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host_of(F.col("url")).alias("host"))
-    return map_texts(with_wrappers(given, wrappers(pages, most).join(counted(pages), "host", "left")), ["page_id", "url"], work, "text string, n_chars long", "html")
+    return map_texts(with_wrappers(given, wrappers(pages, most)), ["page_id", "url"], work, "text string, n_chars long", "html")

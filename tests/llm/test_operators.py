@@ -780,3 +780,24 @@ def test_packing_cuts_plain_runs_by_the_plain_splitter(monkeypatch):
         found = [list(p) for p in np.split(ids, ends[:-1])]
         assert found == [made.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
     assert seen == ["né\nàb"]
+
+
+def test_every_page_of_a_host_is_counted_in_its_template(spark):
+    """A text that only the page with the greatest hash says otherwise is no template, nor is one of another layout's; what a
+    table's pages teach is what all of them teach in memory."""
+    page = "<body><div class=text><p>Main {k}</p></div><div class=note><p>{n}</p></div><div class=end><p>Foot of the site</p></div></body>"
+    other = "<body><table><tr><td>Row {k}</td></tr></table><table><tr><td>Always below</td></tr></table></body>"
+    made = [page.format(k=k, n="As before") for k in range(30)]
+    hashed = lambda texts: spark.createDataFrame([(t,) for t in texts], "html string").select(F.xxhash64("html").alias("key"), "html").orderBy("key").collect()
+    odd = hashed(page.format(k=k, n=f"New words {k}") for k in range(10**6, 10**6 + 2000))[-1]
+    assert odd.key > hashed(made)[html_extract.PAGES].key
+    pages = [*made, odd.html, *(other.format(k=k) for k in range(40, 48)), "<body><img></body>", "<ul><li>Alone</ul>"]
+    df = spark.createDataFrame([(k, "http://a.example.com/", t) for k, t in enumerate(pages)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extract_pages(df).collect()}
+    assert [got[k] for k in range(30)] == [f"Main {k}\nAs before" for k in range(30)]
+    assert [got[31 + k] for k in range(8)] == [f"Row {40 + k}" for k in range(8)]
+    assert (got[39], got[40]) == ("", "Alone")
+    want = html_extract.induce([r.html for r in hashed(pages)])
+    for most in (1, 2, html_extract.PAGES):
+        (w,) = html_extract.wrappers(df, most).collect()
+        assert set(w.constant) == set(want["constant"]) and w.slot == bool(want["slot"])
