@@ -18,7 +18,7 @@ from terraloom.functions import geometry as G
 from terraloom.functions.shapes import by_batch, column_of, holds_by_batch, shapes_of
 from terraloom.functions.wkb import decode_one
 from terraloom.operators.components import connected_components
-from terraloom.operators.groups import each_group
+from terraloom.operators.groups import whole_groups
 from terraloom.session import checkpointed, unused
 
 #: Coordinates are snapped to this grid before rings are cut and joined.
@@ -27,6 +27,8 @@ SNAP = 1e-3
 PAIRS, SLABS = 1 << 19, 1 << 20
 #: Geometries of at most so many edges are worked on together, and so many edges of them at once.
 FEW, TOGETHER = 48, 1 << 14
+#: The same for layers of many geometries, whose edges are tried in pairs: edges of a scene, and pairs of all that are together.
+MANY, TRIED = 256, 1 << 18
 
 
 def _segments(geometry) -> np.ndarray:
@@ -35,7 +37,7 @@ def _segments(geometry) -> np.ndarray:
         for ring in polygon:
             p = np.asarray(ring, float)
             if len(p) > 1:
-                parts.append(np.hstack([p[:-1], p[1:]]))
+                parts.append(np.concatenate([p[:-1], p[1:]], 1))
     return np.concatenate(parts) if parts else np.zeros((0, 4))
 
 
@@ -101,16 +103,17 @@ def crosses_itself(geometry) -> bool:
     return False
 
 
-def _batches(sizes: list[int]) -> Iterator[list[int]]:
-    """Places of the sizes up to FEW, in stretches of about TOGETHER in sum."""
-    now, total = [], 0
+def _batches(sizes: list[int], few: int) -> Iterator[list[int]]:
+    """Places of the sizes up to `few`, in stretches of about TOGETHER in sum, or TRIED pairs if those are fewer."""
+    now, total, pairs = [], 0, 0
     for i, n in enumerate(sizes):
-        if n <= FEW:
+        if n <= few:
             now.append(i)
             total += n
-            if total >= TOGETHER:
+            pairs += n * (n - 1) // 2
+            if total >= TOGETHER or pairs >= TRIED:
                 yield now
-                now, total = [], 0
+                now, total, pairs = [], 0, 0
     if now:
         yield now
 
@@ -127,7 +130,7 @@ def all_crossing(geometries: list) -> list[bool]:
     sizes = [len(s) for s in segments]
     out = [n > FEW and crosses_itself(g) for n, g in zip(sizes, geometries, strict=True)]
     side = lambda p, q, r: (q[:, 0] - p[:, 0]) * (r[:, 1] - p[:, 1]) - (q[:, 1] - p[:, 1]) * (r[:, 0] - p[:, 0])
-    for places in _batches(sizes):
+    for places in _batches(sizes, FEW):
         places = [p for p in places if sizes[p] > 1]
         if not places:
             continue
@@ -237,24 +240,30 @@ def _pieces(s, owner, group_of, groups: int, ys, first, spans, a: int, b: int, w
 
 
 def overlay_each(scenes: list[list], keep, snap_to: float = SNAP) -> list[list]:
-    """`overlay` of the layers of each of many scenes, all of which have as many layers. Scenes of few edges are cut into slabs
+    """`overlay` of the layers of each of many scenes, all of which have as many layers."""
+    return overlay_groups_each([[[g] for g in layers] for layers in scenes], keep, snap_to, FEW)
+
+
+def overlay_groups_each(scenes: list[list[list]], keep, snap_to: float = SNAP, few: int = MANY) -> list[list]:
+    """`overlay_groups` of each of many scenes, all of which have as many groups. Scenes of few edges are cut into slabs
     together: lines and slabs of all of them are numbered through, so nothing of one meets another."""
     if not scenes:
         return []
-    segments = [[_segments(g) for g in layers] for layers in scenes]
+    segments = [[_segments(g) for group in groups for g in group] for groups in scenes]
     sizes = [sum(map(len, parts)) for parts in segments]
-    out = [overlay(layers, keep, snap_to) if n > FEW else [] for n, layers in zip(sizes, scenes, strict=True)]
+    out = [overlay_groups(layers, keep, snap_to) if n > few else [] for n, layers in zip(sizes, scenes, strict=True)]
     groups = len(scenes[0])
     wanted = np.array([bool(keep([bool(c >> g & 1) for g in range(groups)])) for c in range(1 << groups)])
-    for places in _batches(sizes):
+    for places in _batches(sizes, few):
         places = [p for p in places if sizes[p]]
         if not places:
             continue
         origins = np.array([next(x[0, :2] for x in segments[p] if len(x)) for p in places])
         s = np.concatenate([x for p in places for x in segments[p]])
-        counts = np.array([[len(x) for x in segments[p]] for p in places])
-        owner = np.repeat(np.arange(counts.size), counts.ravel())
-        scene = owner // groups
+        group_of = np.array([k for p in places for k, group in enumerate(scenes[p]) for _ in group])
+        of_scene = np.repeat(np.arange(len(places)), [len(segments[p]) for p in places])
+        owner = np.repeat(np.arange(len(of_scene)), [len(x) for p in places for x in segments[p]])
+        scene = of_scene[owner]
         s = np.round((s - np.tile(origins, 2)[scene]) / snap_to) * snap_to
         up = s[:, 1] != s[:, 3]
         s, owner, scene = s[up], owner[up], scene[up]
@@ -274,7 +283,7 @@ def overlay_each(scenes: list[list], keep, snap_to: float = SNAP) -> list[list]:
         first = begin + np.bincount(k, at < s[k, 1] - snap_to / 2000, len(s)).astype(np.int64)
         spans = (begin + np.bincount(k, at <= s[k, 3] + snap_to / 2000, len(s)).astype(np.int64) - 1 - first).clip(0)
         found: dict[int, list] = {}
-        for piece in _pieces(s, owner, np.arange(counts.size) % groups, groups, ys, first, spans, 0, len(ys) - 1, wanted, snap_to):
+        for piece in _pieces(s, owner, group_of, groups, ys, first, spans, 0, len(ys) - 1, wanted, snap_to):
             found.setdefault(int(line[piece[0]]), []).append(piece)
         for n, pieces in found.items():
             out[places[n]] = _joined(pieces, ys, origins[n], snap_to)
@@ -475,7 +484,7 @@ def union_in_tiles(df: DataFrame, size: float, by: list[str], geometry: str = "g
     """Union of a layer's features by tile: (by, tile, geometry), the pieces of each tile clipped to it.
 
     A feature goes to each tile that it touches; a tile's pieces are united and clipped in one overlay, copies
-    once, so a task holds one tile's features. Tiles of `size` must be small enough for that. Pieces of neighbouring tiles share the tile's edge.
+    once, so a task holds the features of a few tiles. Tiles of `size` must be small enough for that. Pieces of neighbouring tiles share the tile's edge.
     With `rank`, one of the columns `by`, layers that differ in it alone take ground from each other: each gets its union
     without the unions of those with a smaller rank.
     """
@@ -483,22 +492,26 @@ def union_in_tiles(df: DataFrame, size: float, by: list[str], geometry: str = "g
 
     group = [c for c in by if c != rank]
 
-    def work(rows: pa.Table) -> pa.Table:
-        x, y = rows["tx"][0].as_py() * size, rows["ty"][0].as_py() * size
-        tile = [[np.array([(x + a * size, y + b * size) for a, b in ((0, 0), (0, 1), (1, 1), (1, 0), (0, 0))])]]
+    def work(rows: pa.Table, begins: list[int]) -> pa.Table:
         ranks = rows[rank].to_pylist() if rank else [0] * len(rows)
-        shapes, taken, out, first = shapes_of(rows["g"]), [], [], []
-        for r in sorted(set(ranks)):
-            mine = [i for i, k in enumerate(ranks) if k == r]
-            own = list({tuple(np.asarray(ring).tobytes() for p in shapes[i] for ring in p): shapes[i] for i in mine}.values())
-            out.append(overlay_groups([own, [tile], taken], lambda i: i[0] and i[1] and not i[2]))
-            taken = taken + own
-            first.append(mine[0])
+        shapes, tx, ty = shapes_of(rows["g"]), rows["tx"].to_pylist(), rows["ty"].to_pylist()
+        scenes, first = [], []
+        for a, b in zip(begins, [*begins[1:], len(rows)], strict=True):
+            x, y = tx[a] * size, ty[a] * size
+            tile = [[np.array([(x + i * size, y + j * size) for i, j in ((0, 0), (0, 1), (1, 1), (1, 0), (0, 0))])]]
+            taken: list = []
+            for r in sorted(set(ranks[a:b])):
+                mine = [i for i in range(a, b) if ranks[i] == r]
+                own = list({tuple(np.asarray(ring).tobytes() for p in shapes[i] for ring in p): shapes[i] for i in mine}.values())
+                scenes.append([own, [tile], taken])
+                taken = taken + own
+                first.append(mine[0])
+        out = overlay_groups_each(scenes, lambda i: i[0] and i[1] and not i[2])
         return rows.select([*by, "tx", "ty"]).take(first).append_column("geometry", column_of(out))
 
     rows = assign_tiles(df.select(*by, F.col(geometry).alias("g")).where(F.size("g") > 0), size, "g").select(*by, "tile.tx", "tile.ty", "g")
     schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in by) + f", tx long, ty long, geometry {G.GEOMETRY}"
-    return each_group(rows.where(F.col(rank).isNotNull() if rank else F.lit(True)), [*group, "tx", "ty"], work, schema).where("size(geometry) > 0")
+    return whole_groups(rows.where(F.col(rank).isNotNull() if rank else F.lit(True)), [*group, "tx", "ty"], work, schema).where("size(geometry) > 0")
 
 
 def _open_edges(pieces: DataFrame, size: float, by: list[str]) -> DataFrame:
@@ -558,7 +571,7 @@ def dissolved_parts(df: DataFrame, size: float, by: list[str], geometry: str = "
     `union_in_tiles`. Repeated and overlapping features count once. `size` is in whole millimetres.
 
     Tiles are united by themselves, seams cancel by sums along the tiles' lines, and the edges that stay are grouped to
-    connected chains by joins: a task holds one tile, or the chains of one ring and those that touch it. Holes go to the
+    connected chains by joins: a task holds a few tiles, or the chains of a few rings and those that touch them. Holes go to the
     smallest ring around them among those whose box touches their tile.
     """
     from terraloom.operators.spatial import tiles_of
@@ -568,12 +581,13 @@ def dissolved_parts(df: DataFrame, size: float, by: list[str], geometry: str = "
     edges = checkpointed(_open_edges(pieces, size, by).withColumns({"src": node("ax", "ay"), "dst": node("bx", "by_")}))
     chains = connected_components(edges.select("src", "dst")).select(F.col("node").alias("src"), "component")
 
-    def rings(rows: pa.Table) -> pa.Table:
-        found = _walk(np.stack([rows[c].to_numpy() for c in ("ax", "ay", "bx", "by_")], 1))
-        return rows.select(by).take([0] * len(found)).append_column("ring", column_of([[[r]] for r in found]))
+    def rings(rows: pa.Table, begins: list[int]) -> pa.Table:
+        ends = np.stack([rows[c].to_numpy() for c in ("ax", "ay", "bx", "by_")], 1)
+        found = [(a, ring) for a, b in zip(begins, [*begins[1:], len(rows)], strict=True) for ring in _walk(ends[a:b])]
+        return rows.select(by).take([a for a, _ in found]).append_column("ring", column_of([[[r]] for _, r in found]))
 
     kinds = "".join(f"`{c}` {df.schema[c].dataType.simpleString()}, " for c in by)
-    found = each_group(edges.join(chains, "src"), [*by, "component"], rings, f"{kinds}ring {G.GEOMETRY}")
+    found = whole_groups(edges.join(chains, "src"), [*by, "component"], rings, f"{kinds}ring {G.GEOMETRY}")
     found = checkpointed(found.withColumn("ring", F.get(F.get("ring", F.lit(0)), F.lit(0))).withColumns({"area": G.signed_area(F.col("ring")), "ring_id": F.xxhash64(*by, "ring")}))
     shells, holes = found.where("area < 0"), found.where("area > 0")
     tiles = tiles_of(G.bbox(F.array(F.array("ring"))), size)

@@ -1,11 +1,13 @@
 """Many rows of geometries at once give what each gives by itself; work is dealt over the cores; bounds hold as tables grow."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from terraloom.functions import crs
 from terraloom.operators import covers, repair
+from terraloom.operators.groups import whole_groups
 from terraloom.plans import catalog
 from terraloom.session import spread
 
@@ -65,3 +67,36 @@ def test_a_register_keeps_its_own_bounds(spark):
     df = spark.createDataFrame([(595000.0, 6401000.0), (595000.0, 6641000.0)], "x double, y double")
     own, zone = crs.checked_point(F.col("x"), F.col("y")), crs.checked_point(F.col("x"), F.col("y"), *crs.ZONE)
     assert [tuple(r) for r in df.select(own.isNotNull(), zone.isNotNull()).collect()] == [(True, True), (False, True)]
+
+
+def test_unions_of_many_tiles_together_are_those_alone(monkeypatch):
+    """Groups of several geometries, groups without any, and scenes of more edges than are worked on together."""
+    shapes = _shapes(240, 5)
+    scenes = [[shapes[i : i + 1 + i % 5], [shapes[-3 - i]], shapes[i + 5 : i + 5 + i % 3]] for i in range(0, 200, 3)]
+    scenes += [[[], [shapes[0]], []], [shapes[:90], [shapes[91]], shapes[92:95]]]
+    keep = lambda i: i[0] and not i[2] or i[1] and i[2]
+    want = [repair.overlay_groups(s, keep) for s in scenes]
+    for tried in (1 << 18, 50):
+        monkeypatch.setattr(repair, "TRIED", tried)
+        assert all(_same(g, w) for g, w in zip(repair.overlay_groups_each(scenes, keep), want, strict=True))
+    assert repair.overlay_groups_each([], keep) == []
+
+
+@pytest.mark.parametrize("least", [1, 7, 10**6])
+def test_small_groups_come_together_and_whole(spark, least):
+    """Each call has whole groups, of `least` rows or more but for the last, wherever Arrow's batches end; few calls are made for many groups."""
+
+    def work(rows, begins):
+        k = rows["k"].to_pylist()
+        assert begins == [i for i in range(len(k)) if not i or k[i] != k[i - 1]]
+        return pa.table({"k": [k[b] for b in begins], "n": [j - i for i, j in zip(begins, [*begins[1:], len(k)], strict=True)], "calls": [int(not i) for i in range(len(begins))]}, schema=pa.schema([("k", pa.int64()), ("n", pa.int64()), ("calls", pa.int64())]))
+
+    given = spark.range(600).select(F.when(F.col("id") % 40 > 0, F.floor(F.sqrt("id"))).alias("k"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 11)
+    try:
+        got = whole_groups(given, ["k"], work, "k long, n long, calls long", least).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted((r.k is None, r.k or 0, r.n) for r in got) == sorted((r.k is None, r.k or 0, r["count"]) for r in given.groupBy("k").count().collect())
+    calls = sum(r.calls for r in got)
+    assert calls == len(got) if least == 1 else calls <= 600 / least + int(spark.conf.get("spark.sql.shuffle.partitions"))
