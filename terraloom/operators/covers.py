@@ -144,7 +144,8 @@ def covered(df: DataFrame, size: float, levels: int = LEVELS, geometry: str = "g
 
 def candidate_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str, size: float, levels: int = LEVELS) -> DataFrame:
     """(left id, right id) of features whose covers meet, each pair once: a cell of one is a cell of the other, or lies in one.
-    Equal cells are found as equal keys, and contained ones as keys of the ancestors, so both are equi-joins."""
+    Equal cells are found as equal keys, and contained ones as keys of the ancestors, so both are equi-joins. The planner's estimate
+    of size is of rows before their cells are exploded, so by itself it would broadcast whole layers through the driver."""
     a, b = (checkpointed(covered(spread(df.select(i, "geometry"), i), size, levels).drop("geometry")) for df, i in ((left, left_id), (right, right_id)))
     rows = lambda df, i, c: df.select(i, F.explode(c).alias("cell"))
     level = lambda c: F.shiftright(c, 2 * BITS + 4)
@@ -155,8 +156,8 @@ def candidate_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: s
         known = levels_of(df)
         return F.filter("ancestors", lambda c: level(c).isin(known))
 
-    same = rows(a, left_id, F.col("cells")).join(rows(b, right_id, F.concat("cells", met(a))), "cell").select(left_id, right_id)
-    larger = rows(a, left_id, met(b)).join(rows(b, right_id, F.col("cells")), "cell").select(left_id, right_id)
+    same = rows(a, left_id, F.col("cells")).join(rows(b, right_id, F.concat("cells", met(a))).hint("merge"), "cell").select(left_id, right_id)
+    larger = rows(a, left_id, met(b)).join(rows(b, right_id, F.col("cells")).hint("merge"), "cell").select(left_id, right_id)
     return same.unionByName(larger).distinct()
 
 
@@ -168,6 +169,7 @@ def cover_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str, s
     pairs = candidate_pairs(left, right, left_id, right_id, size, levels)
     a, b = unused(left, "a"), unused(right, "b")
     # A feature that meets many comes with all of its pairs in one task of a join; the overlay of pairs is dealt out again.
-    both = pairs.join(left.select(left_id, F.col("geometry").alias(a)), left_id).join(right.select(right_id, F.col("geometry").alias(b)), right_id)
+    # Geometries count as one element long in the planner's estimate, so here too it is told not to broadcast.
+    both = pairs.join(left.select(left_id, F.col("geometry").alias(a)).hint("merge"), left_id).join(right.select(right_id, F.col("geometry").alias(b)).hint("merge"), right_id)
     measured = spread(both, left_id, right_id).select(left_id, right_id, repair.intersection(F.col(a), F.col(b)).alias("both"))
     return measured.select(left_id, right_id, G.area(F.col("both")).alias("common")).where("common > 0")

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from terraloom.functions import geometry as G
 from terraloom.operators import covers, repair
@@ -71,3 +72,14 @@ def test_join_equals_all_pairs(spark):
     for size, levels in ((4.0, 6), (None, 16), (30.0, 0)):
         got = {(r.p, r.q): r.common for r in covers.cover_join(frame(shapes[0], "p"), frame(shapes[1], "q"), "p", "q", size, levels).collect()}
         assert got == pytest.approx(want)
+
+
+def test_no_layer_is_broadcast(spark):
+    """Neither cells, ancestors nor geometries go through the driver, small as the planner holds them to be."""
+    square = lambda x, y, side: F.array(F.array(F.array(*(F.struct((x + i * side).cast("double").alias("x"), (y + j * side).cast("double").alias("y")) for i, j in ((0, 0), (0, 1), (1, 1), (1, 0), (0, 0))))))
+    layer = lambda name, step: spark.range(40).select(F.col("id").alias(name), square(F.col("id") * step, F.col("id") * 0, 4).alias("geometry"))
+    wide = spark.range(1).select(F.lit(-1).cast("long").alias("q"), square(F.col("id") - 10, F.col("id") - 10, 1000).alias("geometry"))
+    out = covers.cover_join(layer("p", 8), layer("q", 8).unionByName(wide), "p", "q", 5.0)
+    assert sorted(map(tuple, out.collect())) == sorted([(i, j, 16.0) for i in range(40) for j in (i, -1)])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") >= 4 and "Broadcast" not in plan
